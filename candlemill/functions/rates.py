@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,20 +22,22 @@ def growth_rate(close: Column, base: Column) -> Column:
     return (F.try_divide(close, base) - 1) * 100
 
 
-def strict_sum(columns: Sequence[Column]) -> Column:
+# The sums below are SQL text: a dozen columns make a long expression, and text
+# reaches the JVM in one call.
+
+
+def strict_sum(cells: Sequence[str]) -> str:
     """Row-wise sum, NULL as soon as one term is."""
-    return reduce(add, columns)
+    return "(" + " + ".join(cells) + ")"
 
 
-def present_sum(columns: Sequence[Column]) -> Column:
+def present_sum(cells: Sequence[str]) -> str:
     """Row-wise sum of the terms that are there; NULL where none is."""
-    return F.when(
-        F.coalesce(*columns).isNotNull(),
-        reduce(add, [F.coalesce(c, F.lit(0)) for c in columns]),
-    )
+    terms = " + ".join(f"coalesce({c}, 0)" for c in cells)
+    return f"if(coalesce({', '.join(cells)}) IS NULL, NULL, {terms})"
 
 
-def present_mean(columns: Sequence[Column]) -> Column:
+def present_mean(cells: Sequence[str]) -> str:
     """Row-wise mean of the terms that are there; NULL where none is."""
-    count = reduce(add, [c.isNotNull().cast("int") for c in columns])
-    return F.try_divide(present_sum(columns), count)
+    count = " + ".join(f"int({c} IS NOT NULL)" for c in cells)
+    return f"try_divide({present_sum(cells)}, {count})"

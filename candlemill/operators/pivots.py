@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 MONTH_NUMBERS = range(1, 13)
 MONTH_CELLS = [str(m) for m in MONTH_NUMBERS]
 WEEKDAY_NUMBERS = range(7)
+WEEKDAY_CELLS = [str(d) for d in WEEKDAY_NUMBERS]
 # Weekdays that get a column; Saturday (5) has none.
 SHOWN_WEEKDAYS = [0, 1, 2, 3, 4, 6]
 
@@ -19,7 +20,7 @@ def pivot_months_if(
 ) -> DataFrame:
     """Conditional sums, one per month: a single shuffle by year."""
     cells = [
-        F.sum(F.when(F.col("month") == m, F.col(value))).alias(str(m)) for m in MONTH_NUMBERS
+        F.expr(f"sum(CASE WHEN month = {m} THEN {value} END) AS `{m}`") for m in MONTH_NUMBERS
     ]
     return rates.groupBy(*keys, "year").agg(*cells)
 
@@ -40,6 +41,11 @@ def pivot_months_sql(rates: DataFrame) -> DataFrame:
     return rates.sparkSession.sql(PIVOT_SQL, rates=rates)
 
 
+def quoted(cells: Sequence[str]) -> list[str]:
+    """Column names as SQL text."""
+    return [f"`{c}`" for c in cells]
+
+
 def zero_filled(pivot: DataFrame) -> DataFrame:
     """Absent months become 0.0."""
     return pivot.na.fill(0.0, subset=MONTH_CELLS)
@@ -48,7 +54,7 @@ def zero_filled(pivot: DataFrame) -> DataFrame:
 def pivot_weekdays(means: DataFrame) -> DataFrame:
     """One row per month number, one column per weekday number, Saturday too."""
     cells = [
-        F.sum(F.when(F.col("weekday") == d, F.col("growth_rate"))).alias(str(d))
+        F.expr(f"sum(CASE WHEN weekday = {d} THEN growth_rate END) AS `{d}`")
         for d in WEEKDAY_NUMBERS
     ]
     return means.groupBy("month").agg(*cells)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.functions.rates import present_mean
-from candlemill.operators.pivots import MONTH_CELLS
+from candlemill.operators.pivots import MONTH_CELLS, quoted
 from candlemill.operators.rates import month_means
 
 
@@ -20,16 +20,14 @@ def rollup_means(wide: DataFrame, columns: Sequence[str], keys: Sequence[str] =
     """
     groups = [[*keys, "year"], list(keys)]
     return wide.groupingSets(groups, *keys, "year").agg(
-        F.grouping("year").cast("int").alias("summary"),
-        *[F.avg(c).alias(c) for c in columns],
+        F.expr("int(grouping(year)) AS summary"),
+        *[F.expr(f"avg(`{c}`) AS `{c}`") for c in columns],
     )
 
 
-def label(summary_text: str) -> Column:
-    """Year as text, or the name of the summary row."""
-    return F.when(F.col("summary") == 1, F.lit(summary_text)).otherwise(
-        F.col("year").cast("string")
-    )
+def label(summary_text: str) -> str:
+    """Year as text, or the name of the summary row; SQL text."""
+    return f"if(summary = 1, '{summary_text}', string(year))"
 
 
 def union_mean_row(wide: DataFrame, columns: Sequence[str], summary_text: str) -> DataFrame:
@@ -44,11 +42,11 @@ def union_mean_row(wide: DataFrame, columns: Sequence[str], summary_text: str) -
 def mean_of_month_means(rates: DataFrame, summary_text: str = "AVG") -> DataFrame:
     """One row: the mean of every month and, last, the mean of those means."""
     cells = [
-        F.max(F.when(F.col("month") == int(m), F.col("growth_rate"))).alias(m) for m in MONTH_CELLS
+        F.expr(f"max(CASE WHEN month = {m} THEN growth_rate END) AS `{m}`") for m in MONTH_CELLS
     ]
     return (
         month_means(rates)
         .agg(*cells)
-        .withColumn("AVG", present_mean([F.col(m) for m in MONTH_CELLS]))
+        .withColumn("AVG", F.expr(present_mean(quoted(MONTH_CELLS))))
         .select(F.lit(summary_text).alias("year"), *MONTH_CELLS, "AVG")
     )

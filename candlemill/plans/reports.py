@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.functions.periods import DAY, MONTH, month_title
@@ -12,9 +12,10 @@ from candlemill.functions.rates import present_mean, present_sum, strict_sum
 from candlemill.operators.pivots import (
     MONTH_CELLS,
     SHOWN_WEEKDAYS,
-    WEEKDAY_NUMBERS,
+    WEEKDAY_CELLS,
     pivot_months_if,
     pivot_weekdays,
+    quoted,
 )
 from candlemill.operators.rates import weekday_means, with_rate
 from candlemill.operators.summaries import label, rollup_means
@@ -43,11 +44,11 @@ def _priced(bars: DataFrame, price: str) -> DataFrame:
     return bars.withColumns({c: F.col(c).cast(price) for c in columns})
 
 
-def _finished(cell: Column, flavour: Flavour) -> Column:
+def _finished(cell: str, flavour: Flavour) -> str:
     if flavour.cell_digits is not None:
-        cell = F.round(cell, flavour.cell_digits)
-    cell = cell.cast("double")
-    return F.coalesce(cell, F.lit(0.0)) if flavour.zero_last else cell
+        cell = f"round({cell}, {flavour.cell_digits})"
+    cell = f"double({cell})"
+    return f"coalesce({cell}, 0D)" if flavour.zero_last else cell
 
 
 def growth_table(
@@ -56,36 +57,33 @@ def growth_table(
     """Unsorted year by month table with ``summary`` marking the last row."""
     spec = _flavour(flavour)
     rates = with_rate(_priced(bars, spec.price), mode, MONTH, keys)
-    rate = F.col("growth_rate").cast("double")
-    number = "double"
+    rate, number = "growth_rate", "double"
     if spec.rate_digits is not None:
-        rate, number = F.round(rate, spec.rate_digits).cast(EXACT), EXACT
-    rates = rates.withColumn("growth_rate", rate)
+        rate, number = f"round(growth_rate, {spec.rate_digits})", EXACT
+    rates = rates.withColumn("growth_rate", F.expr(f"CAST({rate} AS {number})"))
 
-    wide = pivot_months_if(rates, keys)
-    cells = [F.col(m).cast(number) for m in MONTH_CELLS]
+    months = quoted(MONTH_CELLS)
+    cells = [f"CAST({m} AS {number})" for m in months]
     if spec.zero_first:
-        cells = [F.coalesce(c, F.lit(0).cast(number)) for c in cells]
-    wide = wide.select(
+        cells = [f"coalesce({c}, CAST(0 AS {number}))" for c in cells]
+    wide = pivot_months_if(rates, keys).selectExpr(
         *keys,
         "year",
-        *[c.alias(m) for m, c in zip(MONTH_CELLS, cells)],
-        YEAR_RULES[spec.year_rule](cells).alias("year_cell"),
+        *[f"{c} AS {m}" for c, m in zip(cells, months)],
+        f"{YEAR_RULES[spec.year_rule](cells)} AS year_cell",
     )
 
     # The division comes after the mean, where it is exact enough for rounding.
     table = rollup_means(wide, [*MONTH_CELLS, "year_cell"], keys)
-    cells = [F.col(m) for m in MONTH_CELLS]
-    table = table.withColumn("year_cell", F.col("year_cell") / F.lit(spec.year_divisor))
+    corner = f"year_cell / {spec.year_divisor}"
     if spec.corner_from_row:
-        corner = F.when(F.col("summary") == 1, present_mean(cells)).otherwise(F.col("year_cell"))
-        table = table.withColumn("year_cell", corner)
+        corner = f"if(summary = 1, {present_mean(months)}, year_cell)"
 
-    return table.select(
+    return table.selectExpr(
         *keys,
-        label(spec.summary_text).alias("year"),
-        *[_finished(F.col(m), spec).alias(name) for m, name in zip(MONTH_CELLS, spec.months)],
-        _finished(F.col("year_cell"), spec).alias(spec.year_column),
+        f"{label(spec.summary_text)} AS year",
+        *[f"{_finished(m, spec)} AS {name}" for m, name in zip(months, spec.months)],
+        f"{_finished(corner, spec)} AS {spec.year_column}",
         "summary",
     )
 
@@ -109,6 +107,10 @@ def week_report(days: DataFrame, mode: str = "oc") -> DataFrame:
     column of its own.
     """
     wide = pivot_weekdays(weekday_means(with_rate(days, mode, DAY)))
-    shown = [F.col(str(d)).alias(WEEKDAYS[d]) for d in SHOWN_WEEKDAYS]
-    total = present_mean([F.col(str(d)) for d in WEEKDAY_NUMBERS]).alias("total")
-    return wide.orderBy("month").select(month_title(F.col("month")).alias("month"), *shown, total)
+    shown = [f"`{d}` AS {WEEKDAYS[d]}" for d in SHOWN_WEEKDAYS]
+    total = present_mean(quoted(WEEKDAY_CELLS))
+    return (
+        wide.orderBy("month")
+        .withColumn("month", month_title(F.col("month")))
+        .selectExpr("month", *shown, f"{total} AS total")
+    )

@@ -6,7 +6,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -23,9 +22,9 @@ class Query:
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Doubles rounded for comparison; -0.0 becomes 0.0."""
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.round(F.col(f"`{name}`"), digits) + F.lit(0.0)).alias(name) if kind == "double" else F.col(f"`{name}`")
+            f"round(`{name}`, {digits}) + 0D AS `{name}`" if kind == "double" else f"`{name}`"
             for name, kind in df.dtypes
         ]
     )
