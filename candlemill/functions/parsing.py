@@ -36,3 +36,8 @@ def market_of(path: Column) -> Column:
     """
     run = F.regexp_extract(path, r"_\w*_\d{4}", 0)
     return F.nullif(F.substring(run, 2, 3), F.lit(""))
+
+
+def stamp(moment) -> Column:
+    """A moment without zone (datetime or ISO text) as a literal."""
+    return F.lit(str(moment)).cast("timestamp_ntz")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlemill.functions.periods import DAY, MONTH, period_columns
@@ -51,6 +51,7 @@ def bars(
     period: Sequence[str] = MONTH,
     keys: Sequence[str] = (),
     tie: Sequence[str] = (),
+    more: Sequence[Column] = (),
 ) -> DataFrame:
     """One row per key and period: open, close, open_time, close_time.
 
@@ -58,8 +59,11 @@ def bars(
     one row per period and task. A ``tie`` needs a struct as order, and Spark
     sorts its input for that; so the ticks are first cut to those at the period
     edges, which costs a second, cheap scan. With ``keys`` the number of edges is
-    unbounded, hence no broadcast and one sorted aggregation instead.
+    unbounded, hence no broadcast and one sorted aggregation instead. ``more`` adds
+    aggregates over all ticks of the period and is for ticks without ``tie``.
     """
+    if tie and more:
+        raise ValueError("aggregates over all ticks need ticks of unique time")
     if tie and not keys:
         ticks = _at_bounds(ticks, period, ["first_time", "last_time"])
     if tie:
@@ -75,6 +79,7 @@ def bars(
             F.max_by("close", last).alias("close"),
             F.min("time").alias("open_time"),
             F.max("time").alias("close_time"),
+            *more,
         )
     )
 

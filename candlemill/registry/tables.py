@@ -45,7 +45,7 @@ def event_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _bars_sql(ticks: str, keys: str, tie: str) -> str:
+def bars_sql(ticks: str, keys: str, tie: str) -> str:
     """CTEs ``ticks``, ``ranked`` and ``bars`` for DuckDB."""
     forward = ", ".join(["time", *tie.split(), "open"])
     back = ", ".join(f"{c} DESC" for c in ["time", *tie.split(), "close"])
@@ -78,10 +78,10 @@ ORDERS_TICKS_SQL = f"""SELECT {_MONTH_OF.format(t='o_orderdate')}, CAST(o_orderd
 EVENTS_TICKS_SQL = f"""SELECT {_MONTH_OF.format(t='ts')}, CAST(ts AS DATE) AS day,
     ts AS time, value AS open, value AS close, event_id, event_type FROM events"""
 
-LINEITEM_MONTH_BARS = _bars_sql(LINEITEM_TICKS_SQL, "year, month", " ".join(LINEITEM_TIE))
-ORDERS_MONTH_BARS = _bars_sql(ORDERS_TICKS_SQL, "year, month", "o_orderkey")
-ORDERS_DAY_BARS = _bars_sql(ORDERS_TICKS_SQL, "day", "o_orderkey")
-EVENTS_DAY_BARS = _bars_sql(EVENTS_TICKS_SQL, "day", "event_id")
+LINEITEM_MONTH_BARS = bars_sql(LINEITEM_TICKS_SQL, "year, month", " ".join(LINEITEM_TIE))
+ORDERS_MONTH_BARS = bars_sql(ORDERS_TICKS_SQL, "year, month", "o_orderkey")
+ORDERS_DAY_BARS = bars_sql(ORDERS_TICKS_SQL, "day", "o_orderkey")
+EVENTS_DAY_BARS = bars_sql(EVENTS_TICKS_SQL, "day", "event_id")
 
 PREV_MONTH = """prevs AS (
     SELECT *, coalesce(lag(close) OVER (ORDER BY year, month), open) AS prev_close FROM bars
