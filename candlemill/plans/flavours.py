@@ -2,6 +2,10 @@
 
 They differ in rounding, in what an absent month counts as, and in how the last
 column and the last row are built. The differences are kept on purpose.
+
+Where cells are rounded after decimal or rounded rates, the arithmetic in between
+is decimal as well: a mean such as 0.285 then rounds the same way whatever order
+the rows arrive in.
 """
 
 from __future__ import annotations
@@ -32,8 +36,10 @@ class Flavour:
     zero_last: bool = False
     #: the corner is the mean of the last row, not of the last column
     corner_from_row: bool = False
-    #: open and close are decimals of this kind before the division
+    #: open and close are of this type before the division
     price: str = "double"
+    #: rates are summed and averaged in this type
+    number: str = "double"
 
 
 FLAVOURS = {
@@ -50,6 +56,7 @@ FLAVOURS = {
         summary_text="Total",
         cell_digits=4,
         price="decimal(10,4)",
+        number="decimal(24,9)",
     ),
     "rollup": Flavour(
         months=tuple(MONTHS_SHORT),
@@ -59,6 +66,7 @@ FLAVOURS = {
         summary_text="AVG",
         rate_digits=2,
         cell_digits=2,
+        number="decimal(16,3)",
     ),
     "dense": Flavour(
         months=tuple(MONTHS_SHORT),
@@ -77,5 +85,6 @@ FLAVOURS = {
         rate_digits=3,
         cell_digits=3,
         zero_first=True,
+        number="decimal(16,3)",
     ),
 }

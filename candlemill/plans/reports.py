@@ -22,10 +22,6 @@ from candlemill.operators.summaries import label, rollup_means
 from candlemill.plans.flavours import FLAVOURS, Flavour
 from candlemill.schemas import WEEKDAYS
 
-# Rounded rates are summed and averaged as decimals: a mean such as 0.285 then
-# rounds the same way whatever order the rows arrive in.
-EXACT = "decimal(16,3)"
-
 YEAR_RULES = {
     "present_sum": present_sum,
     "strict_sum": strict_sum,
@@ -57,15 +53,15 @@ def growth_table(
     """Unsorted year by month table with ``summary`` marking the last row."""
     spec = _flavour(flavour)
     rates = with_rate(_priced(bars, spec.price), mode, MONTH, keys)
-    rate, number = "growth_rate", "double"
+    rate = "growth_rate"
     if spec.rate_digits is not None:
-        rate, number = f"round(growth_rate, {spec.rate_digits})", EXACT
-    rates = rates.withColumn("growth_rate", F.expr(f"CAST({rate} AS {number})"))
+        rate = f"round(growth_rate, {spec.rate_digits})"
+    rates = rates.withColumn("growth_rate", F.expr(f"CAST({rate} AS {spec.number})"))
 
     months = quoted(MONTH_CELLS)
-    cells = [f"CAST({m} AS {number})" for m in months]
+    cells = [f"CAST({m} AS {spec.number})" for m in months]
     if spec.zero_first:
-        cells = [f"coalesce({c}, CAST(0 AS {number}))" for c in cells]
+        cells = [f"coalesce({c}, CAST(0 AS {spec.number}))" for c in cells]
     wide = pivot_months_if(rates, keys).selectExpr(
         *keys,
         "year",

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -44,3 +46,10 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path nobody has written to yet, below the work folder."""
     app = spark.sparkContext.applicationId
     return f"{work_root(spark)}/candlemill/{app}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    """An empty table that the optimizer can see through."""
+    return spark.range(0).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )

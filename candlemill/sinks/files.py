@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from candlemill.session import no_rows
+
 
 def write_report_csv(report: DataFrame, path: str) -> None:
     """One part file, ``;``, header. For finished reports: a row per year."""
@@ -19,7 +21,7 @@ def append_log(rows: DataFrame, path: str, file_format: str = "parquet") -> None
 def read_log(spark: SparkSession, path: str, schema: StructType, file_format: str = "parquet") -> DataFrame:
     """Rows appended so far; none where nothing was written yet."""
     if not exists(spark, path):
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
     return spark.read.schema(schema).format(file_format).load(path)
 
 
@@ -73,7 +75,7 @@ class VersionedTable:
     def read(self) -> DataFrame:
         done = [number for number, complete in self._versions() if complete]
         if not done:
-            return self.spark.createDataFrame([], self.schema)
+            return no_rows(self.spark, self.schema)
         stored = self.spark.read.schema(self.schema).parquet(self._folder(done[-1]))
         return stored.select(*self.schema.names)
 
