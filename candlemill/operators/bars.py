@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from candlemill.functions.periods import DAY, MONTH, period_columns
 
 
+BOUNDS = ("first_time", "last_time")
+
+
 def with_period(ticks: DataFrame, period: Sequence[str] = MONTH) -> DataFrame:
     """Add the key columns of ``period``; ticks without a time belong to none."""
     return ticks.filter(F.col("time").isNotNull()).withColumns(
@@ -46,6 +49,54 @@ def _at_bounds(ticks: DataFrame, period: Sequence[str], edges: Sequence[str]) ->
     return ticks.join(F.broadcast(times), "time", "left_semi")
 
 
+def _edges_by_time(
+    ticks: DataFrame, period: Sequence[str], keys: Sequence[str], more: Sequence[Column] = ()
+) -> DataFrame:
+    """Bars of ticks with unique times: one hash aggregation."""
+    return ticks.groupBy(*keys, *period).agg(
+        F.min_by("open", "time").alias("open"),
+        F.max_by("close", "time").alias("close"),
+        F.min("time").alias("open_time"),
+        F.max("time").alias("close_time"),
+        *more,
+    )
+
+
+def _edges_by_tie(
+    ticks: DataFrame, period: Sequence[str], keys: Sequence[str], tie: Sequence[str]
+) -> DataFrame:
+    """Bars of ticks whose times repeat. A struct as order makes Spark sort its input."""
+    first = F.struct("time", *tie, "open")
+    last = F.struct("time", *tie, "close")
+    return ticks.groupBy(*keys, *period).agg(
+        F.min_by("open", first).alias("open"),
+        F.max_by("close", last).alias("close"),
+        F.min("time").alias("open_time"),
+        F.max("time").alias("close_time"),
+    )
+
+
+def _edges_by_one_tie(ticks: DataFrame, period: Sequence[str], tie: str) -> DataFrame:
+    """The same for one tie column and few times per period: settle each time first,
+    then the period. Both steps are hash aggregations."""
+    times = ticks.groupBy(*period, "time").agg(
+        F.min_by("open", tie).alias("open"), F.max_by("close", tie).alias("close")
+    )
+    return _edges_by_time(times, period, ())
+
+
+def _bars_at(
+    ticks: DataFrame, period: Sequence[str], tie: Sequence[str], edges: Sequence[str]
+) -> DataFrame:
+    """Bars of the ticks at the named edges; no ``tie`` means unique times."""
+    rows = with_period(_at_bounds(ticks, period, edges), period)
+    if not tie:
+        return _edges_by_time(rows, period, ())
+    if len(tie) == 1:
+        return _edges_by_one_tie(rows, period, tie[0])
+    return _edges_by_tie(rows, period, (), tie)
+
+
 def bars(
     ticks: DataFrame,
     period: Sequence[str] = MONTH,
@@ -56,38 +107,31 @@ def bars(
     """One row per key and period: open, close, open_time, close_time.
 
     With unique times this is a single hash aggregation whose partial step leaves
-    one row per period and task. A ``tie`` needs a struct as order, and Spark
-    sorts its input for that; so the ticks are first cut to those at the period
-    edges, which costs a second, cheap scan. With ``keys`` the number of edges is
-    unbounded, hence no broadcast and one sorted aggregation instead. ``more`` adds
-    aggregates over all ticks of the period and is for ticks without ``tie``.
+    one row per period and task, so a period with most of the ticks is no burden.
+    With a ``tie`` the ticks are first cut to those at the period edges, by a second
+    scan, and only those are put in order. With ``keys`` as well the number of edges
+    has no bound; then there is no broadcast and one sorted aggregation does it all.
+    ``more`` adds aggregates over all ticks and goes with unique times.
     """
-    if tie and more:
+    if not tie:
+        return _edges_by_time(with_period(ticks, period), period, keys, more)
+    if more:
         raise ValueError("aggregates over all ticks need ticks of unique time")
-    if tie and not keys:
-        ticks = _at_bounds(ticks, period, ["first_time", "last_time"])
-    if tie:
-        first = F.struct("time", *tie, "open")
-        last = F.struct("time", *tie, "close")
-    else:
-        first = last = F.col("time")
-    return (
-        with_period(ticks, period)
-        .groupBy(*keys, *period)
-        .agg(
-            F.min_by("open", first).alias("open"),
-            F.max_by("close", last).alias("close"),
-            F.min("time").alias("open_time"),
-            F.max("time").alias("close_time"),
-            *more,
-        )
-    )
+    if keys:
+        return _edges_by_tie(with_period(ticks, period), period, keys, tie)
+    return _bars_at(ticks, period, tie, BOUNDS)
 
 
 def _days_with_month(
     ticks: DataFrame, keys: Sequence[str], tie: Sequence[str]
 ) -> DataFrame:
-    days = bars(ticks, DAY, keys, tie)
+    """Day bars with their month; of the days at a month's edge alone where times
+    repeat, since the others cannot hold its open or close."""
+    if tie and not keys:
+        ticks = _at_bounds(ticks, MONTH, BOUNDS)
+        days = _edges_by_tie(with_period(ticks, DAY), DAY, (), tie)
+    else:
+        days = bars(ticks, DAY, keys, tie)
     return days.withColumns(period_columns(F.col("day"), MONTH))
 
 
@@ -128,44 +172,45 @@ def month_bars_by_sql(ticks: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
     return ticks.sparkSession.sql(MONTH_BARS_SQL, days=days)
 
 
-def _one_per_period(
-    ticks: DataFrame, period: Sequence[str], tie: Sequence[str], last: bool
+def last_ticks(
+    ticks: DataFrame, period: Sequence[str] = MONTH, tie: Sequence[str] = ()
 ) -> DataFrame:
-    """Row number one of each period. Spark cuts every task to one row per period
-    before the shuffle (WindowGroupLimit), so no period gathers in one task."""
-    order = [F.desc(c) if last else F.asc(c) for c in ("time", *tie)]
+    """The last tick of each period, by ROW_NUMBER over descending time.
+
+    Spark cuts every task to one row per period before the shuffle
+    (WindowGroupLimit), so no period gathers in one task.
+    """
+    order = [F.desc(c) for c in ("time", *tie)]
     rank = F.row_number().over(Window.partitionBy(*period).orderBy(*order))
     return (
-        with_period(ticks, period)
+        with_period(_at_bounds(ticks, period, ["last_time"]), period)
         .withColumn("row_number", rank)
         .filter(F.col("row_number") == 1)
         .drop("row_number")
     )
 
 
-def last_ticks(
-    ticks: DataFrame, period: Sequence[str] = MONTH, tie: Sequence[str] = ()
-) -> DataFrame:
-    """The last tick of each period, by ROW_NUMBER over descending time."""
-    return _one_per_period(_at_bounds(ticks, period, ["last_time"]), period, tie, last=True)
-
-
-def first_ticks(
-    ticks: DataFrame, period: Sequence[str] = MONTH, tie: Sequence[str] = ()
+def _edge_rows(
+    ticks: DataFrame, period: Sequence[str], tie: Sequence[str], last: bool
 ) -> DataFrame:
-    """The first tick of each period, by ROW_NUMBER over ascending time."""
-    return _one_per_period(_at_bounds(ticks, period, ["first_time"]), period, tie, last=False)
+    """Whole tick at one edge of each period: left-semi join on the edge time, and
+    the tie columns where several ticks share that time."""
+    rows = with_period(
+        _at_bounds(ticks, period, ["last_time" if last else "first_time"]), period
+    )
+    if not tie:
+        return rows
+    pick = F.max_by if last else F.min_by
+    row = pick(F.struct(*ticks.columns), F.struct("time", *tie)).alias("row")
+    return rows.groupBy(*period).agg(row).select(*period, "row.*")
 
 
 def edge_ticks(
     ticks: DataFrame, period: Sequence[str] = MONTH, tie: Sequence[str] = ()
 ) -> DataFrame:
-    """First and last tick of each period, found by a left-semi join on the edge time.
-
-    Equal times are settled by ``tie``. A period with a single tick gives two rows.
-    """
-    first = first_ticks(ticks, period, tie).withColumn("edge", F.lit("first"))
-    last = last_ticks(ticks, period, tie).withColumn("edge", F.lit("last"))
+    """First and last tick of each period; a period with one tick gives two rows."""
+    first = _edge_rows(ticks, period, tie, last=False).withColumn("edge", F.lit("first"))
+    last = _edge_rows(ticks, period, tie, last=True).withColumn("edge", F.lit("last"))
     return first.unionByName(last)
 
 
@@ -173,8 +218,8 @@ def bars_by_join(
     ticks: DataFrame, period: Sequence[str] = MONTH, tie: Sequence[str] = ()
 ) -> DataFrame:
     """Bars as an inner join of first-tick and last-tick rows on the period keys."""
-    first = first_ticks(ticks, period, tie).select(*period, "open", F.col("time").alias("open_time"))
-    last = last_ticks(ticks, period, tie).select(*period, "close", F.col("time").alias("close_time"))
+    first = _bars_at(ticks, period, tie, ["first_time"]).select(*period, "open", "open_time")
+    last = _bars_at(ticks, period, tie, ["last_time"]).select(*period, "close", "close_time")
     return first.join(last, list(period)).select(
         *period, "open", "close", "open_time", "close_time"
     )

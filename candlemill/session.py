@@ -27,19 +27,25 @@ def build_session(app_name: str = "candlemill", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_local_roots: dict[str, str] = {}
+
+
 def work_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder on this machine.
+    Only a local master may do without the setting; it then gets a folder of its own
+    on this machine.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by the cluster")
-    root = "file:" + tempfile.mkdtemp(prefix="candlemill-")
-    spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+    app = context.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = "file:" + tempfile.mkdtemp(prefix="candlemill-")
+    return _local_roots[app]
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:

@@ -1,6 +1,7 @@
 """Every registered query runs and, where it has a SQL twin, agrees with it."""
 
 import os
+from types import SimpleNamespace
 
 import pytest
 
@@ -30,12 +31,27 @@ def test_entry(spark):
     assert df.count() > 1 and df.columns[0] == "year" and df.columns[-1] == "total"
 
 
-def test_work_folder_comes_from_the_session(spark, tmp_path):
-    before = spark.conf.get(CHECKPOINT_DIR)
-    try:
-        spark.conf.set(CHECKPOINT_DIR, f"file:{tmp_path}/")
-        assert work_root(spark) == f"file:{tmp_path}"
-        assert fresh_dir(spark, "x").startswith(f"file:{tmp_path}/candlemill/")
-        assert fresh_dir(spark, "x") != fresh_dir(spark, "x")
-    finally:
-        spark.conf.set(CHECKPOINT_DIR, before)
+def fake_session(master, **conf):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=conf.get),
+        sparkContext=SimpleNamespace(master=master, applicationId=f"app-{master}"),
+    )
+
+
+def test_work_folder_comes_from_the_session(spark):
+    root = spark.conf.get(CHECKPOINT_DIR)
+    assert work_root(spark) == root
+    assert fresh_dir(spark, "x").startswith(f"{root}/candlemill/")
+    assert fresh_dir(spark, "x") != fresh_dir(spark, "x")
+    shared = fake_session("yarn", **{CHECKPOINT_DIR: "hdfs://name/work/"})
+    assert work_root(shared) == "hdfs://name/work"
+
+
+def test_only_a_local_master_gets_a_folder_of_its_own():
+    with pytest.raises(RuntimeError):
+        work_root(fake_session("spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        work_root(fake_session("local-cluster[2,1,1024]"))
+    for master in ("local", "local[2]"):
+        alone = fake_session(master)
+        assert work_root(alone).startswith("file:") and work_root(alone) == work_root(alone)
