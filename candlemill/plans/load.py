@@ -101,7 +101,9 @@ def start_files(
     chosen = fresh_dir(spark, "chosen-files")
     new.write.parquet(chosen)
     batch = spark.read.schema(new.schema).parquet(chosen)
-    append_log(started_rows(batch, started_at, settings.task_name), store.file_audit_path)
+    append_log(
+        started_rows(batch, started_at, settings.task_name), store.file_audit_path, few_files=True
+    )
     return batch
 
 
@@ -138,11 +140,12 @@ def load_files(
     append_log(
         with_lineage(per_file.select(*MONTH, *BAR_VALUES), started_at, settings.task_name),
         store.bar_audit_path,
+        few_files=True,
     )
 
     lines = per_file.groupBy("checksum").agg(F.sum("lines").alias("lines"))
     started = started_rows(batch, started_at, settings.task_name)
-    append_log(finished_rows(started, lines, now()), store.file_audit_path)
+    append_log(finished_rows(started, lines, now()), store.file_audit_path, few_files=True)
     return len(paths)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -14,7 +16,12 @@ def write_report_csv(report: DataFrame, path: str) -> None:
     report.coalesce(1).write.mode("overwrite").csv(path, sep=";", header=True)
 
 
-def append_log(rows: DataFrame, path: str, file_format: str = "parquet") -> None:
+def append_log(
+    rows: DataFrame, path: str, file_format: str = "parquet", few_files: bool = False
+) -> None:
+    """Add rows to a log. ``few_files`` evens out small rows at the price of a shuffle."""
+    if few_files:
+        rows = rows.hint("rebalance")
     rows.write.mode("append").format(file_format).save(path)
 
 
@@ -50,38 +57,37 @@ class VersionedTable:
     because its folder exists.
     """
 
+    #: versions left for readers that started earlier
+    KEPT = 20
+
     def __init__(self, spark: SparkSession, path: str, schema: StructType, partition_by: str | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.partition_by = partition_by
 
-    def _versions(self) -> list[tuple[int, bool]]:
-        """Number of each version folder and whether it is complete."""
+    def _versions(self) -> list[int]:
+        """Numbers of the version folders, complete or not, newest first."""
         fs, target = _hadoop(self.spark, self.path)
         if not fs.exists(target):
             return []
-        found = []
-        for status in fs.listStatus(target):
-            name = status.getPath().getName()
-            if status.isDirectory() and name.startswith("v"):
-                marker = self.spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-                found.append((int(name[1:]), fs.exists(marker)))
-        return sorted(found)
+        names = [status.getPath().getName() for status in fs.listStatus(target)]
+        return sorted((int(n[1:]) for n in names if re.fullmatch(r"v\d{8}", n)), reverse=True)
 
     def _folder(self, number: int) -> str:
         return f"{self.path}/v{number:08d}"
 
     def read(self) -> DataFrame:
-        done = [number for number, complete in self._versions() if complete]
-        if not done:
-            return no_rows(self.spark, self.schema)
-        stored = self.spark.read.schema(self.schema).parquet(self._folder(done[-1]))
-        return stored.select(*self.schema.names)
+        for number in self._versions():
+            if exists(self.spark, f"{self._folder(number)}/_SUCCESS"):
+                stored = self.spark.read.schema(self.schema).parquet(self._folder(number))
+                return stored.select(*self.schema.names)
+        return no_rows(self.spark, self.schema)
 
     def commit(self, rows: DataFrame) -> int:
         """Store ``rows`` as the next version; rows may derive from :meth:`read`."""
-        number = max((n for n, _ in self._versions()), default=0) + 1
+        versions = self._versions()
+        number = max(versions, default=0) + 1
         rows = rows.select(
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
         )
@@ -91,6 +97,8 @@ class VersionedTable:
             # Even file sizes: Spark splits a heavy partition value and joins light ones.
             writer = rows.hint("rebalance", self.partition_by).write.partitionBy(self.partition_by)
         writer.mode("errorifexists").parquet(self._folder(number))
+        for old in versions[self.KEPT :]:
+            remove(self.spark, self._folder(old))
         return number
 
     def reset(self) -> None:

@@ -201,6 +201,15 @@ def test_half_written_version_is_not_read(spark, tmp_path):
     assert sorted(table.read().collect()) == whole
 
 
+def test_old_versions_are_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(VersionedTable, "KEPT", 2)
+    table = VersionedTable(spark, str(tmp_path / "t"), bars(ticks_frame(spark, [])).schema)
+    for _ in range(5):
+        table.commit(merge_bars(table.read(), bars(ticks_frame(spark, TICKS))))
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["v00000003", "v00000004", "v00000005"]
+    assert table.read().count() == 3
+
+
 def test_watermark_of_an_empty_target_lets_everything_through(spark):
     rows = spark.createDataFrame([("2020-01-01",), ("2020-01-02",)], "t string").select(
         F.col("t").cast("timestamp_ntz").alias("modified_timestamp")
