@@ -26,7 +26,7 @@ def tick_time(text: Column) -> Column:
 def must_parse(text: Column, value: Column, what: str) -> Column:
     """``value``, but fail the job where ``text`` was there and did not parse."""
     message = F.concat(F.lit(f"bad {what}: "), text)
-    return F.when(text.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+    return F.coalesce(value, F.when(text.isNotNull(), F.raise_error(message)))
 
 
 def market_of(path: Column) -> Column:

@@ -19,10 +19,8 @@ BOUNDS = ("first_time", "last_time")
 
 
 def with_period(ticks: DataFrame, period: Sequence[str] = MONTH) -> DataFrame:
-    """Add the key columns of ``period``; ticks without a time belong to none."""
-    return ticks.filter(F.col("time").isNotNull()).withColumns(
-        period_columns(F.col("time"), period)
-    )
+    """Add the key columns of ``period``."""
+    return ticks.withColumns(period_columns(F.col("time"), period))
 
 
 def period_bounds(
@@ -33,6 +31,7 @@ def period_bounds(
         with_period(ticks, period)
         .groupBy(*keys, *period)
         .agg(F.min("time").alias("first_time"), F.max("time").alias("last_time"))
+        .filter(F.col("first_time").isNotNull())
     )
 
 
@@ -52,13 +51,21 @@ def _at_bounds(ticks: DataFrame, period: Sequence[str], edges: Sequence[str]) ->
 def _edges_by_time(
     ticks: DataFrame, period: Sequence[str], keys: Sequence[str], more: Sequence[Column] = ()
 ) -> DataFrame:
-    """Bars of ticks with unique times: one hash aggregation."""
-    return ticks.groupBy(*keys, *period).agg(
-        F.min_by("open", "time").alias("open"),
-        F.max_by("close", "time").alias("close"),
-        F.min("time").alias("open_time"),
-        F.max("time").alias("close_time"),
-        *more,
+    """Bars of ticks with unique times: one hash aggregation.
+
+    Ticks without a time are dropped afterwards, as the group without an open time:
+    a filter before would parse the time of a text file twice.
+    """
+    return (
+        ticks.groupBy(*keys, *period)
+        .agg(
+            F.min_by("open", "time").alias("open"),
+            F.max_by("close", "time").alias("close"),
+            F.min("time").alias("open_time"),
+            F.max("time").alias("close_time"),
+            *more,
+        )
+        .filter(F.col("open_time").isNotNull())
     )
 
 
@@ -68,11 +75,15 @@ def _edges_by_tie(
     """Bars of ticks whose times repeat. A struct as order makes Spark sort its input."""
     first = F.struct("time", *tie, "open")
     last = F.struct("time", *tie, "close")
-    return ticks.groupBy(*keys, *period).agg(
-        F.min_by("open", first).alias("open"),
-        F.max_by("close", last).alias("close"),
-        F.min("time").alias("open_time"),
-        F.max("time").alias("close_time"),
+    return (
+        ticks.groupBy(*keys, *period)
+        .agg(
+            F.min_by("open", first).alias("open"),
+            F.max_by("close", last).alias("close"),
+            F.min("time").alias("open_time"),
+            F.max("time").alias("close_time"),
+        )
+        .filter(F.col("open_time").isNotNull())
     )
 
 

@@ -68,7 +68,13 @@ def test_last_days_of_december_stay_in_their_year(spark):
 
 def test_rows_without_time_are_left_out(spark):
     ticks = spark.createDataFrame([(None, 1.0, 1.0, 0), (dt.datetime(2020, 1, 1), 2.0, 2.0, 1)], TICK)
-    assert [tuple(r)[:4] for r in B.bars(ticks).collect()] == [(2020, 1, 2.0, 2.0)]
+    named = ticks.withColumn("name", F.lit("x"))
+    for found in (
+        B.bars(ticks), B.bars(ticks, tie=["key"]), B.bars(ticks, tie=["key", "open"]), B.bars_by_join(ticks),
+        B.bars(named, keys=["name"], tie=["key"]).drop("name"),
+    ):
+        assert [tuple(r)[:4] for r in found.collect()] == [(2020, 1, 2.0, 2.0)]
+    assert B.period_bounds(ticks).count() == B.last_ticks(ticks).count() == 1
 
 
 def test_prev_close_skips_absent_months_and_starts_with_own_open(spark):
