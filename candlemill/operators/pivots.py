@@ -51,10 +51,10 @@ def zero_filled(pivot: DataFrame) -> DataFrame:
     return pivot.na.fill(0.0, subset=MONTH_CELLS)
 
 
-def pivot_weekdays(means: DataFrame) -> DataFrame:
+def pivot_weekdays(means: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """One row per month number, one column per weekday number, Saturday too."""
     cells = [
         F.expr(f"sum(CASE WHEN weekday = {d} THEN growth_rate END) AS `{d}`")
         for d in WEEKDAY_NUMBERS
     ]
-    return means.groupBy("month").agg(*cells)
+    return means.groupBy(*keys, "month").agg(*cells)

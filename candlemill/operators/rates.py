@@ -41,11 +41,11 @@ def month_means(rates: DataFrame) -> DataFrame:
     return rates.groupBy("month").agg(F.avg("growth_rate").alias("growth_rate"))
 
 
-def weekday_means(rates: DataFrame) -> DataFrame:
+def weekday_means(rates: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Mean daily rate per month number and weekday, over all years."""
     return (
         rates.withColumns({"month": F.month("day"), "weekday": F.weekday("day")})
-        .groupBy("month", "weekday")
+        .groupBy(*keys, "month", "weekday")
         .agg(F.avg("growth_rate").alias("growth_rate"))
     )
 

@@ -5,14 +5,17 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from candlemill.functions.parsing import market_of
 from candlemill.functions.periods import DAY
 from candlemill.operators.bars import bars
+from candlemill.operators.upsert import combine_bars
 from candlemill.plans.flavours import FLAVOURS
 from candlemill.plans.load import LoadSettings, Store, run_load
 from candlemill.plans.reports import week_report
 from candlemill.sinks.tables import setup_tables
-from candlemill.sources.files import list_files, literal_path
+from candlemill.sources.files import base_name, list_files, literal_path
 from candlemill.sources.ticks import normalize_ticks, scan_ticks
 
 
@@ -32,13 +35,23 @@ def parser() -> argparse.ArgumentParser:
     return args
 
 
-def week_job(spark: SparkSession, source: str, mode: str = "oc", name_pattern: str | None = None) -> DataFrame:
+def week_job(
+    spark: SparkSession,
+    source: str,
+    mode: str = "oc",
+    name_pattern: str | None = None,
+    by_market: bool = False,
+) -> DataFrame:
     """Weekday report over all tick files. No bars by day are kept between runs."""
     files = list_files(spark, source, name_pattern=name_pattern)
-    paths = [literal_path(row.path) for row in files.select("path").toLocalIterator()]
+    paths = [literal_path(row.path) for row in files.select("path").collect()]
     if not paths:
         raise FileNotFoundError(f"no tick files below {source}")
-    return week_report(bars(normalize_ticks(scan_ticks(spark, paths)), DAY), mode)
+    ticks = normalize_ticks(scan_ticks(spark, paths).withColumn("file_uri", F.col("_metadata.file_path")))
+    markets = files.select("file_uri", market_of(base_name(F.col("path"))).alias("market"))
+    per_file = bars(ticks, DAY, ["file_uri"]).join(markets, "file_uri")
+    keys = ["market"] if by_market else []
+    return week_report(combine_bars(per_file, DAY, keys), mode, keys)
 
 
 def run(spark: SparkSession, argv: list[str] | None = None) -> DataFrame | None:
@@ -53,7 +66,9 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> DataFrame | None:
     elif args.source is None:
         raise SystemExit("--source is needed to calculate")
     elif args.time_mode == "week":
-        report = week_job(spark, args.source, args.calculation_mode, args.name_pattern)
+        report = week_job(
+            spark, args.source, args.calculation_mode, args.name_pattern, args.by_market
+        )
     else:
         settings = LoadSettings(by_market=args.by_market, name_pattern=args.name_pattern)
         report = run_load(

@@ -92,31 +92,32 @@ def now() -> dt.datetime:
 
 
 def start_files(
-    store: Store, files: DataFrame, settings: LoadSettings, started_at: dt.datetime
+    store: Store, files: DataFrame, settings: LoadSettings, started_at: dt.datetime, work: str
 ) -> DataFrame:
     """Choose the files with new content and log their start; returns them."""
     spark = store.spark
     new = files_to_load(manifest(files, settings.file_name), store.file_audit(), settings.retry)
     # Hashing reads every byte. Its result is stored once, outside the lineage.
-    chosen = fresh_dir(spark, "chosen-files")
-    new.write.parquet(chosen)
-    batch = spark.read.schema(new.schema).parquet(chosen)
+    new.write.parquet(f"{work}/files")
+    batch = spark.read.schema(new.schema).parquet(f"{work}/files")
     append_log(
         started_rows(batch, started_at, settings.task_name), store.file_audit_path, few_files=True
     )
     return batch
 
 
-def bars_of_files(spark: SparkSession, batch: DataFrame, paths: list[str], settings: LoadSettings) -> DataFrame:
+def bars_of_files(
+    spark: SparkSession, batch: DataFrame, paths: list[str], settings: LoadSettings, work: str
+) -> DataFrame:
     """Month bars of every file and its number of ticks, from one scan of the files."""
     raw = scan_ticks(spark, [literal_path(p) for p in paths])
     ticks = normalize_ticks(
         raw.withColumn("file_uri", F.col("_metadata.file_path")), bad_rows=settings.bad_rows
     )
     per_file = bars(ticks, MONTH, ["file_uri"], more=[F.count(F.lit(1)).alias("lines")])
-    stored = fresh_dir(spark, "file-bars")
-    per_file.join(batch.select("file_uri", "checksum", "market"), "file_uri").write.parquet(stored)
-    return spark.read.parquet(stored)
+    named = per_file.join(batch.select("file_uri", "checksum", "market"), "file_uri")
+    named.write.parquet(f"{work}/bars")
+    return spark.read.schema(named.schema).parquet(f"{work}/bars")
 
 
 def load_files(
@@ -125,27 +126,26 @@ def load_files(
     """Load those of ``files`` that are new; returns how many there were."""
     spark = store.spark
     started_at = started_at or now()
-    batch = start_files(store, files, settings, started_at)
+    work = fresh_dir(spark, "load")
+    batch = start_files(store, files, settings, started_at, work)
     # File names only, which Spark keeps on the driver for the scan anyway.
-    paths = [row.path for row in batch.select("path").toLocalIterator()]
-    if not paths:
-        return 0
-
-    per_file = bars_of_files(spark, batch, paths, settings)
-    keys = settings.keys
-    merged = upsert_with_prev_close(
-        store.bars.read(), per_file, MONTH, keys, settings.upsert, settings.prev_close
-    )
-    store.bars.commit(merged)
-    append_log(
-        with_lineage(per_file.select(*MONTH, *BAR_VALUES), started_at, settings.task_name),
-        store.bar_audit_path,
-        few_files=True,
-    )
-
-    lines = per_file.groupBy("checksum").agg(F.sum("lines").alias("lines"))
-    started = started_rows(batch, started_at, settings.task_name)
-    append_log(finished_rows(started, lines, now()), store.file_audit_path, few_files=True)
+    paths = [row.path for row in batch.select("path").collect()]
+    if paths:
+        per_file = bars_of_files(spark, batch, paths, settings, work)
+        merged = upsert_with_prev_close(
+            store.bars.read(), per_file, MONTH, settings.keys, settings.upsert, settings.prev_close
+        )
+        store.bars.commit(merged)
+        append_log(
+            with_lineage(per_file.select(*MONTH, *BAR_VALUES), started_at, settings.task_name),
+            store.bar_audit_path,
+            few_files=True,
+        )
+
+        lines = per_file.groupBy("checksum").agg(F.sum("lines").alias("lines"))
+        started = started_rows(batch, started_at, settings.task_name)
+        append_log(finished_rows(started, lines, now()), store.file_audit_path, few_files=True)
+    remove(spark, work)
     return len(paths)
 
 

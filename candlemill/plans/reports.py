@@ -96,17 +96,17 @@ def growth_report(
     return table.orderBy(*keys, "summary", "year").drop("summary")
 
 
-def week_report(days: DataFrame, mode: str = "oc") -> DataFrame:
+def week_report(days: DataFrame, mode: str = "oc", keys: Sequence[str] = ()) -> DataFrame:
     """Month name by weekday mean of daily growth, over all years.
 
     ``total`` is the mean of the weekday means and counts Saturday, which has no
     column of its own.
     """
-    wide = pivot_weekdays(weekday_means(with_rate(days, mode, DAY)))
+    wide = pivot_weekdays(weekday_means(with_rate(days, mode, DAY, keys), keys), keys)
     shown = [f"`{d}` AS {WEEKDAYS[d]}" for d in SHOWN_WEEKDAYS]
     total = present_mean(quoted(WEEKDAY_CELLS))
     return (
-        wide.orderBy("month")
+        wide.orderBy(*keys, "month")
         .withColumn("month", month_title(F.col("month")))
-        .selectExpr("month", *shown, f"{total} AS total")
+        .selectExpr(*keys, "month", *shown, f"{total} AS total")
     )

@@ -6,6 +6,7 @@ folder as tick files, one folder per day, and read back by the queries here.
 
 from __future__ import annotations
 
+import hashlib
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -212,7 +213,7 @@ def audit_lookup(spark, sf_dir):
     )
     path = fresh_dir(spark, "orc-audit")
     append_log(started_rows(files, FIRST_BATCH, "load"), path, "orc")
-    known = spark.range(1).select(F.sha2(F.lit(SPLIT_DAY), 256)).first()[0]
+    known = hashlib.sha256(SPLIT_DAY.encode()).hexdigest()
     return times_seen(read_log(spark, path, FILE_AUDIT, "orc"), known)
 
 

@@ -45,7 +45,7 @@ def stream_files(
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         session = batch.sparkSession
-        paths = [literal_path(row.path) for row in batch.toLocalIterator()]
+        paths = [literal_path(row.path) for row in batch.collect()]
         if paths:
             files = described(session.read.format("binaryFile").load(paths))
             load_files(Store(session, root, settings.by_market), files, settings)

@@ -1,9 +1,10 @@
 import itertools
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from candlemill.functions.periods import MONTH
+from candlemill.functions.periods import DAY, MONTH
 from candlemill.operators.audit import (
     audit_state,
     files_to_load,
@@ -17,8 +18,9 @@ from candlemill.operators.watermark import NEVER, high_watermark, rows_since, st
 from candlemill.plans import load as load_plan
 from candlemill.plans.jobs import run
 from candlemill.plans.load import LoadSettings, Store, load_files, run_load, start_files
-from candlemill.plans.reports import growth_report
+from candlemill.plans.reports import growth_report, week_report
 from candlemill.schemas import FILE_AUDIT, TIMED_BAR
+from candlemill.session import work_root
 from candlemill.sinks.files import VersionedTable
 from candlemill.sources.files import list_files
 from candlemill.streaming.load import stream_files, stream_ticks
@@ -68,6 +70,7 @@ def test_known_content_is_not_loaded_again(spark, tmp_path):
     write_parts(tmp_path / "in", {"a.csv": [0, 1, 2], "b.csv": [3, 4, 5]})
     store, count = load(spark, tmp_path / "in", tmp_path / "store")
     assert count == 2 and rows_of(store) == expected(spark)
+    assert not list(Path(work_root(spark).removeprefix("file:")).glob("candlemill/*/load-*"))
     write_parts(tmp_path / "in", {"same bytes.csv": [0, 1, 2]})
     store, count = load(spark, tmp_path / "in", tmp_path / "store")
     assert count == 0 and rows_of(store) == expected(spark)
@@ -148,6 +151,18 @@ def test_week_job(spark, tmp_path):
     assert [r.month for r in report.collect()] == ["January", "March", "December"]
 
 
+def test_week_job_per_market(spark, tmp_path):
+    write_parts(tmp_path / "in", {"X_EUR_2020.csv": [1, 2], "X_10 Y_USD_2020.csv": [1, 3], "X_EUR_2021.csv": [3]})
+    args = ["--store", str(tmp_path / "s"), "--source", str(tmp_path / "in"), "--time-mode", "week", "--by-market"]
+    for mode in ("oc", "cc"):
+        found = run(spark, [*args, "--calculation-mode", mode]).collect()
+        for row in found:
+            picked = {"EUR": [1, 2, 3], "USD": [1, 3]}[row.market]
+            alone = week_report(bars(ticks_frame(spark, [TICKS[i] for i in picked]), DAY), mode).first()
+            assert tuple(row)[1:] == tuple(alone)
+        assert len(found) == 2
+
+
 def test_merge_is_idempotent_and_commutes(spark):
     parts = [bars(ticks_frame(spark, [TICKS[i] for i in picked])) for picked in ([0, 2], [1, 5], [3, 4])]
     whole = sorted(bars(ticks_frame(spark, TICKS)).collect())
@@ -248,7 +263,7 @@ def test_stream_equals_batch(spark, tmp_path, start):
 def test_started_files_are_logged_before_the_load(spark, tmp_path):
     write_parts(tmp_path / "in", {"a.csv": [0]})
     store = Store(spark, str(tmp_path / "store"))
-    batch = start_files(store, list_files(spark, str(tmp_path / "in")), LoadSettings(), at("2021-01-01"))
+    batch = start_files(store, list_files(spark, str(tmp_path / "in")), LoadSettings(), at("2021-01-01"), str(tmp_path / "w"))
     assert batch.count() == 1
     log = store.file_audit().collect()
     assert [(r.event, r.start_timestamp, r.lines) for r in log] == [("started", at("2021-01-01"), None)]
