@@ -27,7 +27,7 @@ def parser() -> argparse.ArgumentParser:
     args.add_argument("--load-mode", choices=["incr", "full"], default="incr")
     args.add_argument("--time-mode", choices=["month", "week"], default="month")
     args.add_argument("--flavour", choices=sorted(FLAVOURS), default="dense")
-    args.add_argument("--name-pattern", help="regex on the path, such as XAUUSD_10.*Ask")
+    args.add_argument("--name-pattern", help="regex on the file name, such as XAUUSD_10.*Ask")
     args.add_argument("--by-market", action="store_true", help="one series per market")
     args.add_argument("--setup-db", metavar="DATABASE", help="create the tables and stop")
     args.add_argument("--get-result", action="store_true", help="show the stored report and stop")

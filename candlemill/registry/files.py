@@ -135,7 +135,7 @@ SELECT year, month, round(open, 4) AS open, round(close, 4) AS close, round(prev
 
 
 def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = list_files(spark, tick_files(spark, sf_dir), name_pattern=r"XAUUSD_10.*Ask")
+    files = list_files(spark, tick_files(spark, sf_dir)).filter(F.col("path").rlike(r"XAUUSD_10.*Ask"))
     return manifest(files, source_of(F.col("path")))
 
 

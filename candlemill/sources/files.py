@@ -39,7 +39,7 @@ def described(files: DataFrame) -> DataFrame:
 def list_files(
     spark: SparkSession, root: str, glob: str = "*.csv", name_pattern: str | None = None
 ) -> DataFrame:
-    """Regular files below ``root`` by name glob and, if given, a regex on the path.
+    """Regular files below ``root`` by name glob and, if given, a regex on the name.
 
     ``content`` is read only by a query that uses it.
     """
@@ -50,7 +50,7 @@ def list_files(
         .load(root)
     )
     if name_pattern is not None:
-        files = files.filter(F.col("path").rlike(name_pattern))
+        files = files.filter(base_name(F.col("path")).rlike(name_pattern))
     return described(files)
 
 
