@@ -60,9 +60,8 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> DataFrame | None:
         setup_tables(spark, args.setup_db, f"{args.store.rstrip('/')}/{args.setup_db}")
         return None
     if args.get_result:
-        report = spark.read.csv(
-            Store(spark, args.store).report_path, sep=";", header=True, inferSchema=False
-        )
+        report = spark.read.csv(Store(spark, args.store).report_path, sep=";", header=True)
+        report = report.orderBy(*report.columns[: report.columns.index("year") + 1])
     elif args.source is None:
         raise SystemExit("--source is needed to calculate")
     elif args.time_mode == "week":

@@ -30,6 +30,7 @@ from candlemill.sinks.files import (
 )
 from candlemill.sinks.tables import with_lineage
 from candlemill.sources.files import list_files, literal_path, manifest
+from candlemill.sources.tables import stored_report_csv
 from candlemill.sources.ticks import normalize_ticks, scan_ticks
 
 MARKET = T.StructField("market", T.StringType())
@@ -149,10 +150,17 @@ def load_files(
     return len(paths)
 
 
-def store_report(store: Store, report: DataFrame, settings: LoadSettings, loaded_at: dt.datetime) -> None:
-    """The finished report as one CSV file, and a copy of its rows in the report audit."""
-    write_report_csv(report, store.report_path)
-    append_log(with_lineage(report, loaded_at, settings.task_name), store.report_audit_path)
+def store_report(
+    store: Store, report: DataFrame, settings: LoadSettings, loaded_at: dt.datetime
+) -> DataFrame:
+    """The report as CSV and its rows in the report audit; returns what was stored.
+
+    Everything after the CSV reads it back, so the report is computed once.
+    """
+    write_report_csv(report, store.report_path, single=not settings.keys)
+    stored = stored_report_csv(store.spark, store.report_path, report.schema, settings.keys)
+    append_log(with_lineage(stored, loaded_at, settings.task_name), store.report_audit_path)
+    return stored
 
 
 def run_load(
@@ -180,5 +188,4 @@ def run_load(
     if load_files(store, files, settings, loaded_at) == 0:
         print("no new files")
     report = growth_report(store.bars.read(), flavour, mode, settings.keys)
-    store_report(store, report, settings, loaded_at)
-    return report
+    return store_report(store, report, settings, loaded_at)

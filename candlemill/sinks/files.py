@@ -11,9 +11,12 @@ from pyspark.sql.types import StructType
 from candlemill.session import no_rows
 
 
-def write_report_csv(report: DataFrame, path: str) -> None:
-    """One part file, ``;``, header. For finished reports: a row per year."""
-    report.coalesce(1).write.mode("overwrite").csv(path, sep=";", header=True)
+def write_report_csv(report: DataFrame, path: str, single: bool = True) -> None:
+    """CSV with ``;`` and header. ``single`` makes one part file, for a report with a row
+    per year; a report with a block per instrument keeps its parts."""
+    if single:
+        report = report.coalesce(1)
+    report.write.mode("overwrite").csv(path, sep=";", header=True)
 
 
 def append_log(

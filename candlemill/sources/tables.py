@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -21,6 +23,14 @@ def stored_report(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.table(table).orderBy("year")
 
 
+def stored_report_csv(
+    spark: SparkSession, path: str, schema: StructType, keys: Sequence[str] = ()
+) -> DataFrame:
+    """The last report from its CSV files, in order."""
+    stored = spark.read.schema(schema).csv(path, sep=";", header=True)
+    return stored.orderBy(*keys, "year")
+
+
 def jdbc_options(
     url: str,
     table: str,

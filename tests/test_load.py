@@ -127,6 +127,17 @@ def test_one_series_per_market(spark, tmp_path):
     assert [(r.market, r.open) for r in store.bars.read().orderBy("market").collect()] == [("EUR", 100), ("USD", 102)]
 
 
+def test_job_per_market(spark, tmp_path):
+    write_parts(tmp_path / "in", {"X_EUR_2020.csv": [0, 1, 5], "X_USD_2020.csv": [2, 4]})
+    settings = LoadSettings(by_market=True)
+    report = run_load(spark, str(tmp_path / "in"), str(tmp_path / "s"), flavour="mysql", settings=settings)
+    expected_rows = []
+    for market, picked in (("EUR", [0, 1, 5]), ("USD", [2, 4])):
+        alone = growth_report(bars(ticks_frame(spark, [TICKS[i] for i in picked])), "mysql")
+        expected_rows += [(market, *r) for r in alone.collect()]
+    assert [tuple(r) for r in report.collect()] == expected_rows
+
+
 def test_job_incremental_full_and_stored_result(spark, tmp_path, capsys):
     source, root = tmp_path / "in", str(tmp_path / "store")
     write_parts(source, {"a.csv": [0, 1, 3]})
