@@ -8,7 +8,7 @@ again, which changes nothing.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from candlemill.functions.periods import MONTH
 from candlemill.operators.bars import bars
@@ -19,6 +19,14 @@ from candlemill.sources.files import FILE_SCHEMA, described, literal_path
 from candlemill.sources.ticks import normalize_ticks, tick_options
 
 
+def _started(
+    writer: DataStreamWriter, checkpoint: str, interval: str | None
+) -> StreamingQuery:
+    """Look for files every ``interval``; without one, take what is there now and stop."""
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 def stream_files(
     spark: SparkSession,
     source: str,
@@ -26,6 +34,7 @@ def stream_files(
     checkpoint: str,
     settings: LoadSettings | None = None,
     files_per_batch: int = 1000,
+    interval: str | None = None,
 ) -> StreamingQuery:
     """Load files as they arrive, with content hash and audit as in the batch job.
 
@@ -50,12 +59,7 @@ def stream_files(
             files = described(session.read.format("binaryFile").load(paths))
             load_files(Store(session, root, settings.by_market), files, settings)
 
-    return (
-        names.writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _started(names.writeStream.foreachBatch(load), checkpoint, interval)
 
 
 def stream_ticks(
@@ -64,6 +68,7 @@ def stream_ticks(
     root: str,
     checkpoint: str,
     files_per_batch: int = 1000,
+    interval: str | None = None,
 ) -> StreamingQuery:
     """Merge ticks straight into the bars, one merge per micro-batch, without audit.
 
@@ -82,9 +87,4 @@ def stream_ticks(
         stored = Store(batch.sparkSession, root).bars
         stored.commit(upsert_with_prev_close(stored.read(), bars(batch, MONTH)))
 
-    return (
-        ticks.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _started(ticks.writeStream.foreachBatch(merge), checkpoint, interval)

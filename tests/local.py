@@ -15,7 +15,7 @@ def local_session(cpus: str | None = None) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", cpus or "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", "file:" + tempfile.mkdtemp(prefix="candlemill-"))
         .getOrCreate()

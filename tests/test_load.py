@@ -13,6 +13,7 @@ from candlemill.operators.audit import (
     times_seen,
 )
 from candlemill.operators.bars import bars
+from candlemill.operators.prev_close import with_prev_close
 from candlemill.operators.upsert import merge_bars, upsert_with_prev_close
 from candlemill.operators.watermark import NEVER, high_watermark, rows_since, stamped
 from candlemill.plans import load as load_plan
@@ -22,6 +23,7 @@ from candlemill.plans.reports import growth_report, week_report
 from candlemill.schemas import FILE_AUDIT, TIMED_BAR
 from candlemill.session import work_root
 from candlemill.sinks.files import VersionedTable
+from candlemill.sinks.tables import TABLES, insert_rows, setup_tables, truncate_and_load, truncate_tables
 from candlemill.sources.files import list_files
 from candlemill.streaming.load import stream_files, stream_ticks
 from tests.helpers import at, tick_line, ticks_frame, write_ticks
@@ -271,6 +273,20 @@ def test_stream_equals_batch(spark, tmp_path, start):
     assert rows_of(Store(spark, root)) == expected(spark)
 
 
+def test_stream_that_keeps_running(spark, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "store")
+    write_parts(source, {"early.csv": [0, 1, 3]})
+    query = stream_files(spark, str(source), root, f"{root}/cp", interval="1 second")
+    try:
+        query.processAllAvailable()
+        write_parts(source, {"late.csv": [2, 4, 5], "copy of early.csv": [0, 1, 3]})
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows_of(Store(spark, root)) == expected(spark)
+    assert audit_state(Store(spark, root).file_audit()).count() == 2
+
+
 def test_started_files_are_logged_before_the_load(spark, tmp_path):
     write_parts(tmp_path / "in", {"a.csv": [0]})
     store = Store(spark, str(tmp_path / "store"))
@@ -278,3 +294,18 @@ def test_started_files_are_logged_before_the_load(spark, tmp_path):
     assert batch.count() == 1
     log = store.file_audit().collect()
     assert [(r.event, r.start_timestamp, r.lines) for r in log] == [("started", at("2021-01-01"), None)]
+
+
+def test_tables_are_set_up_once_and_truncated(spark, tmp_path):
+    location = f"file:{tmp_path}/db"
+    setup_tables(spark, "candlemill_test", location)
+    rows = with_prev_close(bars(ticks_frame(spark, TICKS)))
+    insert_rows(rows, "candlemill_test.bar_staging")
+    insert_rows(rows, "candlemill_test.bar_staging")
+    setup_tables(spark, "candlemill_test", location)
+    assert spark.table("candlemill_test.bar_staging").count() == 2 * rows.count()
+    truncate_and_load(rows, "candlemill_test.bar_staging")
+    assert sorted(spark.table("candlemill_test.bar_staging").select(*rows.columns).collect()) == sorted(rows.collect())
+    truncate_tables(spark, "candlemill_test")
+    assert all(spark.table(f"candlemill_test.{name}").count() == 0 for name in TABLES)
+    spark.sql("DROP DATABASE candlemill_test CASCADE")
