@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from candlemill.functions.periods import DAY, MONTH, period_columns
 
-
 BOUNDS = ("first_time", "last_time")
 
 
