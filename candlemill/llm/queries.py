@@ -8,17 +8,41 @@ from pyspark.sql import DataFrame, SparkSession
 
 from candlemill.llm.common import table
 from candlemill.llm.jaccard_join import jaccard_components
+from candlemill.llm.mixing import mix
+from candlemill.llm.packing import pack
+from candlemill.llm.toxicity import toxicity
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where this machine keeps a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return jaccard_components(docs, width=3, num=90, den=100)
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def llm_queries() -> dict[str, Run]:
-    return {f.__name__: f for f in (op1_jaccard_join,)}
+    return {
+        f.__name__: f for f in (op1_jaccard_join, op3_packing, op4_mixing, op6_toxicity)
+    }
 
 
 def llm_sql() -> dict[str, str]:
