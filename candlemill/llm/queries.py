@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from candlemill.llm.common import table
 from candlemill.llm.jaccard_join import jaccard_components
+from candlemill.llm.line_dedup import drop_templates
 from candlemill.llm.mixing import mix
 from candlemill.llm.packing import pack
 from candlemill.llm.toxicity import toxicity
@@ -27,6 +28,10 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(docs, width=3, num=90, den=100)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_templates(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -40,10 +45,56 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Run]:
-    return {
-        f.__name__: f for f in (op1_jaccard_join, op3_packing, op4_mixing, op6_toxicity)
-    }
+    operators = (op1_jaccard_join, op2_line_dedup, op3_packing, op4_mixing, op6_toxicity)
+    return {f.__name__: f for f in operators}
+
+
+# Lines that hold a digit in a token, or too few common tokens, go by the same rules here.
+OP2_SQL = r"""
+WITH texts AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
+split AS (
+  SELECT text, unnest(string_split(text, chr(10))) AS l,
+         generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line
+  FROM texts),
+parsed AS (
+  SELECT text, line, tok, len(tok) AS words, tok[1:3] AS head
+  FROM (SELECT text, line,
+               [CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END
+                FOR x IN regexp_extract_all(l, '[^\x20\x09-\x0D]+')] AS tok
+        FROM split)
+  WHERE len(tok) > 0),
+leaves AS (
+  SELECT words, head FROM parsed GROUP BY words, head HAVING count(DISTINCT text) >= 5),
+tokens AS (
+  SELECT text, line, words, head, unnest(tok) AS token, generate_subscripts(tok, 1) AS position
+  FROM parsed JOIN leaves USING (words, head)),
+constant AS (
+  SELECT words, head, position, token FROM tokens
+  GROUP BY words, head, position, token HAVING count(DISTINCT text) >= 5),
+templates AS (
+  SELECT text, line, words, head, list((position, token) ORDER BY position) AS template
+  FROM tokens JOIN constant USING (words, head, position, token)
+  GROUP BY text, line, words, head
+  HAVING count(*) * 100 >= words * 60),
+often AS (
+  SELECT words, head, template FROM templates
+  GROUP BY words, head, template HAVING count(DISTINCT text) >= 5),
+gone AS (
+  SELECT text, list(line) AS gone, sum(words) AS gone_words
+  FROM templates JOIN often USING (words, head, template) GROUP BY text),
+judged AS (
+  SELECT d.*, string_split(d.text, chr(10)) AS parts, g.gone,
+         coalesce(g.gone_words * 100
+                  <= len(regexp_extract_all(d.text, '[^\x20\x09-\x0D]+')) * 50, false) AS cut
+  FROM documents d LEFT JOIN gone g ON d.text = g.text)
+SELECT doc_id, lang, source, n_chars,
+       CASE WHEN cut THEN array_to_string(
+         list_filter(parts, (x, i) -> NOT list_contains(gone, i - 1)), chr(10)) ELSE text END AS text,
+       CASE WHEN coalesce(length(text), 0) = 0 THEN 0 ELSE len(parts) END::INT AS n_lines,
+       CASE WHEN cut THEN len(gone) ELSE 0 END::INT AS n_dropped
+FROM judged
+"""
 
 
 def llm_sql() -> dict[str, str]:
-    return {}
+    return {"op2_line_dedup": OP2_SQL}
