@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from candlemill.llm.common import table
 from candlemill.llm.jaccard_join import jaccard_components
+from candlemill.llm.language import language_id
 from candlemill.llm.line_dedup import drop_templates
 from candlemill.llm.mixing import mix
 from candlemill.llm.packing import pack
+from candlemill.llm.quality import quality
 from candlemill.llm.toxicity import toxicity
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -40,12 +42,28 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Run]:
-    operators = (op1_jaccard_join, op2_line_dedup, op3_packing, op4_mixing, op6_toxicity)
+    operators = (
+        op1_jaccard_join,
+        op2_line_dedup,
+        op3_packing,
+        op4_mixing,
+        op5_quality,
+        op6_toxicity,
+        op8_language,
+    )
     return {f.__name__: f for f in operators}
 
 
@@ -89,7 +107,7 @@ judged AS (
   FROM documents d LEFT JOIN gone g ON d.text = g.text)
 SELECT doc_id, lang, source, n_chars,
        CASE WHEN cut THEN array_to_string(
-         list_filter(parts, (x, i) -> NOT list_contains(gone, i - 1)), chr(10)) ELSE text END AS text,
+         list_filter(parts, lambda x, i: NOT list_contains(gone, i - 1)), chr(10)) ELSE text END AS text,
        CASE WHEN coalesce(length(text), 0) = 0 THEN 0 ELSE len(parts) END::INT AS n_lines,
        CASE WHEN cut THEN len(gone) ELSE 0 END::INT AS n_dropped
 FROM judged
