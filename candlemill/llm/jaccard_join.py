@@ -21,8 +21,10 @@ from candlemill.llm.common import saved, semi_join
 from candlemill.llm.components import connected_components
 from candlemill.llm.words import U64, mix, shingle_sets
 
-# Rounds in which a part's sets are compared with one of them before all are.
-STAR_ROUNDS = 2
+# Members of a part that are compared with as many others at once.
+CHUNK = 256
+_TILE = ["part", "i", "j", "chunk", "doc_id", "component", "n", "bits"]
+_PAIR = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 _OUT_ROWS = 500
 
 
@@ -32,7 +34,8 @@ class Tiles:
     def __init__(self, num: int, den: int):
         if not 0 < num <= den:
             raise ValueError("the threshold must be above 0 and at most 1")
-        largest = [1]
+        # At a threshold of 1 only equal sets link: one band, one part.
+        largest = [1 if num < den else 1 << 31]
         while largest[-1] < 1 << 31:
             largest.append(max(largest[-1] * den // num, largest[-1] + 1))
         self.largest = np.array(largest)
@@ -76,12 +79,17 @@ def bitmap_of(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(out, bitorder="little").view(U64)
 
 
+def folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """A bitmap of fewer words: what it would have been with fewer bits."""
+    while len(bits) > width:
+        bits = bits[: len(bits) // 2] | bits[len(bits) // 2 :]
+    return bits
+
+
 def overlap_bound(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int) -> int:
     """No two sets with these bitmaps and sizes share more shingles than this."""
-    while len(a) > len(b):
-        a = a[: len(a) // 2] | a[len(a) // 2 :]
-    while len(b) > len(a):
-        b = b[: len(b) // 2] | b[len(b) // 2 :]
+    width = min(len(a), len(b))
+    a, b = folded(a, width), folded(b, width)
     only_a = int(np.bitwise_count(a & ~b).sum())
     only_b = int(np.bitwise_count(b & ~a).sum())
     return min(n_a - only_a, n_b - only_b)
@@ -218,12 +226,17 @@ def linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     def may(a, b, n_a, n_b):
         return overlap_bound(a, n_a, b, n_b) * (den + num) >= num * (n_a + n_b)
 
+    sized = F.least("n_u", "n_v") * den >= F.greatest("n_u", "n_v") * num
+    pairs = _with_sides(pairs, sets, "bits").where(sized)
+    return intersecting(pairs.mapInArrow(_keep("bits", may), "u long, v long"), sets, num, den)
+
+
+def intersecting(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (u, v) whose sets reach the threshold, by their sorted arrays."""
+
     def does(a, b, n_a, n_b):
         return overlap(a, b) * (den + num) >= num * (n_a + n_b)
 
-    sized = F.least("n_u", "n_v") * den >= F.greatest("n_u", "n_v") * num
-    pairs = _with_sides(pairs, sets, "bits").where(sized)
-    pairs = pairs.mapInArrow(_keep("bits", may), "u long, v long")
     pairs = _with_sides(pairs, sets, "shingles")
     return pairs.mapInArrow(_keep("shingles", does), "u long, v long")
 
@@ -232,55 +245,115 @@ def _ordered(a: str, b: str):
     return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
 
 
+def _within_tiles(num: int, den: int):
+    """A mapInArrow function over members sorted by tile: pairs that their bitmaps allow.
+
+    Pairs of one component are passed over. A tile holds two chunks of a part's members at
+    most, so what is compared at once is bounded however many members a part has.
+    """
+    empty = pa.RecordBatch.from_pydict({"u": [], "v": []}, schema=_PAIR)
+
+    def compare(tile: list[tuple]) -> list[tuple[int, int]]:
+        _, i, j, chunk, node, component, n, bits = (list(c) for c in zip(*tile))
+        width = min(len(b) for b in bits)
+        bits = np.array([folded(b, width) for b in bits])
+        chunk, node, component, n = (np.array(c) for c in (chunk, node, component, n))
+        right = np.flatnonzero(chunk == j[0])
+        out = []
+        for x in np.flatnonzero(chunk == i[0]):
+            y = right[right > x] if i[0] == j[0] else right
+            y = y[component[y] != component[x]]
+            y = y[np.minimum(n[y], n[x]) * den >= np.maximum(n[y], n[x]) * num]
+            bound = np.minimum(
+                n[x] - np.bitwise_count(bits[x] & ~bits[y]).sum(axis=1, dtype=np.int64),
+                n[y] - np.bitwise_count(bits[y] & ~bits[x]).sum(axis=1, dtype=np.int64),
+            )
+            for v in node[y[bound * (den + num) >= num * (n[x] + n[y])]]:
+                out.append((int(min(node[x], v)), int(max(node[x], v))))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile: list[tuple] = []
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            columns = [batch.column(c).to_pylist() for c in _TILE[:-1]]
+            bits = batch.column("bits")
+            for k, row in enumerate(zip(*columns)):
+                if tile and tile[0][:3] != row[:3]:
+                    found += compare(tile)
+                    tile = []
+                tile.append((*row, np.frombuffer(bits[k].as_buffer(), U64)))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found)], schema=_PAIR)
+        found = compare(tile) if tile else []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found)], schema=_PAIR)
+        yield empty
+
+    return run
+
+
+def _tiled(open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members of open parts dealt into tiles: pairs of chunks of about CHUNK members."""
+    chunks = open_.groupBy("part").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    bits = sets.select("doc_id", "n", "bits")
+    held = open_.join(chunks, "part").join(bits, "doc_id")
+    chunk = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
+    held = held.withColumn("chunk", chunk).withColumn(
+        "tile",
+        F.explode(
+            F.expr(
+                "transform(sequence(0, chunks - 1),"
+                " c -> struct(least(c, chunk) AS i, greatest(c, chunk) AS j))"
+            )
+        ),
+    )
+    held = held.withColumn("i", F.col("tile.i")).withColumn("j", F.col("tile.j"))
+    return held.select(*_TILE).repartition("part", "i", "j").sortWithinPartitions("part", "i", "j")
+
+
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the parts that reach into two components at least."""
+    named = labels.withColumnRenamed("node", "doc_id")
+    all_ = members.join(named, "doc_id", "left").select(
+        "part", "doc_id", F.coalesce("component", "doc_id").alias("component")
+    )
+    split = all_.groupBy("part").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+    return all_.join(split.where("a < b").select("part"), "part", "left_semi")
+
+
 def _components_of_members(
     members: DataFrame, sets: DataFrame, num: int, den: int
 ) -> DataFrame:
     """(node, component) of the documents that link with any other.
 
-    First the sets of a part are compared with one of them: the smallest id, then the one
-    with the most links so far. Copies of one text meet there, and what is left are pairs
-    of a part that lie in different components: all of those are compared.
+    First the members of a part are compared with its smallest id, then, where a part still
+    reaches into several components, with the one that lies in most such parts. Copies of
+    one text meet there. What is left are pairs of a part in different components; all of
+    those are compared, tile by tile.
     """
-    spark = members.sparkSession
-    tried = None
-    links = spark.createDataFrame([], "u long, v long")
-    labels = None
-    for step in range(STAR_ROUNDS + 1):
-        if labels is None:
-            open_ = members.withColumn("component", F.col("doc_id"))
-        else:
-            open_ = members.join(
-                labels.withColumnRenamed("node", "doc_id"), "doc_id", "left"
-            ).withColumn("component", F.coalesce("component", "doc_id"))
-            split = open_.groupBy("part").agg(
-                F.min("component").alias("a"), F.max("component").alias("b")
-            )
-            open_ = saved(
-                open_.join(split.where("a < b").select("part"), "part", "left_semi"), "open"
-            )
-            if open_.isEmpty():
-                break
-        if step == 0:
-            pairs = open_.where("doc_id <> low").select(*_ordered("doc_id", "low"))
-        elif step < STAR_ROUNDS:
-            degree = links.select(F.explode(F.array("u", "v")).alias("doc_id")).groupBy("doc_id")
-            ranked = open_.join(degree.count(), "doc_id", "left").groupBy("part")
-            rank = F.struct(F.coalesce("count", F.lit(0)).alias("n"), (-F.col("doc_id")).alias("id"))
-            hub = ranked.agg((-F.max(rank)["id"]).alias("hub"), F.max_by("component", rank).alias("c"))
-            pairs = open_.join(hub, "part").where("component <> c").select(*_ordered("doc_id", "hub"))
-        else:
-            left = open_.select("part", F.col("doc_id").alias("x"), F.col("component").alias("cx"))
-            right = open_.select("part", F.col("doc_id").alias("y"), F.col("component").alias("cy"))
-            pairs = left.join(right, "part").where("cx < cy").select(*_ordered("x", "y"))
-        pairs = pairs.distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["u", "v"], "left_anti")
-        pairs = saved(pairs, "pairs")
-        found = saved(linked(pairs, sets, num, den), "linked")
-        links = links.union(found)
-        labels = saved(connected_components(links), "labels")
-        tried = pairs if tried is None else tried.union(pairs)
-    return labels
+    pairs = members.where("doc_id <> low").select(*_ordered("doc_id", "low")).distinct()
+    links = saved(linked(pairs, sets, num, den), "linked")
+    labels = saved(connected_components(links), "labels")
+    open_ = saved(_labelled(members, labels), "open")
+    if open_.isEmpty():
+        return labels
+
+    spread = open_.groupBy("doc_id").agg(F.count("*").alias("parts"))
+    rank = F.struct("parts", (-F.col("doc_id")).alias("id"))
+    hub = open_.join(spread, "doc_id").groupBy("part").agg(
+        (-F.max(rank)["id"]).alias("hub"), F.max_by("component", rank).alias("c")
+    )
+    pairs = open_.join(hub, "part").where("component <> c").select(*_ordered("doc_id", "hub"))
+    links = links.union(saved(linked(pairs.distinct(), sets, num, den), "linked"))
+    labels = saved(connected_components(links), "labels")
+    open_ = saved(_labelled(open_.select("part", "doc_id"), labels), "open")
+    if open_.isEmpty():
+        return labels
+
+    pairs = _tiled(open_, sets).mapInArrow(_within_tiles(num, den), "u long, v long").distinct()
+    links = links.union(saved(intersecting(saved(pairs, "pairs"), sets, num, den), "linked"))
+    return saved(connected_components(links), "labels")
 
 
 def jaccard_components(
