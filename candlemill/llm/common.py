@@ -2,16 +2,36 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import candlemill
 from candlemill.session import fresh_dir
 
 # A list of ids is broadcast up to this many; a shuffle join does the same work beyond it.
 BROADCAST_IDS = 1_000_000
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for each application, as --py-files would."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        _shipped.add(app)
+        root = Path(candlemill.__file__).parent.parent
+        folder = tempfile.mkdtemp(prefix="candlemill-")
+        archive = shutil.make_archive(f"{folder}/candlemill", "zip", root, "candlemill")
+        spark.sparkContext.addPyFile(archive)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -11,6 +11,7 @@ from candlemill.llm.jaccard_join import jaccard_components
 from candlemill.llm.language import language_id
 from candlemill.llm.line_dedup import drop_templates
 from candlemill.llm.mixing import mix
+from candlemill.llm.nearest import nearest
 from candlemill.llm.packing import pack
 from candlemill.llm.quality import quality
 from candlemill.llm.toxicity import toxicity
@@ -54,6 +55,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def llm_queries() -> dict[str, Run]:
     operators = (
         op1_jaccard_join,
@@ -63,6 +68,7 @@ def llm_queries() -> dict[str, Run]:
         op5_quality,
         op6_toxicity,
         op8_language,
+        op10_nearest,
     )
     return {f.__name__: f for f in operators}
 
