@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from candlemill.llm.common import table
+from candlemill.llm.fingerprints import fingerprints
 from candlemill.llm.jaccard_join import jaccard_components
 from candlemill.llm.language import language_id
 from candlemill.llm.line_dedup import drop_templates
@@ -14,6 +15,7 @@ from candlemill.llm.mixing import mix
 from candlemill.llm.nearest import nearest
 from candlemill.llm.packing import pack
 from candlemill.llm.quality import quality
+from candlemill.llm.secrets import secrets
 from candlemill.llm.toxicity import toxicity
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -51,10 +53,18 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets(table(spark, sf_dir, "documents"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
@@ -67,7 +77,9 @@ def llm_queries() -> dict[str, Run]:
         op4_mixing,
         op5_quality,
         op6_toxicity,
+        op7_secrets,
         op8_language,
+        op9_fingerprints,
         op10_nearest,
     )
     return {f.__name__: f for f in operators}
