@@ -34,6 +34,7 @@ ROUNDS = 12
 STEPS = 10
 SEED = 6
 THRESHOLD = 0.3
+LOWEST = -50.0
 
 _WORD_BYTE = np.zeros(256, bool)
 _WORD_BYTE[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -106,11 +107,11 @@ def _passages(first: np.ndarray, words: int, stride: int) -> tuple[np.ndarray, .
 
 
 def margins(model: Model, texts: pa.Array) -> np.ndarray:
-    """The largest passage margin of each text; a text without words has the empty bag's."""
+    """The largest passage margin of each text; a text without words has the lowest there is."""
     out = []
     for _, _, data, offsets in utf8_runs(pc.utf8_lower(texts)):
         _, first, buckets, words = word_grams(data, offsets)
-        best = np.full(len(offsets) - 1, model.bias)
+        best = np.full(len(offsets) - 1, LOWEST)
         n = int(first[-1])
         if n:
             total = np.concatenate([[0.0], np.cumsum(np.bincount(words, model.margin[buckets], n))])
@@ -153,7 +154,9 @@ def train(texts: list[str], labels: np.ndarray, seed: int = SEED) -> Model:
     rng = np.random.default_rng(seed)
     embedding = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS))
     softmax = rng.normal(0, 0.1, (DIMENSIONS, 2))
-    bias = np.zeros(2)
+    # Words that nothing is known of leave a passage clean: the bias begins low and moves
+    # slowly, so what tells a toxic passage has to come from its words.
+    bias = np.array([1.5, -1.5])
     seen = [np.full_like(x, 1e-8) for x in (embedding, softmax, bias)]
 
     def all_margins() -> np.ndarray:
@@ -172,7 +175,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = SEED) -> Model:
         for which, value, gradient, rate in (
             (0, embedding, of_bucket[:, None] * along, 0.3),
             (1, softmax, np.outer(toward, [-1.0, 1.0]), 0.1),
-            (2, bias, error.sum() * np.array([-1.0, 1.0]), 0.1),
+            (2, bias, error.sum() * np.array([-1.0, 1.0]), 0.01),
         ):
             seen[which] += gradient**2
             value -= rate * gradient / np.sqrt(seen[which])
@@ -259,13 +262,13 @@ def held_out_fold():
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` (doc_id, text, ...) with ``score`` in [0, 1]: the softmax of its worst passage.
 
-    A null or empty text, or one without letters and digits, gets the score of an empty
-    bag. Each row is scored by its whole text alone; equal texts get equal scores.
+    A null or empty text, or one without letters and digits, has no passage and scores next
+    to 0. Each row is scored by its whole text alone; equal texts get equal scores.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = 1 / (1 + np.exp(-np.clip(margins(model, batch.column(1)), -50, 50)))
+            p = 1 / (1 + np.exp(-np.clip(margins(model, batch.column(1)), LOWEST, -LOWEST)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(p, pa.float64())], names=["doc_id", "score"]
             )
@@ -279,7 +282,7 @@ def below(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = 1 / (1 + np.exp(-np.clip(margins(model, batch.column(text)), -50, 50)))
+            p = 1 / (1 + np.exp(-np.clip(margins(model, batch.column(text)), LOWEST, -LOWEST)))
             yield batch.filter(pa.array(p < threshold))
 
     return docs.mapInArrow(run, docs.schema)

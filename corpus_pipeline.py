@@ -57,7 +57,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A part holds the words of its range with the white space between them. Documents that
     the mix takes nothing of go.
     """
-    taken = mix(docs).where("taken > 0 OR size = 0").select("doc_id", "size", "copies", "parts")
+    taken = mix(docs).where("taken > 0").select("doc_id", "size", "copies", "parts")
     # Rows alike in id and size are taken in any order; they are numbered on both sides.
     alike = Window.partitionBy("_id", "_size").orderBy("_order")
     taken = taken.select(
