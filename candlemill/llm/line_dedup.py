@@ -22,8 +22,8 @@ from candlemill.llm.words import U64, mix, utf8_runs, word_hashes
 DEPTH = 3
 # Different documents that a template must occur in to be dropped.
 MIN_DOCS = 5
-# Part of a template's tokens that must be constant, by hundredths.
-MIN_CONSTANT = 60
+# Part of a line's tokens without a digit that must be constant, by hundredths.
+MIN_CONSTANT = 70
 # A document of which more than this part of the words (by hundredths) would go is a copy of
 # others as a whole; it keeps its lines.
 MOST_DROPPED = 50
@@ -32,23 +32,19 @@ _NEWLINE = 0x0A
 _DIGIT = np.zeros(256, bool)
 _DIGIT[0x30:0x3A] = True
 _FIELD = U64(0xF1E1D)
+_LINE = ["text_key", "line", "words", "leaf", "tokens"]
 _LINE_SCHEMA = "text_key long, line int, words int, leaf long, tokens array<long>"
-_LINE_ARROW = pa.schema(
-    [
-        ("text_key", pa.int64()),
-        ("line", pa.int32()),
-        ("words", pa.int32()),
-        ("leaf", pa.int64()),
-        ("tokens", pa.list_(pa.int64())),
-    ]
-)
-
-
-def _lines_of(data: np.ndarray, offsets: np.ndarray, depth: int):
-    """(text, line number, tokens, leaf) of each line with a token in a run of texts."""
+
+
+def _lines_of(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray, ...]:
+    """Lines with a token in a run of texts: (text, line number, leaf, tokens, cuts).
+
+    ``tokens`` holds those of all lines one after the other, ``cuts`` where each begins.
+    """
     hashes, first = word_hashes(data, offsets, lower=False)
     if not len(hashes):
-        return
+        none = np.zeros(0, np.int64)
+        return none, none, none.astype(U64), none.astype(U64), np.zeros(1, np.int64)
     space = np.isin(data, [0x20, *range(0x09, 0x0E)])
     begins = ~space
     begins[1:] &= space[:-1]
@@ -56,43 +52,39 @@ def _lines_of(data: np.ndarray, offsets: np.ndarray, depth: int):
     begins[edges] = ~space[edges]
     starts = np.flatnonzero(begins)
     digits = np.add.reduceat(_DIGIT[data].astype(np.int64), starts) > 0
-    hashes = np.where(digits, _FIELD, hashes)
+    tokens = np.where(digits, _FIELD, hashes)
     newlines = np.concatenate([[0], np.cumsum(data == _NEWLINE)])
     line = newlines[starts]
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    cut = np.flatnonzero(np.diff(line, prepend=-1) | np.diff(text, prepend=-1))
-    for a, b in zip(cut, np.append(cut[1:], len(starts))):
-        head = hashes[a : min(a + depth, b)]
-        power = np.arange(3, 3 + 2 * len(head), 2, dtype=U64)
-        leaf = mix(np.array([(mix(head) * power).sum(dtype=U64) + U64(b - a)]))[0]
-        t = int(text[a])
-        yield t, int(line[a] - newlines[offsets[t]]), hashes[a:b], leaf
+    cut = np.flatnonzero((np.diff(line, prepend=-1) != 0) | (np.diff(text, prepend=-1) != 0))
+    cuts = np.append(cut, len(tokens))
+    count = np.diff(cuts)
+    leaf = count.astype(U64)
+    for place in range(depth):
+        at = np.minimum(cut + place, len(tokens) - 1)
+        leaf += np.where(count > place, mix(tokens[at]) * U64(3 + 2 * place), U64(0))
+    text = text[cut]
+    return text, line[cut] - newlines[offsets[text]], mix(leaf), tokens, cuts
 
 
-def _parse(depth: int):
-    """A mapInArrow function from (text_key, text) to the lines of each text."""
+def _parse(depth: int, with_tokens: bool):
+    """A mapInArrow function from (text_key, text) to the leaves or the lines of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, _, data, offsets in utf8_runs(batch.column(1)):
-                found = list(_lines_of(data, offsets, depth))
-                if not found:
+                text, line, leaf, tokens, cuts = _lines_of(data, offsets, depth)
+                key = batch.column(0).take(pa.array(text + at))
+                leaf = pa.array(leaf.view(np.int64))
+                if not with_tokens:
+                    yield pa.RecordBatch.from_arrays([key, leaf], names=["text_key", "leaf"])
                     continue
-                text, line, tokens, leaf = zip(*found)
-                of = pa.array(np.array(text) + at)
-                sizes = np.array([len(t) for t in tokens])
-                flat = np.concatenate(tokens).view(np.int64)
-                ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(of),
-                        pa.array(line, pa.int32()),
-                        pa.array(sizes, pa.int32()),
-                        pa.array(np.array(leaf, U64).view(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                    ],
-                    schema=_LINE_ARROW,
+                lists = pa.ListArray.from_arrays(
+                    pa.array(cuts.astype(np.int32)), pa.array(tokens.view(np.int64))
                 )
+                line = pa.array(line.astype(np.int32))
+                words = pa.array(np.diff(cuts).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([key, line, words, leaf, lists], names=_LINE)
 
     return run
 
@@ -106,30 +98,34 @@ def template_lines(
 ) -> DataFrame:
     """(text_key, line, words) of the lines whose template recurs, by a hash of their text.
 
-    Equal texts count as one document. A template is a leaf with the tokens that at least
-    ``min_docs`` documents have at their position; it recurs if as many have it and at
-    least ``min_constant`` hundredths of its tokens are constant. All counts are of rows
+    Equal texts count as one document. A template is a leaf with the constant tokens:
+    those without a digit that at least ``min_docs`` documents have at their position. It
+    recurs if as many documents have it and at least ``min_constant`` hundredths of the
+    line's tokens without a digit are constant, one at least. All counts are of rows
     made distinct first, so a line in very many documents is reduced in each task.
     """
     texts = docs.select(_text_key().alias("text_key"), "text").where("text IS NOT NULL")
     # Only leaves, and later only lines of recurring leaves, go through a shuffle.
-    parsed = texts.mapInArrow(_parse(depth), _LINE_SCHEMA)
-    leaves = parsed.select("leaf", "text_key").distinct().groupBy("leaf").count()
+    leaves = texts.mapInArrow(_parse(depth, False), "text_key long, leaf long")
+    leaves = leaves.distinct().groupBy("leaf").count()
     leaves = saved(leaves.where(F.col("count") >= min_docs).select("leaf"), "leaves")
+    parsed = texts.mapInArrow(_parse(depth, True), _LINE_SCHEMA)
     lines = parsed.join(leaves, "leaf").dropDuplicates(["text_key", "line"])
     lines = saved(lines, "lines")
 
+    field = F.lit(int(_FIELD))
+    plain = F.size(F.filter("tokens", lambda t: t != field)).alias("plain")
     tokens = lines.select(
-        "text_key", "line", "words", "leaf", F.posexplode("tokens").alias("position", "token")
-    )
+        "text_key", "line", "words", "leaf", plain, F.posexplode("tokens").alias("position", "token")
+    ).where(F.col("token") != field)
     place = ["leaf", "position", "token"]
     constant = tokens.select("text_key", *place).distinct().groupBy(*place).count()
     constant = constant.where(F.col("count") >= min_docs).select(*place)
     templates = (
         tokens.join(constant, place, "left_semi")
-        .groupBy("text_key", "line", "words", "leaf")
+        .groupBy("text_key", "line", "words", "leaf", "plain")
         .agg(F.count("*").alias("held"), F.bit_xor(F.xxhash64("position", "token")).alias("code"))
-        .where(F.col("held") * 100 >= F.col("words") * min_constant)
+        .where(F.col("held") * 100 >= F.col("plain") * min_constant)
     )
     template = ["leaf", "held", "code"]
     templates = saved(templates, "templates")
@@ -158,8 +154,11 @@ def drop_templates(
     gone = lines.groupBy(F.col("text_key").alias("_key")).agg(
         F.collect_set("line").alias("_gone"), F.sum("words").alias("_words")
     )
+    # Texts are shuffled once, whatever the size of the other side: how many lines go grows
+    # with the documents, so there is no bound for a broadcast.
+    gone = saved(gone, "gone").hint("merge")
     out = docs.withColumn("_text_key", _text_key())
-    out = out.join(saved(gone, "gone"), F.col("_text_key") == F.col("_key"), "left")
+    out = out.join(gone, F.col("_text_key") == F.col("_key"), "left")
     words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
     drop = F.col("_gone").isNotNull() & (F.col("_words") * 100 <= words * most_dropped)
     split = F.split("text", "\n", -1)

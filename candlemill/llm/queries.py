@@ -85,7 +85,7 @@ def llm_queries() -> dict[str, Run]:
     return {f.__name__: f for f in operators}
 
 
-# Lines that hold a digit in a token, or too few common tokens, go by the same rules here.
+# The same rules with tokens and lines themselves in place of their hashes.
 OP2_SQL = r"""
 WITH texts AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
 split AS (
@@ -104,14 +104,16 @@ leaves AS (
 tokens AS (
   SELECT text, line, words, head, unnest(tok) AS token, generate_subscripts(tok, 1) AS position
   FROM parsed JOIN leaves USING (words, head)),
+plain AS (
+  SELECT text, line, count(*) AS plain FROM tokens WHERE token <> '<*>' GROUP BY text, line),
 constant AS (
-  SELECT words, head, position, token FROM tokens
+  SELECT words, head, position, token FROM tokens WHERE token <> '<*>'
   GROUP BY words, head, position, token HAVING count(DISTINCT text) >= 5),
 templates AS (
   SELECT text, line, words, head, list((position, token) ORDER BY position) AS template
-  FROM tokens JOIN constant USING (words, head, position, token)
-  GROUP BY text, line, words, head
-  HAVING count(*) * 100 >= words * 60),
+  FROM tokens JOIN constant USING (words, head, position, token) JOIN plain USING (text, line)
+  GROUP BY text, line, words, head, plain
+  HAVING count(*) * 100 >= plain * 70),
 often AS (
   SELECT words, head, template FROM templates
   GROUP BY words, head, template HAVING count(DISTINCT text) >= 5),
