@@ -78,12 +78,18 @@ class Codes:
 
 
 def best_in_block(
-    vectors: np.ndarray, weight: np.ndarray, queries: np.ndarray, codes: Codes, nearest: int
+    vectors: np.ndarray,
+    weight: np.ndarray,
+    queries: np.ndarray,
+    floors: np.ndarray,
+    codes: Codes,
+    nearest: int,
 ) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each query the places and exact inner products of its candidates in a block.
 
-    ``weight`` counts the ids that share a vector. A vector is a candidate unless vectors
-    of ``nearest`` ids have lower bounds above its upper bound.
+    ``weight`` counts the ids that share a vector. A vector is reranked unless its upper
+    bound is below the query's floor, or below the lower bounds of vectors of ``nearest``
+    ids. It is a candidate if its inner product reaches the floor.
     """
     estimate, error = codes.estimate(queries)
     out = []
@@ -91,9 +97,10 @@ def best_in_block(
         low = estimate[q] - error[q]
         order = np.argsort(-low, kind="stable")[: nearest + 1]
         enough = np.searchsorted(np.cumsum(weight[order]), nearest)
-        floor = low[order[enough]] if enough < len(order) else -np.inf
+        floor = max(floors[q], low[order[enough]] if enough < len(order) else -np.inf)
         take = np.flatnonzero(estimate[q] + error[q] >= floor)
         exact = (vectors[take] * queries[q]).sum(axis=1)
+        take, exact = take[exact >= floors[q]], exact[exact >= floors[q]]
         if len(take) > nearest:
             kept = np.argsort(-exact, kind="stable")
             last = exact[kept[nearest - 1]]
@@ -151,6 +158,13 @@ def _usable(vectors: DataFrame) -> tuple[DataFrame, int]:
     return usable.where(F.size("v") == common[0]), int(common[0])
 
 
+def _best(found: DataFrame, nearest: int) -> DataFrame:
+    """The ``nearest`` + 1 nearest of each query: its own id is still among them."""
+    best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+    found = found.withColumn("n", F.row_number().over(best))
+    return found.where(F.col("n") <= nearest + 1).select("q", "vec_id", "score")
+
+
 def nearest(
     vectors: DataFrame,
     queries_every: int = 20,
@@ -168,7 +182,9 @@ def nearest(
     and one vector one takes part. No rows give no rows. Further columns are not looked at.
 
     Index and search: centroids are fitted on at most SAMPLE rows, every row is indexed, and
-    a query looks into the lists of the share ``probed_share``, LEAST_PROBED at least.
+    a query looks into the lists of the share ``probed_share``, LEAST_PROBED at least: into
+    the most promising one first, and of the others for vectors that are as near as the
+    last of the ``nearest`` found there.
     """
     spark = vectors.sparkSession
     usable, dimensions = _usable(vectors)
@@ -222,25 +238,7 @@ def nearest(
     # Equal query vectors have equal answers: they are searched once.
     searched = asked.groupBy("v").agg(F.min("query_id").alias("q")).select("v", "q")
     probes = searched.mapInArrow(into_probes, "v array<double>, q long, lists array<int>")
-    probes = saved(probes.select("v", "q", F.explode("lists").alias("list")), "probes")
-    # Blocks of a list's rows by blocks of the queries that look into it.
-    rows_of = listed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("rows"))
-    asks_of = probes.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("asks"))
-    sizes = saved(rows_of.join(asks_of, "list"), "sizes")
-    left = listed.join(sizes, "list").select(
-        "list",
-        F.pmod(F.xxhash64("key"), "rows").cast("int").alias("r"),
-        F.explode(F.expr("sequence(0, asks - 1)")).alias("a"),
-        "v",
-        "ids",
-    )
-    right = probes.join(sizes, "list").select(
-        "list",
-        F.explode(F.expr("sequence(0, rows - 1)")).alias("r"),
-        F.pmod(F.xxhash64("q"), "asks").cast("int").alias("a"),
-        "v",
-        "q",
-    )
+    probes = saved(probes.select("v", "q", F.posexplode("lists").alias("turn", "list")), "probes")
 
     def search(key: tuple, rows: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
         q, place, score = [], [], []
@@ -250,7 +248,9 @@ def nearest(
             codes = Codes(v, centers[key[0]], turn)
             for at in range(0, len(asks), 256):
                 part = asks.iloc[at : at + 256]
-                found = best_in_block(v, weight, np.stack(part["v"].to_numpy()), codes, nearest + 1)
+                floors = part["floor"].fillna(-np.inf).to_numpy()
+                asked_v = np.stack(part["v"].to_numpy())
+                found = best_in_block(v, weight, asked_v, floors, codes, nearest + 1)
                 for query, (take, exact) in zip(part["q"], found):
                     q += [query] * len(take)
                     place += list(take)
@@ -258,15 +258,42 @@ def nearest(
         ids = rows["ids"].to_numpy()
         return pd.DataFrame({"q": q, "ids": [ids[p] for p in place], "score": score})
 
-    found = left.groupBy("list", "r", "a").cogroup(right.groupBy("list", "r", "a"))
-    found = found.applyInPandas(search, "q long, ids array<long>, score double")
-    best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
-    found = found.select("q", F.explode("ids").alias("vec_id"), "score")
-    found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= nearest + 1)
-    answers = saved(found.drop("n"), "answers")
+    def answers(asks: DataFrame, label: str) -> DataFrame:
+        """The nearest of each query in the lists that it asks."""
+        # Blocks of a list's rows by blocks of the queries that look into it.
+        rows_of = listed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("rows"))
+        asks_of = asks.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("asks"))
+        sizes = saved(rows_of.join(asks_of, "list"), "sizes")
+        left = listed.join(sizes, "list").select(
+            "list",
+            F.pmod(F.xxhash64("key"), "rows").cast("int").alias("r"),
+            F.explode(F.expr("sequence(0, asks - 1)")).alias("a"),
+            "v",
+            "ids",
+        )
+        right = asks.join(sizes, "list").select(
+            "list",
+            F.explode(F.expr("sequence(0, rows - 1)")).alias("r"),
+            F.pmod(F.xxhash64("q"), "asks").cast("int").alias("a"),
+            "v",
+            "q",
+            "floor",
+        )
+        found = left.groupBy("list", "r", "a").cogroup(right.groupBy("list", "r", "a"))
+        found = found.applyInPandas(search, "q long, ids array<long>, score double")
+        return saved(_best(found.select("q", F.explode("ids").alias("vec_id"), "score"), nearest), label)
+
+    first = probes.where("turn = 0").withColumn("floor", F.lit(None).cast("double"))
+    first = answers(first, "first")
+    # The floor of a query: the last of as many as can be wanted; none if there are fewer.
+    floors = first.groupBy("q").agg(
+        F.when(F.count("*") > nearest, F.min("score")).alias("floor")
+    )
+    others = answers(probes.where("turn > 0").join(floors, "q", "left"), "others")
+    answered = _best(first.union(others), nearest)
 
     groups = searched.join(asked, "v").select("query_id", "q")
-    out = groups.join(answers, "q").where("query_id <> vec_id")
+    out = groups.join(answered, "q").where("query_id <> vec_id")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     out = out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= nearest)
     return out.select("query_id", "rank", "vec_id", "score")
