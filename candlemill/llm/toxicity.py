@@ -36,6 +36,8 @@ SEED = 6
 THRESHOLD = 0.3
 LOWEST = -50.0
 
+# Texts that are lower-cased and scored at a time.
+_SLICE = 256
 _WORD_BYTE = np.zeros(256, bool)
 _WORD_BYTE[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
@@ -108,6 +110,9 @@ def _passages(first: np.ndarray, words: int, stride: int) -> tuple[np.ndarray, .
 
 def margins(model: Model, texts: pa.Array) -> np.ndarray:
     """The largest passage margin of each text; a text without words has the lowest there is."""
+    if len(texts) > _SLICE:
+        parts = range(0, len(texts), _SLICE)
+        return np.concatenate([margins(model, texts.slice(at, _SLICE)) for at in parts])
     out = []
     for _, _, data, offsets in utf8_runs(pc.utf8_lower(texts)):
         _, first, buckets, words = word_grams(data, offsets)
@@ -282,8 +287,11 @@ def below(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = 1 / (1 + np.exp(-np.clip(margins(model, batch.column(text)), LOWEST, -LOWEST)))
-            yield batch.filter(pa.array(p < threshold))
+            # Whole rows pass through here: a few at a time.
+            for at in range(0, batch.num_rows, _SLICE):
+                part = batch.slice(at, _SLICE)
+                margin = np.clip(margins(model, part.column(text)), LOWEST, -LOWEST)
+                yield part.filter(pa.array(1 / (1 + np.exp(-margin)) < threshold))
 
     return docs.mapInArrow(run, docs.schema)
 

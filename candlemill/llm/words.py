@@ -9,7 +9,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 # Texts are hashed in runs of about this many bytes; a longer text is a run of its own.
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
@@ -42,7 +42,7 @@ def powers(base: int, n: int) -> np.ndarray:
         have = np.full(size, base & (2**64 - 1), U64)
         have[0] = 1
         have = np.multiply.accumulate(have)
-        if size <= 8 * RUN_BYTES:
+        if size <= 32 * RUN_BYTES:
             _powers[base] = have
     return have[:n]
 
