@@ -44,7 +44,7 @@ _WORD_BYTE[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 @dataclass
 class Model:
-    """The softmax margin of each n-gram's embedding, and of the empty bag."""
+    """The softmax margin of each n-gram's embedding, and the bias."""
 
     margin: np.ndarray
     bias: float
@@ -164,9 +164,15 @@ def train(texts: list[str], labels: np.ndarray, seed: int = SEED) -> Model:
     bias = np.array([1.5, -1.5])
     seen = [np.full_like(x, 1e-8) for x in (embedding, softmax, bias)]
 
+    # Some words at a time, so that what is made of their n-grams stays small.
+    cuts = [*range(0, len(word_size), 50_000), len(word_size)]
+    some = [(slice(a, b), slice(word_begin[a], word_begin[b - 1] + word_size[b - 1])) for a, b in zip(cuts, cuts[1:])]
+
     def all_margins() -> np.ndarray:
-        per_bucket = (embedding @ (softmax[:, 1] - softmax[:, 0])).astype(np.float32)
-        word = np.add.reduceat(per_bucket[buckets], word_begin, dtype=float)
+        per_bucket = embedding @ (softmax[:, 1] - softmax[:, 0])
+        word = np.concatenate(
+            [np.add.reduceat(per_bucket[buckets[g]], word_begin[w] - word_begin[w.start]) for w, g in some]
+        )
         total = np.concatenate([[0.0], np.cumsum(word[sequences])])
         return (total[high] - total[low]) / size + bias[1] - bias[0]
 
@@ -188,7 +194,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = SEED) -> Model:
     def over_all(error: np.ndarray) -> np.ndarray:
         push = np.bincount(low, error, len(sequences) + 1) - np.bincount(high, error, len(sequences) + 1)
         of_word = np.bincount(sequences, np.cumsum(push[:-1]), len(word_size))
-        return np.bincount(buckets, np.repeat(of_word, word_size), BUCKETS)
+        return sum(np.bincount(buckets[g], np.repeat(of_word[w], word_size[w]), BUCKETS) for w, g in some)
 
     for _ in range(FIRST_ROUNDS):
         learn(all_margins(), np.arange(len(text)), over_all)
@@ -207,29 +213,24 @@ def train(texts: list[str], labels: np.ndarray, seed: int = SEED) -> Model:
 
 def _vocabulary(texts: list[str]):
     """Distinct words with their n-grams, and the texts as sequences of word numbers."""
-    hashes, kept, first = [], [], [np.zeros(1, np.int64)]
+    hashes, own, buckets_of, sizes, first = [], [], [], [], [np.zeros(1, np.int64)]
+    seen = np.zeros(0, U64)
     for _, _, data, offsets in utf8_runs(pc.utf8_lower(pa.array(texts, pa.string()))):
         spelled, begin, buckets, words = word_grams(data, offsets)
         unique, at = np.unique(spelled, return_index=True)
-        count = np.bincount(words, minlength=len(spelled))
+        new = ~np.isin(unique, seen, assume_unique=True)
+        seen = np.union1d(seen, unique[new])
         keep = np.zeros(len(spelled), bool)
-        keep[at] = True
-        kept.append((spelled[keep], count[keep], buckets[keep[words]]))
+        keep[at[new]] = True
+        own.append(spelled[keep])
+        sizes.append(np.bincount(words, minlength=len(spelled))[keep])
+        buckets_of.append(buckets[keep[words]])
         hashes.append(spelled)
         first.append(begin[1:] + first[-1][-1])
-    spelled = np.concatenate([k[0] for k in kept])
-    sizes = np.concatenate([k[1] for k in kept])
-    buckets = np.concatenate([k[2] for k in kept])
-    unique, at = np.unique(spelled, return_index=True)
-    order = np.sort(at)
-    keep = np.zeros(len(spelled), bool)
-    keep[at] = True
-    buckets = buckets[np.repeat(keep, sizes)]
-    number = np.empty(len(unique), np.int64)
-    number[np.argsort(at)] = np.arange(len(unique))
-    sequences = number[np.searchsorted(unique, np.concatenate(hashes))]
-    sizes = sizes[order]
-    return (buckets, sizes), sequences, np.concatenate(first)
+    own = np.concatenate(own)
+    order = np.argsort(own)
+    sequences = order[np.searchsorted(own, np.concatenate(hashes), sorter=order)].astype(np.int32)
+    return (np.concatenate(buckets_of), np.concatenate(sizes)), sequences, np.concatenate(first)
 
 
 def labelled_sample(
