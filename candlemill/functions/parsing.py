@@ -23,10 +23,10 @@ def tick_time(text: Column) -> Column:
     return text.try_cast("timestamp_ntz")
 
 
-def must_parse(text: Column, value: Column, what: str) -> Column:
-    """``value``, but fail the job where ``text`` was there and did not parse."""
-    message = F.concat(F.lit(f"bad {what}: "), text)
-    return F.coalesce(value, F.when(text.isNotNull(), F.raise_error(message)))
+def must_parse(text: Column, value: Column, what: str, needed: bool = True) -> Column:
+    """``value``, but fail the job where ``text`` did not parse or, if ``needed``, is missing."""
+    failed = F.raise_error(F.concat(F.lit(f"bad {what}: "), F.coalesce(text, F.lit("none"))))
+    return F.coalesce(value, failed if needed else F.when(text.isNotNull(), failed))
 
 
 def market_of(path: Column) -> Column:
@@ -38,6 +38,11 @@ def market_of(path: Column) -> Column:
     return F.nullif(F.substring(run, 2, 3), F.lit(""))
 
 
+def instrument_of(name: Column) -> Column:
+    """What stands before the first underscore of a file name; NULL without one."""
+    return F.nullif(F.regexp_extract(name, "^([^_]+)_", 1), F.lit(""))
+
+
 def stamp(moment) -> Column:
     """A moment without zone (datetime or ISO text) as a literal."""
     return F.lit(str(moment)).cast("timestamp_ntz")

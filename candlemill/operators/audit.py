@@ -10,6 +10,9 @@ from candlemill.schemas import FILE_AUDIT
 
 STARTED = "started"
 FINISHED = "finished"
+#: a file that holds the content of another one
+KNOWN = "known"
+_FILE = ["instrument", "path", "length", "modified"]
 
 
 def started_rows(files: DataFrame, started_at, task_name: str) -> DataFrame:
@@ -23,9 +26,32 @@ def started_rows(files: DataFrame, started_at, task_name: str) -> DataFrame:
         stamp(started_at).alias("event_timestamp"),
         stamp(started_at).alias("start_timestamp"),
         F.lit(None).cast("long").alias("lines"),
+        *_file_columns(files),
     )
 
 
+def _file_columns(files: DataFrame):
+    """What tells a file without reading it, as far as ``files`` has it."""
+    return [
+        (F.col(f.name) if f.name in files.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in FILE_AUDIT.fields
+        if f.name in _FILE
+    ]
+
+
+def known_rows(files: DataFrame, seen_at, task_name: str) -> DataFrame:
+    """Log rows for files that were hashed and hold content of the log."""
+    rows = started_rows(files, seen_at, task_name).withColumn("event", F.lit(KNOWN))
+    return rows.withColumn("start_timestamp", F.lit(None).cast("timestamp_ntz"))
+
+
+def known_files(log: DataFrame, retry: bool = True) -> DataFrame:
+    """Files by path, length and modification time whose content needs no second look."""
+    events = [FINISHED, KNOWN] + ([] if retry else [STARTED])
+    rows = log.filter(F.col("event").isin(events) & F.col("path").isNotNull())
+    return rows.select("path", "length", "modified").distinct()
+
+
 def finished_rows(started: DataFrame, lines: DataFrame, finished_at) -> DataFrame:
     """Log rows that close ``started`` ones; ``lines`` has checksum and lines."""
     return (
@@ -41,7 +67,7 @@ def finished_rows(started: DataFrame, lines: DataFrame, finished_at) -> DataFram
 def audit_state(log: DataFrame) -> DataFrame:
     """Latest load of each checksum: when it started, when it ended (or NULL)."""
     ended = F.when(F.col("event") == FINISHED, F.col("event_timestamp"))
-    loads = log.groupBy("checksum", "start_timestamp").agg(
+    loads = log.filter(F.col("event") != KNOWN).groupBy("checksum", "start_timestamp").agg(
         F.max("file_name").alias("file_name"),
         F.max("market").alias("market"),
         F.max("task_name").alias("task_name"),

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlemill.functions.periods import DAY, MONTH, period_columns
+from candlemill.session import fresh_dir
 
 BOUNDS = ("first_time", "last_time")
 
@@ -47,42 +48,67 @@ def _at_bounds(ticks: DataFrame, period: Sequence[str], edges: Sequence[str]) ->
     return ticks.join(F.broadcast(times), "time", "left_semi")
 
 
+def _timed(price: str) -> Column:
+    """The time of a tick that has this price: a missing price decides no bar."""
+    return F.when(F.col(price).isNotNull(), F.col("time"))
+
+
+_HAS_EDGE = "open_time IS NOT NULL OR close_time IS NOT NULL"
+
+
+def _at_keyed_bounds(
+    ticks: DataFrame, period: Sequence[str], keys: Sequence[str]
+) -> DataFrame:
+    """Ticks at the first or last time of a period of their key.
+
+    The edges are a hash aggregation; how many there are grows with the keys, so Spark
+    chooses the join by their size.
+    """
+    edges = period_bounds(ticks, period, keys)
+    edges = edges.select(*[F.col(k).alias(f"_{k}") for k in keys], F.explode(F.array(*BOUNDS)).alias("_time"))
+    same = F.col("time") == F.col("_time")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return ticks.join(edges, same, "left_semi")
+
+
 def _edges_by_time(
-    ticks: DataFrame, period: Sequence[str], keys: Sequence[str], more: Sequence[Column] = ()
+    ticks: DataFrame,
+    period: Sequence[str],
+    keys: Sequence[str],
+    more: Sequence[Column] = (),
+    untimed: bool = False,
 ) -> DataFrame:
     """Bars of ticks with unique times: one hash aggregation.
 
-    Ticks without a time are dropped afterwards, as the group without an open time:
-    a filter before would parse the time of a text file twice.
+    Ticks without a time are dropped afterwards, as the group without edge times, unless
+    ``untimed``: a filter before would parse the time of a text file twice.
     """
-    return (
-        ticks.groupBy(*keys, *period)
-        .agg(
-            F.min_by("open", "time").alias("open"),
-            F.max_by("close", "time").alias("close"),
-            F.min("time").alias("open_time"),
-            F.max("time").alias("close_time"),
-            *more,
-        )
-        .filter(F.col("open_time").isNotNull())
+    found = ticks.groupBy(*keys, *period).agg(
+        F.min_by("open", _timed("open")).alias("open"),
+        F.max_by("close", _timed("close")).alias("close"),
+        F.min(_timed("open")).alias("open_time"),
+        F.max(_timed("close")).alias("close_time"),
+        *more,
     )
+    return found if untimed else found.filter(_HAS_EDGE)
 
 
 def _edges_by_tie(
     ticks: DataFrame, period: Sequence[str], keys: Sequence[str], tie: Sequence[str]
 ) -> DataFrame:
     """Bars of ticks whose times repeat. A struct as order makes Spark sort its input."""
-    first = F.struct("time", *tie, "open")
-    last = F.struct("time", *tie, "close")
+    first = F.when(_timed("open").isNotNull(), F.struct("time", *tie, "open"))
+    last = F.when(_timed("close").isNotNull(), F.struct("time", *tie, "close"))
     return (
         ticks.groupBy(*keys, *period)
         .agg(
             F.min_by("open", first).alias("open"),
             F.max_by("close", last).alias("close"),
-            F.min("time").alias("open_time"),
-            F.max("time").alias("close_time"),
+            F.min(_timed("open")).alias("open_time"),
+            F.max(_timed("close")).alias("close_time"),
         )
-        .filter(F.col("open_time").isNotNull())
+        .filter(_HAS_EDGE)
     )
 
 
@@ -90,7 +116,8 @@ def _edges_by_one_tie(ticks: DataFrame, period: Sequence[str], tie: str) -> Data
     """The same for one tie column and few times per period: settle each time first,
     then the period. Both steps are hash aggregations."""
     times = ticks.groupBy(*period, "time").agg(
-        F.min_by("open", tie).alias("open"), F.max_by("close", tie).alias("close")
+        F.min_by("open", F.when(F.col("open").isNotNull(), F.col(tie))).alias("open"),
+        F.max_by("close", F.when(F.col("close").isNotNull(), F.col(tie))).alias("close"),
     )
     return _edges_by_time(times, period, ())
 
@@ -113,6 +140,7 @@ def bars(
     keys: Sequence[str] = (),
     tie: Sequence[str] = (),
     more: Sequence[Column] = (),
+    untimed: bool = False,
 ) -> DataFrame:
     """One row per key and period: open, close, open_time, close_time.
 
@@ -120,15 +148,18 @@ def bars(
     one row per period and task, so a period with most of the ticks is no burden.
     With a ``tie`` the ticks are first cut to those at the period edges, by a second
     scan, and only those are put in order. With ``keys`` as well the number of edges
-    has no bound; then there is no broadcast and one sorted aggregation does it all.
-    ``more`` adds aggregates over all ticks and goes with unique times.
+    has no bound, and the join that cuts the ticks is left to Spark.
+    ``more`` adds aggregates over all ticks and goes with unique times; ``untimed`` keeps
+    the group of the ticks without a time, for which there is no bar. A tick that lacks a
+    price does not decide that price.
     """
     if not tie:
-        return _edges_by_time(with_period(ticks, period), period, keys, more)
-    if more:
+        return _edges_by_time(with_period(ticks, period), period, keys, more, untimed)
+    if more or untimed:
         raise ValueError("aggregates over all ticks need ticks of unique time")
     if keys:
-        return _edges_by_tie(with_period(ticks, period), period, keys, tie)
+        rows = with_period(_at_keyed_bounds(ticks, period, keys), period)
+        return _edges_by_tie(rows, period, keys, tie)
     return _bars_at(ticks, period, tie, BOUNDS)
 
 
@@ -200,36 +231,38 @@ def last_ticks(
     )
 
 
-def _edge_rows(
-    ticks: DataFrame, period: Sequence[str], tie: Sequence[str], last: bool
-) -> DataFrame:
-    """Whole tick at one edge of each period: left-semi join on the edge time, and
-    the tie columns where several ticks share that time."""
-    rows = with_period(
-        _at_bounds(ticks, period, ["last_time" if last else "first_time"]), period
-    )
-    if not tie:
-        return rows
-    pick = F.max_by if last else F.min_by
-    row = pick(F.struct(*ticks.columns), F.struct("time", *tie)).alias("row")
-    return rows.groupBy(*period).agg(row).select(*period, "row.*")
-
-
 def edge_ticks(
     ticks: DataFrame, period: Sequence[str] = MONTH, tie: Sequence[str] = ()
 ) -> DataFrame:
-    """First and last tick of each period; a period with one tick gives two rows."""
-    first = _edge_rows(ticks, period, tie, last=False).withColumn("edge", F.lit("first"))
-    last = _edge_rows(ticks, period, tie, last=True).withColumn("edge", F.lit("last"))
-    return first.unionByName(last)
+    """First and last tick of each period; a period with one tick gives two rows.
+
+    One left-semi join on the edge times serves both edges; the tie columns settle ticks
+    that share a time.
+    """
+    rows = with_period(_at_bounds(ticks, period, BOUNDS), period)
+    order, tick = F.struct("time", *tie), F.struct(*ticks.columns)
+    edges = rows.groupBy(*period).agg(
+        F.array(
+            F.struct(F.lit("first").alias("edge"), F.min_by(tick, order).alias("tick")),
+            F.struct(F.lit("last").alias("edge"), F.max_by(tick, order).alias("tick")),
+        ).alias("edges")
+    )
+    return edges.select(*period, F.explode("edges").alias("e")).select(*period, "e.tick.*", "e.edge")
 
 
 def bars_by_join(
     ticks: DataFrame, period: Sequence[str] = MONTH, tie: Sequence[str] = ()
 ) -> DataFrame:
-    """Bars as an inner join of first-tick and last-tick rows on the period keys."""
-    first = _bars_at(ticks, period, tie, ["first_time"]).select(*period, "open", "open_time")
-    last = _bars_at(ticks, period, tie, ["last_time"]).select(*period, "close", "close_time")
+    """Bars as an inner join of first-tick and last-tick rows on the period keys.
+
+    Both sides are parts of one set of edge ticks, computed once and stored.
+    """
+    ends = edge_ticks(ticks.select("time", "open", "close", *tie), period, tie)
+    path = fresh_dir(ticks.sparkSession, "edges")
+    ends.select(*period, "time", "open", "close", "edge").write.parquet(path)
+    ends = ticks.sparkSession.read.parquet(path)
+    first = ends.filter("edge = 'first'").select(*period, "open", F.col("time").alias("open_time"))
+    last = ends.filter("edge = 'last'").select(*period, "close", F.col("time").alias("close_time"))
     return first.join(last, list(period)).select(
         *period, "open", "close", "open_time", "close_time"
     )

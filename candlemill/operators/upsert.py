@@ -22,8 +22,9 @@ def combine_bars(
     """
     if "arrival" not in bars.columns:
         bars = bars.withColumn("arrival", F.lit(0))
-    first = F.struct("open_time", "arrival", "open")
+    first = F.when(F.col("open").isNotNull(), F.struct("open_time", "arrival", "open"))
     last = F.struct("close_time", (-F.col("arrival")).alias("seniority"), "close")
+    last = F.when(F.col("close").isNotNull(), last)
     return bars.groupBy(*keys, *period).agg(
         F.min_by("open", first).alias("open"),
         F.max_by("close", last).alias("close"),

@@ -36,8 +36,8 @@ class Flavour:
     zero_last: bool = False
     #: the corner is the mean of the last row, not of the last column
     corner_from_row: bool = False
-    #: open and close are of this type before the division
-    price: str = "double"
+    #: open and close go through these types before the division
+    price: tuple[str, ...] = ("double",)
     #: rates are summed and averaged in this type
     number: str = "double"
 
@@ -55,7 +55,7 @@ FLAVOURS = {
         year_rule="strict_sum",
         summary_text="Total",
         cell_digits=4,
-        price="decimal(10,4)",
+        price=("decimal(10,4)",),
         number="decimal(24,9)",
     ),
     "rollup": Flavour(
@@ -85,6 +85,7 @@ FLAVOURS = {
         rate_digits=3,
         cell_digits=3,
         zero_first=True,
+        price=("decimal(10,3)", "double"),
         number="decimal(16,3)",
     ),
 }

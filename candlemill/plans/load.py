@@ -15,25 +15,38 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlemill.functions.periods import MONTH
-from candlemill.operators.audit import files_to_load, finished_rows, started_rows
+from candlemill.functions.rates import base_column
+from candlemill.operators.audit import (
+    files_to_load,
+    finished_rows,
+    known_files,
+    known_rows,
+    started_rows,
+)
 from candlemill.operators.bars import bars
 from candlemill.operators.upsert import BAR_VALUES, upsert_with_prev_close
+from candlemill.plans.flavours import FLAVOURS
 from candlemill.plans.reports import growth_report
-from candlemill.schemas import FILE_AUDIT, TIMED_BAR
+from candlemill.schemas import FILE_AUDIT, REPORT_AUDIT, REPORT_CELLS, TIMED_BAR
 from candlemill.session import fresh_dir
 from candlemill.sinks.files import (
     VersionedTable,
     append_log,
+    exists,
     read_log,
     remove,
     write_report_csv,
 )
 from candlemill.sinks.tables import with_lineage
-from candlemill.sources.files import list_files, literal_path, manifest
+from candlemill.sources.files import files_at, list_files, literal_path, named, with_checksum
 from candlemill.sources.tables import stored_report_csv
-from candlemill.sources.ticks import normalize_ticks, scan_ticks
+from candlemill.sources.ticks import (
+    normalize_ticks,
+    scan_ticks,
+    without_time_where_incomplete,
+)
 
-MARKET = T.StructField("market", T.StringType())
+INSTRUMENT = T.StructField("instrument", T.StringType())
 PREV_CLOSE = T.StructField("prev_close", T.DoubleType())
 
 
@@ -45,29 +58,37 @@ class LoadSettings:
     prev_close: str = "merged"
     #: try files again whose load never finished
     retry: bool = True
-    #: keep one series per market, taken from the file name
-    by_market: bool = False
+    #: keep one series per instrument, named by the file name up to its first underscore
+    by_instrument: bool = False
     #: fail, drop or null
     bad_rows: str = "fail"
     task_name: str = "month_growth"
     glob: str = "*.csv"
     name_pattern: str | None = None
+    #: hash files again whose path, length and modification time are in the log
+    rehash: bool = False
+    #: files hashed and loaded at a time
+    files_per_batch: int = 1000
+    #: log an unchanged report again
+    audit_unchanged: bool = False
     #: file name as an expression on ``path``; its last segment where not given
     file_name: Column | None = field(default=None, compare=False)
 
     @property
     def keys(self) -> tuple[str, ...]:
-        return ("market",) if self.by_market else ()
+        return ("instrument",) if self.by_instrument else ()
 
 
 class Store:
     """The folders of one series: file audit, bars, bar audit, report."""
 
-    def __init__(self, spark: SparkSession, root: str, by_market: bool = False):
+    def __init__(self, spark: SparkSession, root: str, by_instrument: bool = False):
         self.spark = spark
         self.root = root.rstrip("/")
-        schema = T.StructType([*([MARKET] if by_market else []), *TIMED_BAR.fields, PREV_CLOSE])
-        self.bars = VersionedTable(spark, f"{self.root}/bars", schema, partition_by="year")
+        schema = T.StructType([*([INSTRUMENT] if by_instrument else []), *TIMED_BAR.fields, PREV_CLOSE])
+        self.bars = VersionedTable(
+            spark, f"{self.root}/bars", schema, partition_by="year" if by_instrument else None
+        )
         self.file_audit_path = f"{self.root}/file_audit"
         self.bar_audit_path = f"{self.root}/bar_audit"
         self.report_path = f"{self.root}/report"
@@ -76,90 +97,185 @@ class Store:
     def file_audit(self) -> DataFrame:
         return read_log(self.spark, self.file_audit_path, FILE_AUDIT)
 
-    def reset(self) -> None:
-        """What a full reload does first: forget files, bars and reports."""
-        self.bars.reset()
-        for path in (
-            self.file_audit_path,
-            self.bar_audit_path,
-            self.report_path,
-            self.report_audit_path,
-        ):
+    def report_audit(self) -> DataFrame:
+        return read_log(self.spark, self.report_audit_path, REPORT_AUDIT)
+
+    def replace_by(self, other: Store) -> None:
+        """Take over the bars and logs of a store that holds a full load.
+
+        The bars come first, as one version. Where this ends half way, the old log makes
+        the next load merge files again, which changes nothing.
+        """
+        self.bars.commit(other.bars.read())
+        for path in (self.file_audit_path, self.bar_audit_path, self.report_path, self.report_audit_path):
             remove(self.spark, path)
+        append_log(other.file_audit(), self.file_audit_path, few_files=True)
+        if exists(self.spark, other.bar_audit_path):
+            append_log(self.spark.read.parquet(other.bar_audit_path), self.bar_audit_path, few_files=True)
 
 
 def now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
+def unseen_files(store: Store, files: DataFrame, settings: LoadSettings) -> DataFrame:
+    """Files that the log does not know by path, length and modification time. No file is read."""
+    listed = files.select("path", "length", "modified")
+    if settings.rehash:
+        return listed
+    known = known_files(store.file_audit(), settings.retry)
+    return listed.join(known, ["path", "length", "modified"], "left_anti")
+
+
+def check_instruments(files: DataFrame, log: DataFrame, settings: LoadSettings) -> None:
+    """Refuse files that would share a series they do not belong to."""
+    if settings.by_instrument:
+        nameless = files.filter(F.col("instrument").isNull()).select("file_name").first()
+        if nameless is not None:
+            raise ValueError(f"no instrument in the name of {nameless.file_name}")
+        return
+    both = files.select("instrument").union(log.select("instrument"))
+    found = [r.instrument for r in both.dropna().distinct().orderBy("instrument").limit(2).collect()]
+    if len(found) > 1:
+        raise ValueError(f"several instruments ({', '.join(found)}, ...): use by_instrument or a name pattern")
+
+
 def start_files(
     store: Store, files: DataFrame, settings: LoadSettings, started_at: dt.datetime, work: str
 ) -> DataFrame:
-    """Choose the files with new content and log their start; returns them."""
+    """Choose the files with new content and log their start; returns them.
+
+    Files whose content is known under another name are logged too, so that they are not
+    hashed again.
+    """
     spark = store.spark
-    new = files_to_load(manifest(files, settings.file_name), store.file_audit(), settings.retry)
+    log = store.file_audit()
     # Hashing reads every byte. Its result is stored once, outside the lineage.
+    named(with_checksum(files), settings.file_name).write.parquet(f"{work}/hashed")
+    hashed = spark.read.parquet(f"{work}/hashed")
+    about = [c for c in hashed.columns if c != "checksum"]
+    one = hashed.groupBy("checksum").agg(F.min(F.struct(*about)).alias("one")).select("checksum", "one.*")
+    new = files_to_load(one, log, settings.retry)
+    check_instruments(new, log, settings)
     new.write.parquet(f"{work}/files")
     batch = spark.read.schema(new.schema).parquet(f"{work}/files")
-    append_log(
-        started_rows(batch, started_at, settings.task_name), store.file_audit_path, few_files=True
+    copies = hashed.join(batch.select("path"), "path", "left_anti")
+    rows = started_rows(batch, started_at, settings.task_name).union(
+        known_rows(copies, started_at, settings.task_name)
     )
+    append_log(rows, store.file_audit_path, few_files=True)
     return batch
 
 
 def bars_of_files(
     spark: SparkSession, batch: DataFrame, paths: list[str], settings: LoadSettings, work: str
 ) -> DataFrame:
-    """Month bars of every file and its number of ticks, from one scan of the files."""
+    """Month bars of every file and its number of lines, from one scan of the files.
+
+    Lines without a tick are counted as well: they are rows without a period.
+    """
     raw = scan_ticks(spark, [literal_path(p) for p in paths])
-    ticks = normalize_ticks(
-        raw.withColumn("file_uri", F.col("_metadata.file_path")), bad_rows=settings.bad_rows
-    )
-    per_file = bars(ticks, MONTH, ["file_uri"], more=[F.count(F.lit(1)).alias("lines")])
-    named = per_file.join(batch.select("file_uri", "checksum", "market"), "file_uri")
-    named.write.parquet(f"{work}/bars")
-    return spark.read.schema(named.schema).parquet(f"{work}/bars")
+    raw = raw.withColumn("file_uri", F.col("_metadata.file_path"))
+    if settings.bad_rows == "drop":
+        ticks = without_time_where_incomplete(normalize_ticks(raw, bad_rows="null"))
+    else:
+        ticks = normalize_ticks(raw, bad_rows=settings.bad_rows)
+    lines = F.count(F.lit(1)).alias("lines")
+    per_file = bars(ticks, MONTH, ["file_uri"], more=[lines], untimed=True)
+    about = batch.select("file_uri", "checksum", "market", "instrument")
+    joined = per_file.join(about, "file_uri")
+    joined.write.parquet(f"{work}/bars")
+    return spark.read.schema(joined.schema).parquet(f"{work}/bars")
 
 
 def load_files(
     store: Store, files: DataFrame, settings: LoadSettings, started_at: dt.datetime | None = None
 ) -> int:
-    """Load those of ``files`` that are new; returns how many there were."""
+    """Load those of ``files`` that are new; returns how many there were.
+
+    Files go in batches of about ``files_per_batch``, dealt by a hash of their paths. Names
+    of one batch are on the driver at a time, and a failure costs one batch.
+    """
     spark = store.spark
-    started_at = started_at or now()
     work = fresh_dir(spark, "load")
+    try:
+        unseen = unseen_files(store, files, settings).select("path")
+        some = [row.path for row in unseen.limit(settings.files_per_batch + 1).collect()]
+        if len(some) <= settings.files_per_batch:
+            if not some:
+                return 0
+            return _load_batch(store, files_at(spark, some), settings, started_at or now(), f"{work}/0")
+        unseen.write.parquet(f"{work}/unseen")
+        unseen = spark.read.schema("path string").parquet(f"{work}/unseen")
+        batches = -(-unseen.count() // settings.files_per_batch)
+        loaded = 0
+        for number in range(batches):
+            chosen = unseen.filter(F.pmod(F.xxhash64("path"), F.lit(batches)) == number)
+            paths = [row.path for row in chosen.collect()]
+            if paths:
+                part = f"{work}/{number}"
+                loaded += _load_batch(store, files_at(spark, paths), settings, started_at or now(), part)
+        return loaded
+    finally:
+        remove(spark, work)
+
+
+def _load_batch(
+    store: Store, files: DataFrame, settings: LoadSettings, started_at: dt.datetime, work: str
+) -> int:
+    spark = store.spark
     batch = start_files(store, files, settings, started_at, work)
-    # File names only, which Spark keeps on the driver for the scan anyway.
     paths = [row.path for row in batch.select("path").collect()]
-    if paths:
-        per_file = bars_of_files(spark, batch, paths, settings, work)
-        merged = upsert_with_prev_close(
-            store.bars.read(), per_file, MONTH, settings.keys, settings.upsert, settings.prev_close
-        )
-        store.bars.commit(merged)
-        append_log(
-            with_lineage(per_file.select(*MONTH, *BAR_VALUES), started_at, settings.task_name),
-            store.bar_audit_path,
-            few_files=True,
-        )
-
-        lines = per_file.groupBy("checksum").agg(F.sum("lines").alias("lines"))
-        started = started_rows(batch, started_at, settings.task_name)
-        append_log(finished_rows(started, lines, now()), store.file_audit_path, few_files=True)
-    remove(spark, work)
+    if not paths:
+        return 0
+    per_file = bars_of_files(spark, batch, paths, settings, work)
+    timed = per_file.filter(F.col("open_time").isNotNull() | F.col("close_time").isNotNull())
+    merged = upsert_with_prev_close(
+        store.bars.read(), timed, MONTH, settings.keys, settings.upsert, settings.prev_close
+    )
+    store.bars.commit(merged)
+    audited = timed.select("instrument", "market", "checksum", *MONTH, *BAR_VALUES)
+    append_log(with_lineage(audited, started_at, settings.task_name), store.bar_audit_path, few_files=True)
+    lines = per_file.groupBy("checksum").agg(F.sum("lines").alias("lines"))
+    started = started_rows(batch, started_at, settings.task_name)
+    append_log(finished_rows(started, lines, now()), store.file_audit_path, few_files=True)
     return len(paths)
 
 
+def audit_rows(stored: DataFrame, flavour: str, mode: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Report rows in the one layout of the report audit."""
+    spec = FLAVOURS[flavour]
+    cells = zip(REPORT_CELLS, [*spec.months, spec.year_column])
+    instrument = F.col(keys[0]) if keys else F.lit(None).cast("string")
+    return stored.select(
+        instrument.alias("instrument"),
+        F.col("year").cast("string").alias("year"),
+        *[F.col(heading).cast("double").alias(cell) for cell, heading in cells],
+        F.lit(flavour).alias("flavour"),
+        F.lit(mode).alias("mode"),
+    )
+
+
 def store_report(
-    store: Store, report: DataFrame, settings: LoadSettings, loaded_at: dt.datetime
+    store: Store,
+    report: DataFrame,
+    settings: LoadSettings,
+    loaded_at: dt.datetime,
+    flavour: str = "dense",
+    mode: str = "oc",
+    changed: bool = True,
 ) -> DataFrame:
     """The report as CSV and its rows in the report audit; returns what was stored.
 
-    Everything after the CSV reads it back, so the report is computed once.
+    Everything after the CSV reads it back, so the report is computed once. A report that
+    has not changed is not logged again unless the settings ask for it.
     """
     write_report_csv(report, store.report_path, single=not settings.keys)
     stored = stored_report_csv(store.spark, store.report_path, report.schema, settings.keys)
-    append_log(with_lineage(stored, loaded_at, settings.task_name), store.report_audit_path)
+    same = (F.col("flavour") == flavour) & (F.col("mode") == mode)
+    if changed or settings.audit_unchanged or store.report_audit().filter(same).isEmpty():
+        rows = audit_rows(stored, flavour, mode, settings.keys)
+        append_log(with_lineage(rows, loaded_at, settings.task_name), store.report_audit_path)
     return stored
 
 
@@ -174,18 +290,30 @@ def run_load(
 ) -> DataFrame:
     """Load what is new below ``source``, then the report over all stored bars.
 
-    ``load_mode='full'`` forgets everything first. Without new files the report is
-    still built from the stored bars.
+    ``load_mode='full'`` loads everything into a store of its own, which then replaces
+    this one: a bad argument or a failed load leaves what was there. Without new files
+    the report is still built from the stored bars.
     """
     if load_mode not in ("incr", "full"):
         raise ValueError(f"load_mode must be incr or full, not {load_mode!r}")
+    if flavour not in FLAVOURS:
+        raise ValueError(f"unknown flavour {flavour!r}, expected one of {sorted(FLAVOURS)}")
+    base_column(mode)
     settings = settings or LoadSettings()
-    store = Store(spark, root, settings.by_market)
-    if load_mode == "full":
-        store.reset()
+    store = Store(spark, root, settings.by_instrument)
     files = list_files(spark, source, settings.glob, settings.name_pattern)
     loaded_at = now()
-    if load_files(store, files, settings, loaded_at) == 0:
+    if load_mode == "full":
+        staging = Store(spark, fresh_dir(spark, "full"), settings.by_instrument)
+        try:
+            loaded = load_files(staging, files, settings, loaded_at)
+            store.replace_by(staging)
+        finally:
+            remove(spark, staging.root)
+    else:
+        loaded = load_files(store, files, settings, loaded_at)
+    if loaded == 0:
         print("no new files")
     report = growth_report(store.bars.read(), flavour, mode, settings.keys)
-    return store_report(store, report, settings, loaded_at)
+    changed = loaded > 0 or load_mode == "full"
+    return store_report(store, report, settings, loaded_at, flavour, mode, changed)

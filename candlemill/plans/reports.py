@@ -35,9 +35,11 @@ def _flavour(name: str) -> Flavour:
     return FLAVOURS[name]
 
 
-def _priced(bars: DataFrame, price: str) -> DataFrame:
+def _priced(bars: DataFrame, price: Sequence[str]) -> DataFrame:
     columns = [c for c in ("open", "close", "prev_close") if c in bars.columns]
-    return bars.withColumns({c: F.col(c).cast(price) for c in columns})
+    for kind in price:
+        bars = bars.withColumns({c: F.col(c).cast(kind) for c in columns})
+    return bars
 
 
 def _finished(cell: str, flavour: Flavour) -> str:

@@ -158,8 +158,8 @@ FROM events GROUP BY 1"""
 
 
 def _audited(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Manifest, and a log in which days up to the split are finished and later ones
-    up to the 20th were started twice without an end."""
+    """Manifest, and a log in which days up to the split are finished, later ones up to
+    the 20th were started twice without an end, and the others are not there."""
     found = _manifest(spark, sf_dir)
     path = fresh_dir(spark, "manifest")
     found.write.parquet(path)
@@ -186,19 +186,22 @@ TO_LOAD_SQL = f"SELECT DISTINCT {SOURCE_SQL} AS file_name FROM events WHERE CAST
 
 
 def audit_state_query(spark, sf_dir):
-    _, log = _audited(spark, sf_dir)
+    """Every day with the state of its files; days that nothing was logged for have none."""
+    found, log = _audited(spark, sf_dir)
+    state = audit_state(log).drop("file_name", "market")
     return (
-        audit_state(log)
+        found.select("checksum", "file_name", "market")
+        .join(state, "checksum", "left")
         .groupBy("file_name", "market", "task_name", "start_timestamp", "end_timestamp")
         .agg(F.sum("lines").alias("lines"))
     )
 
 
 STATE_SQL = f"""WITH days AS (
-    SELECT {SOURCE_SQL} AS file_name, CAST(ts AS DATE) <= DATE '{SPLIT_DAY}' AS done, count(*) AS n
-    FROM events WHERE day(ts) <= 20 GROUP BY ALL)
-SELECT file_name, '10S' AS market, 'load' AS task_name,
-    CASE WHEN done THEN TIMESTAMP '{FIRST_BATCH}' ELSE TIMESTAMP '{SECOND_BATCH}' END AS start_timestamp,
+    SELECT {SOURCE_SQL} AS file_name, CAST(ts AS DATE) <= DATE '{SPLIT_DAY}' AS done, day(ts) <= 20 AS known,
+        count(*) AS n FROM events GROUP BY ALL)
+SELECT file_name, '10S' AS market, CASE WHEN done OR known THEN 'load' END AS task_name,
+    CASE WHEN done THEN TIMESTAMP '{FIRST_BATCH}' WHEN known THEN TIMESTAMP '{SECOND_BATCH}' END AS start_timestamp,
     CASE WHEN done THEN TIMESTAMP '2024-02-01 00:10:00' END AS end_timestamp,
     CASE WHEN done THEN CAST(n AS BIGINT) END AS lines FROM days"""
 

@@ -76,9 +76,14 @@ FROM (SELECT * FROM body UNION ALL SELECT * FROM foot2)"""
 _HALF_UP = "CAST(round(CAST({{x}} AS DECIMAL(30,8)), {digits}) AS DOUBLE)"
 
 
+# Prices in three decimals, by way of eight so that an exact half rounds up.
+_STAGED = "CAST(CAST(CAST({x} AS DECIMAL(18,8)) AS DECIMAL(10,3)) AS DOUBLE)"
+
+
 def month_sql(flavour: str, mode: str) -> str:
     spec = FLAVOURS[flavour]
-    rates = "WITH " + rates_sql(LINEITEM_MONTH_BARS, mode) + ",\n"
+    price = _STAGED if flavour == "zero" else "{x}"
+    rates = "WITH " + rates_sql(LINEITEM_MONTH_BARS, mode, price=price) + ",\n"
     names = list(spec.months)
     if flavour == "mysql":
         return rates + _wide("rate") + _table(_PRESENT, names, "total", "AVG", "round({x}, 4)")

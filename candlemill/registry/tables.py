@@ -17,12 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def lineitem_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lineitem_ticks(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_shipdate").alias("time"),
         F.col("l_extendedprice").alias("open"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("close"),
         *LINEITEM_TIE,
+        *keys,
     )
 
 
@@ -94,10 +95,14 @@ PREV_DAY = """prevs AS (
 BASE = {"oc": "open", "cc": "prev_close"}
 
 
-def rates_sql(bars: str, mode: str, prevs: str = PREV_MONTH, keys: str = "year, month") -> str:
-    """CTEs up to ``rates``: keys and ``rate``, not rounded."""
+def rates_sql(
+    bars: str, mode: str, prevs: str = PREV_MONTH, keys: str = "year, month", price: str = "{x}"
+) -> str:
+    """CTEs up to ``rates``: keys and ``rate``, not rounded. ``price`` turns a price ``{x}``
+    into what the rate is taken of."""
+    close, base = price.format(x="close"), price.format(x=BASE[mode])
     return f"""{bars},
 {prevs},
 rates AS (
-    SELECT {keys}, (close / nullif({BASE[mode]}, 0) - 1) * 100 AS rate FROM prevs
+    SELECT {keys}, ({close} / nullif({base}, 0) - 1) * 100 AS rate FROM prevs
 )"""

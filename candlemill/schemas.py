@@ -19,7 +19,6 @@ TICK_LANDING = T.StructType(
 )
 
 TICK_PRICE = T.DecimalType(9, 5)
-BAR_PRICE = T.DecimalType(10, 4)
 
 MONTH_BAR = T.StructType(
     [
@@ -53,6 +52,24 @@ FILE_AUDIT = T.StructType(
         T.StructField("event_timestamp", T.TimestampNTZType()),
         T.StructField("start_timestamp", T.TimestampNTZType()),
         T.StructField("lines", T.LongType()),
+        T.StructField("instrument", T.StringType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("modified", T.TimestampType()),
+    ]
+)
+
+# Rows of every flavour and mode in one layout; the flavours' own headings are not kept.
+REPORT_CELLS = [f"m{m:02d}" for m in range(1, 13)] + ["total"]
+REPORT_AUDIT = T.StructType(
+    [
+        T.StructField("instrument", T.StringType()),
+        T.StructField("year", T.StringType()),
+        *[T.StructField(c, T.DoubleType()) for c in REPORT_CELLS],
+        T.StructField("flavour", T.StringType()),
+        T.StructField("mode", T.StringType()),
+        T.StructField("load_timestamp", T.TimestampNTZType()),
+        T.StructField("task_name", T.StringType()),
     ]
 )
 

@@ -60,9 +60,6 @@ class VersionedTable:
     because its folder exists.
     """
 
-    #: versions left for readers that started earlier
-    KEPT = 20
-
     def __init__(self, spark: SparkSession, path: str, schema: StructType, partition_by: str | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -100,9 +97,13 @@ class VersionedTable:
             # Even file sizes: Spark splits a heavy partition value and joins light ones.
             writer = rows.hint("rebalance", self.partition_by).write.partitionBy(self.partition_by)
         writer.mode("errorifexists").parquet(self._folder(number))
-        for old in versions[self.KEPT :]:
-            remove(self.spark, self._folder(old))
         return number
 
+    def forget(self, keep: int) -> None:
+        """Remove all but the newest ``keep`` versions. Only the caller knows which of them
+        readers may still hold, so no commit does this."""
+        for old in self._versions()[max(1, keep) :]:
+            remove(self.spark, self._folder(old))
+
     def reset(self) -> None:
         remove(self.spark, self.path)

@@ -8,11 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlemill.functions.parsing import market_of
-
-# Larger files are hashed in pieces instead of being held as one value.
-WHOLE_FILE_LIMIT = 64 << 20
-PIECE = 8 << 20
+from candlemill.functions.parsing import instrument_of, market_of
 
 FILE_SCHEMA = T.StructType(
     [
@@ -32,7 +28,11 @@ def base_name(path: Column) -> Column:
 def described(files: DataFrame) -> DataFrame:
     """The columns used here; ``file_uri`` is how a scan names the file of a row."""
     return files.select(
-        "path", F.col("_metadata.file_path").alias("file_uri"), "length", "content"
+        "path",
+        F.col("_metadata.file_path").alias("file_uri"),
+        "length",
+        F.col("modificationTime").alias("modified"),
+        "content",
     )
 
 
@@ -59,71 +59,42 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def piecewise_hasher(piece: int = PIECE):
-    """Batch function that hashes files by reading ``piece`` bytes at a time.
+def with_checksum(files: DataFrame) -> DataFrame:
+    """SHA-256 of each file's bytes beside what describes the file.
 
-    Built as a closure, so that it reaches the workers by value.
+    Every file takes this one path, inside the JVM and by Spark's own file systems. A file
+    is one value, so the source refuses one that is longer than an array can be (2 GB).
     """
+    about = [c for c in files.columns if c != "content"]
+    return files.select(*about, F.sha2("content", 256).alias("checksum"))
 
-    def hash_files(batches):
-        import hashlib
-        from urllib.parse import quote
-
-        from pyarrow import fs
-
-        def digest(path):
-            scheme, _, rest = path.partition(":")
-            slashes = "" if rest.startswith("//") else "//"
-            store, inner = fs.FileSystem.from_uri(f"{scheme}:{slashes}{quote(rest, safe='/:@')}")
-            found = hashlib.sha256()
-            with store.open_input_stream(inner) as stream:
-                while block := stream.read(piece):
-                    found.update(block)
-            return found.hexdigest()
-
-        for batch in batches:
-            yield batch.assign(checksum=[digest(path) for path in batch["path"]])
 
-    return hash_files
+def manifest(files: DataFrame, name: Column | None = None) -> DataFrame:
+    """One row per distinct content: checksum, path, file_uri, length, modified, file_name,
+    market, instrument.
 
-
-def with_checksum(files: DataFrame, whole_limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    """SHA-256 of each file's bytes beside path, file_uri and length.
-
-    Small files are hashed inside the JVM. The length filter reaches the source, so
-    the bytes of a large file are never loaded as one value.
+    Copies of the same bytes under several names are one entry.
     """
-    about = ["path", "file_uri", "length"]
-    small = files.filter(F.col("length") <= whole_limit).select(
-        *about, F.sha2("content", 256).alias("checksum")
-    )
-    large = (
-        files.filter(F.col("length") > whole_limit)
-        .select(*about)
-        .mapInPandas(
-            piecewise_hasher(), "path string, file_uri string, length long, checksum string"
-        )
-    )
-    return small.unionByName(large)
+    about = [c for c in files.columns if c != "content"]
+    one = F.min(F.struct(*about)).alias("one")
+    found = with_checksum(files).groupBy("checksum").agg(one).select("checksum", "one.*")
+    return named(found, name)
 
 
-def manifest(files: DataFrame, name: Column | None = None, whole_limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    """One row per distinct content: checksum, path, file_uri, length, file_name, market.
-
-    Copies of the same bytes under several names are one entry.
-    """
+def named(files: DataFrame, name: Column | None = None) -> DataFrame:
+    """Adds file_name and what it says: market and instrument."""
     name = base_name(F.col("path")) if name is None else name
-    one = F.min(F.struct("path", "file_uri", "length")).alias("one")
-    return (
-        with_checksum(files, whole_limit)
-        .groupBy("checksum")
-        .agg(one)
-        .select("checksum", "one.*")
-        .withColumn("file_name", name)
-        .withColumn("market", market_of(F.col("file_name")))
+    files = files.withColumn("file_name", name)
+    return files.withColumn("market", market_of(F.col("file_name"))).withColumn(
+        "instrument", instrument_of(F.col("file_name"))
     )
 
 
+def files_at(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The files at these paths, with their content."""
+    return described(spark.read.format("binaryFile").load([literal_path(p) for p in paths]))
+
+
 def line_counts(spark: SparkSession, root: str, glob: str = "*.csv", with_header: bool = True) -> DataFrame:
     """Lines of each file; large files are counted by several tasks."""
     lines = (

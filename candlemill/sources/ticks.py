@@ -13,13 +13,20 @@ from candlemill.functions.periods import MONTH, period_columns
 from candlemill.schemas import PRICE_COLUMNS, TICK_LANDING, TICK_PRICE, TICK_RAW
 
 
+# Cells without which a line is not a tick.
+NEEDED = ("time", "open", "close")
+
+
 def tick_options() -> dict[str, str]:
     """CSV settings of a raw tick file: ``;``, quotes allowed, one header line per file."""
     return {"sep": ";", "quote": '"', "header": "true", "encoding": "UTF-8", "mode": "PERMISSIVE"}
 
 
 def scan_ticks(
-    spark: SparkSession, paths: str | Sequence[str], schema: StructType = TICK_RAW
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: StructType = TICK_RAW,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Tick files as text columns, matched to ``schema`` by position.
 
@@ -27,7 +34,7 @@ def scan_ticks(
     gets NULLs at its end.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.schema(schema).options(**tick_options()).csv(paths)
+    return spark.read.schema(schema).options(**tick_options(), **(options or {})).csv(paths)
 
 
 def scan_landing(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -43,7 +50,9 @@ def _typed(raw: DataFrame, columns: Sequence[str], price: str | DataType, bad_ro
     def parsed(name: str) -> Column:
         text = F.col(name)
         value = tick_time(text) if name == "time" else decimal_comma(text, price)
-        return (must_parse(text, value, name) if bad_rows == "fail" else value).alias(name)
+        if bad_rows == "fail":
+            value = must_parse(text, value, name, needed=name in NEEDED)
+        return value.alias(name)
 
     others = [c for c in raw.columns if c not in TICK_RAW.names]
     typed = raw.select(*[parsed(c) for c in ("time", *columns)], *others)
@@ -52,6 +61,12 @@ def _typed(raw: DataFrame, columns: Sequence[str], price: str | DataType, bad_ro
     return typed
 
 
+def without_time_where_incomplete(ticks: DataFrame) -> DataFrame:
+    """Ticks that lack a price lose their time as well: they count as lines and no more."""
+    whole = F.col("open").isNotNull() & F.col("close").isNotNull()
+    return ticks.withColumn("time", F.when(whole, F.col("time")))
+
+
 def load_ticks(raw: DataFrame, bad_rows: str = "fail") -> DataFrame:
     """All columns of the tick table: timestamp and ``decimal(9,5)`` prices."""
     return _typed(raw, PRICE_COLUMNS, TICK_PRICE, bad_rows)

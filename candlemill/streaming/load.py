@@ -15,7 +15,7 @@ from candlemill.operators.bars import bars
 from candlemill.operators.upsert import upsert_with_prev_close
 from candlemill.plans.load import LoadSettings, Store, load_files
 from candlemill.schemas import TICK_RAW
-from candlemill.sources.files import FILE_SCHEMA, described, literal_path
+from candlemill.sources.files import FILE_SCHEMA, files_at
 from candlemill.sources.ticks import normalize_ticks, tick_options
 
 
@@ -54,10 +54,9 @@ def stream_files(
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         session = batch.sparkSession
-        paths = [literal_path(row.path) for row in batch.collect()]
+        paths = [row.path for row in batch.collect()]
         if paths:
-            files = described(session.read.format("binaryFile").load(paths))
-            load_files(Store(session, root, settings.by_market), files, settings)
+            load_files(Store(session, root, settings.by_instrument), files_at(session, paths), settings)
 
     return _started(names.writeStream.foreachBatch(load), checkpoint, interval)
 

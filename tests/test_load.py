@@ -50,7 +50,7 @@ def expected(spark):
 
 
 def load(spark, source, root, **settings):
-    store = Store(spark, str(root), settings.get("by_market", False))
+    store = Store(spark, str(root), settings.get("by_instrument", False))
     return store, load_files(store, list_files(spark, str(source)), LoadSettings(**settings))
 
 
@@ -105,6 +105,48 @@ def test_file_without_ticks_is_finished_with_no_lines(spark, tmp_path):
     assert [(r.lines, r.end_timestamp is not None) for r in audit_state(store.file_audit()).collect()] == [(0, True)]
 
 
+def test_known_files_are_not_hashed_again(spark, tmp_path, monkeypatch):
+    write_parts(tmp_path / "in", {"a.csv": [0, 1], "copy.csv": [0, 1]})
+    load(spark, tmp_path / "in", tmp_path / "store")
+    with monkeypatch.context() as broken:
+        broken.setattr(load_plan, "with_checksum", None)
+        _, count = load(spark, tmp_path / "in", tmp_path / "store")
+        assert count == 0
+    write_parts(tmp_path / "in", {"a.csv": [0, 1, 2]})
+    store, count = load(spark, tmp_path / "in", tmp_path / "store")
+    assert count == 1
+    _, count = load(spark, tmp_path / "in", tmp_path / "store", rehash=True)
+    assert count == 0
+
+
+def test_batches_equal_one_load(spark, tmp_path):
+    write_parts(tmp_path / "in", {f"{i}.csv": [i] for i in range(6)})
+    store, count = load(spark, tmp_path / "in", tmp_path / "store", files_per_batch=2)
+    assert count == 6 and rows_of(store) == expected(spark)
+
+
+@pytest.mark.parametrize("line", ["2020-01-03 00:00:00;4,0", ";1;1;1;1;0", "2020-01-03 00:00:00;;1;1;1;0"])
+def test_lines_with_missing_cells(spark, tmp_path, line):
+    write_ticks(tmp_path / "in" / "a.csv", [tick_line(*TICKS[1]), line])
+    with pytest.raises(Exception, match="bad (time|open|close)"):
+        load(spark, tmp_path / "in", tmp_path / "failed")
+    store, _ = load(spark, tmp_path / "in", tmp_path / "dropped", bad_rows="drop")
+    assert [(r.open, r.close) for r in store.bars.read().collect()] == [(100, 101)]
+    assert [r.lines for r in audit_state(store.file_audit()).collect()] == [2]
+    store, _ = load(spark, tmp_path / "in", tmp_path / "null", bad_rows="null")
+    bar = store.bars.read().first()
+    assert bar.open == 100 and bar.close in (101, 1)
+    assert [r.lines for r in audit_state(store.file_audit()).collect()] == [2]
+
+
+def test_a_corrected_file_repairs_a_bar(spark, tmp_path):
+    write_ticks(tmp_path / "in" / "a.csv", [tick_line(*TICKS[1]), "2020-01-31 23:59:50;104,0"])
+    load(spark, tmp_path / "in", tmp_path / "store", bad_rows="null")
+    write_ticks(tmp_path / "in" / "a.csv", [tick_line(*TICKS[1]), tick_line(*TICKS[3])])
+    store, count = load(spark, tmp_path / "in", tmp_path / "store", bad_rows="null")
+    assert count == 1 and [(r.open, r.close) for r in store.bars.read().collect()] == [(100, 105)]
+
+
 def test_replace_keeps_the_newer_bar_only(spark, tmp_path):
     for number, picked in enumerate([[0, 1, 3], [2]]):
         write_parts(tmp_path / f"in{number}", {"a.csv": picked})
@@ -123,15 +165,36 @@ def test_prev_close_inside_the_batch(spark, tmp_path):
         load(spark, tmp_path / "in0", tmp_path / "other", prev_close="batch")
 
 
-def test_one_series_per_market(spark, tmp_path):
-    write_parts(tmp_path / "in", {"X_EUR_2020.csv": [1], "X_USD_2020.csv": [2]})
-    store, _ = load(spark, tmp_path / "in", tmp_path / "store", by_market=True)
-    assert [(r.market, r.open) for r in store.bars.read().orderBy("market").collect()] == [("EUR", 100), ("USD", 102)]
+PAIR = {"XAUUSD_10Secs_Ask_2020.csv": [1], "EURUSD_10Secs_Ask_2020.csv": [2]}
+
+
+def test_one_series_per_instrument(spark, tmp_path):
+    write_parts(tmp_path / "in", PAIR)
+    store, _ = load(spark, tmp_path / "in", tmp_path / "store", by_instrument=True)
+    found = [(r.instrument, r.open) for r in store.bars.read().orderBy("instrument").collect()]
+    assert found == [("EURUSD", 102), ("XAUUSD", 100)]
+    audit = spark.read.parquet(store.bar_audit_path).collect()
+    assert sorted((r.instrument, r.market) for r in audit) == [("EURUSD", "10S"), ("XAUUSD", "10S")]
+    assert len({r.checksum for r in audit}) == 2
+
+
+def test_instruments_are_not_mixed(spark, tmp_path):
+    write_parts(tmp_path / "in", PAIR)
+    with pytest.raises(ValueError, match="several instruments"):
+        load(spark, tmp_path / "in", tmp_path / "store")
+    write_parts(tmp_path / "one", {"XAUUSD_1.csv": [1]})
+    load(spark, tmp_path / "one", tmp_path / "store")
+    write_parts(tmp_path / "two", {"EURUSD_1.csv": [2]})
+    with pytest.raises(ValueError, match="several instruments"):
+        load(spark, tmp_path / "two", tmp_path / "store")
+    write_parts(tmp_path / "none", {"nameless.csv": [2]})
+    with pytest.raises(ValueError, match="no instrument"):
+        load(spark, tmp_path / "none", tmp_path / "other", by_instrument=True)
 
 
-def test_job_per_market(spark, tmp_path):
-    write_parts(tmp_path / "in", {"X_EUR_2020.csv": [0, 1, 5], "X_USD_2020.csv": [2, 4]})
-    settings = LoadSettings(by_market=True)
+def test_job_per_instrument(spark, tmp_path):
+    write_parts(tmp_path / "in", {"EUR_2020.csv": [0, 1, 5], "USD_2020.csv": [2, 4]})
+    settings = LoadSettings(by_instrument=True)
     report = run_load(spark, str(tmp_path / "in"), str(tmp_path / "s"), flavour="mysql", settings=settings)
     expected_rows = []
     for market, picked in (("EUR", [0, 1, 5]), ("USD", [2, 4])):
@@ -153,7 +216,15 @@ def test_job_incremental_full_and_stored_result(spark, tmp_path, capsys):
     assert run_load(spark, str(source), root, "full", "cc", "zero").collect() == whole
     shown = run(spark, ["--store", root, "--get-result"])
     assert [r.year for r in shown.collect()] == ["2019", "2020", "AVG"]
-    assert spark.read.parquet(Store(spark, root).report_audit_path).count() == 3
+    audit = Store(spark, root).report_audit().collect()
+    assert {(r.flavour, r.mode) for r in audit} == {("zero", "cc")} and len(audit) == 3
+    before = sorted(Store(spark, root).bars.read().collect())
+    for wrong in (dict(source=str(tmp_path / "no")), dict(flavour="some"), dict(mode="some")):
+        with pytest.raises(Exception):
+            run_load(spark, **{"source": str(source), "root": root, "load_mode": "full", **wrong})
+    kept = Store(spark, root)
+    assert sorted(kept.bars.read().collect()) == before and kept.report_audit().count() == 3
+    assert audit_state(kept.file_audit()).count() == 2
     with pytest.raises(ValueError):
         run_load(spark, str(source), root, "some")
 
@@ -164,13 +235,13 @@ def test_week_job(spark, tmp_path):
     assert [r.month for r in report.collect()] == ["January", "March", "December"]
 
 
-def test_week_job_per_market(spark, tmp_path):
-    write_parts(tmp_path / "in", {"X_EUR_2020.csv": [1, 2], "X_10 Y_USD_2020.csv": [1, 3], "X_EUR_2021.csv": [3]})
-    args = ["--store", str(tmp_path / "s"), "--source", str(tmp_path / "in"), "--time-mode", "week", "--by-market"]
+def test_week_job_per_instrument(spark, tmp_path):
+    write_parts(tmp_path / "in", {"EUR_2020.csv": [1, 2], "USD_10 Y_2020.csv": [1, 3], "EUR_2021.csv": [3]})
+    args = ["--store", str(tmp_path / "s"), "--source", str(tmp_path / "in"), "--time-mode", "week", "--by-instrument"]
     for mode in ("oc", "cc"):
         found = run(spark, [*args, "--calculation-mode", mode]).collect()
         for row in found:
-            picked = {"EUR": [1, 2, 3], "USD": [1, 3]}[row.market]
+            picked = {"EUR": [1, 2, 3], "USD": [1, 3]}[row.instrument]
             alone = week_report(bars(ticks_frame(spark, [TICKS[i] for i in picked]), DAY), mode).first()
             assert tuple(row)[1:] == tuple(alone)
         assert len(found) == 2
@@ -229,11 +300,12 @@ def test_half_written_version_is_not_read(spark, tmp_path):
     assert sorted(table.read().collect()) == whole
 
 
-def test_old_versions_are_removed(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(VersionedTable, "KEPT", 2)
+def test_old_versions_are_removed_on_request(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"), bars(ticks_frame(spark, [])).schema)
     for _ in range(5):
         table.commit(merge_bars(table.read(), bars(ticks_frame(spark, TICKS))))
+    assert len(list((tmp_path / "t").iterdir())) == 5
+    table.forget(3)
     assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["v00000003", "v00000004", "v00000005"]
     assert table.read().count() == 3
 
