@@ -52,7 +52,7 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
         earlier = f"concat(array_repeat('', least({j}, size({{w}}))), slice({{w}}, 1, greatest(0, size({{w}}) - {j})))"
         hashed = f"zip_with({hashed}, {earlier}, (h, w) -> xxhash64(h, w))"
     # Hash above, place in the text below: sorted, equal k-mers lie side by side in order.
-    packed = f"array_sort(transform({hashed}, (h, i) -> (h & {low}L) | i))"
+    packed = f"sort_array(transform({hashed}, (h, i) -> (h & {low}L) | i))"
     df = df.withColumn(c["packed"], F.expr(packed.replace("{w}", c["words"])))
     p = c["packed"]
     starts = (
@@ -67,20 +67,20 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     )
     marked = (
         f"CASE WHEN size({p}) = 0 THEN cast(array() AS array<bigint>) ELSE"
-        f" slice(array_sort(zip_with({p}, {occurrence}, (x, o) ->"
+        f" slice(sort_array(zip_with({p}, {occurrence}, (x, o) ->"
         f" (xxhash64(x & {low}L, o) & {low}L) | (x & {place}L))), 1, {SAMPLE}) END"
     )
     df = df.withColumn(c["marked"], F.expr(marked))
     # Back to the order of the text; the place in the sample goes into the lowest bits.
     sample = (
-        f"transform(array_sort(transform({c['marked']}, x -> named_struct('at', x & {place}L, 'h', x))),"
+        f"transform(sort_array(transform({c['marked']}, x -> named_struct('at', x & {place}L, 'h', x))),"
         f" (s, j) -> (xxhash64(s.h & {low}L) & -64L) | j)"
     )
     df = df.withColumn(c["sample"], F.expr(sample))
     s = c["sample"]
     components = ", ".join(
-        f"transform(array(slice(array_sort(transform({s}, h -> h ^ {seed}L)), 1, {TUPLE})),"
-        f" t -> aggregate(array_sort(transform(t, v -> v & 63L)), 0L,"
+        f"transform(array(slice(sort_array(transform({s}, h -> h ^ {seed}L)), 1, {TUPLE})),"
+        f" t -> aggregate(sort_array(transform(t, v -> v & 63L)), 0L,"
         f" (a, j) -> xxhash64(a, element_at({s}, cast(j AS int) + 1) & -64L)))[0]"
         for seed in _seeds(COMPONENTS)
     )
