@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlemill.llm.common import crc_of_id, table
+from candlemill.llm.common import crc_of_id
 from candlemill.llm.words import U64, mix, utf8_runs
 
 BUCKETS = 1 << 17
