@@ -52,7 +52,10 @@ class Tiles:
 
 
 def part_keys(shingles: np.ndarray, tiles: Tiles) -> np.ndarray:
-    """One key for each tile and part: the tile, the part and the shingles in it."""
+    """One key for each tile and part: the tile, the part and the shingles in it.
+
+    48 bits are kept: keys that meet by chance only add candidates.
+    """
     if not len(shingles):
         return np.zeros(0, np.int64)
     running = np.concatenate([np.zeros(1, U64), np.cumsum(mix(shingles + U64(77)), dtype=U64)])
@@ -64,7 +67,7 @@ def part_keys(shingles: np.ndarray, tiles: Tiles) -> np.ndarray:
         edge = np.searchsorted(part, np.arange(parts + 1, dtype=U64))
         held = running[edge[1:]] - running[edge[:-1]]
         where = (np.arange(parts, dtype=U64) << U64(16)) + U64(tile)
-        keys.append(mix(held + mix(where + U64(5))))
+        keys.append(mix(held + mix(where + U64(5))) >> U64(16))
     return np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
 
 
@@ -139,24 +142,15 @@ def shingle_counts(docs: DataFrame, width: int) -> DataFrame:
     )
 
 
-def _parts(docs: DataFrame, width: int, tiles: Tiles) -> DataFrame:
+def _parts(docs: DataFrame, counts: DataFrame, width: int, tiles: Tiles) -> DataFrame:
     """(doc_id, part) of one document of each set: the smallest id of equal sets."""
-    schema = pa.schema(
-        [
-            ("doc_id", pa.int64()),
-            ("d1", pa.int64()),
-            ("d2", pa.int64()),
-            ("parts", pa.list_(pa.int64())),
-        ]
-    )
-    run = _per_text(lambda s: (*_digest(s), part_keys(s, tiles)), schema, width)
-    keyed = docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, d1 long, d2 long, parts array<long>"
-    )
-    # The row number is cut to 1 in each task before the shuffle, however many copies it has.
-    first = Window.partitionBy("d1", "d2").orderBy(F.col("doc_id").asc_nulls_last())
-    keyed = keyed.where("doc_id IS NOT NULL AND size(parts) > 0")
-    keyed = keyed.withColumn("place", F.row_number().over(first)).where("place = 1")
+    schema = pa.schema([("doc_id", pa.int64()), ("parts", pa.list_(pa.int64()))])
+    run = _per_text(lambda s: (part_keys(s, tiles),), schema, width)
+    first = counts.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2")
+    first = first.agg(F.min("doc_id").alias("doc_id")).where("doc_id IS NOT NULL")
+    first = saved(first.select("doc_id").distinct(), "first")
+    keyed = semi_join(docs.select("doc_id", "text"), first, "doc_id")
+    keyed = keyed.mapInArrow(run, "doc_id long, parts array<long>")
     return keyed.select("doc_id", F.explode("parts").alias("part"))
 
 
@@ -371,7 +365,7 @@ def jaccard_components(
     """
     tiles = Tiles(num, den)
     counts = saved(shingle_counts(docs, width), "counts")
-    members = saved(_members(_parts(docs, width, tiles)), "members")
+    members = saved(_members(_parts(docs, counts, width, tiles)), "members")
     wanted = saved(members.select("doc_id").distinct(), "candidates")
     sets = saved(_sets(semi_join(docs.select("doc_id", "text"), wanted, "doc_id"), width), "sets")
     labels = _components_of_members(members, sets, num, den)
