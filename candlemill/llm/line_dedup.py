@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.llm.common import saved
+from candlemill.llm.jaccard_join import jaccard_components
 from candlemill.llm.words import U64, mix, utf8_runs, word_hashes
 
 # Leading tokens that a leaf is chosen by.
@@ -93,12 +94,38 @@ def _text_key():
     return F.xxhash64("text", F.length("text"))
 
 
+def near_copies(docs: DataFrame) -> DataFrame:
+    """(text_key, source) of each text that has near copies: the one text they all count as.
+
+    Near copies are linked by sets of five-word shingles with a similarity of 0.8 or more.
+    """
+    texts = docs.select(_text_key().alias("doc_id"), "text").where("text IS NOT NULL")
+    groups = jaccard_components(texts, width=5, num=80, den=100)
+    groups = groups.select(F.col("doc_id").alias("text_key"), F.col("component_id").alias("source"))
+    groups = saved(groups.distinct(), "groups")
+    several = groups.where("text_key <> source").select("source").distinct()
+    return saved(groups.join(several, "source", "left_semi").select("text_key", "source"), "copies")
+
+
+def _documents(df: DataFrame, copies: DataFrame | None) -> DataFrame:
+    """Adds ``source``: what the text of a row counts as."""
+    if copies is None:
+        return df.withColumn("source", F.col("text_key"))
+    df = df.join(copies, "text_key", "left")
+    return df.withColumn("source", F.coalesce("source", "text_key"))
+
+
 def template_lines(
-    docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_constant: int = MIN_CONSTANT
+    docs: DataFrame,
+    depth: int = DEPTH,
+    min_docs: int = MIN_DOCS,
+    min_constant: int = MIN_CONSTANT,
+    copies: DataFrame | None = None,
 ) -> DataFrame:
     """(text_key, line, words) of the lines whose template recurs, by a hash of their text.
 
-    Equal texts count as one document. A template is a leaf with the constant tokens:
+    Equal texts count as one document, and so do those that ``copies`` (see ``near_copies``)
+    gives the same source. A template is a leaf with the constant tokens:
     those without a digit that at least ``min_docs`` documents have at their position. It
     recurs if as many documents have it and at least ``min_constant`` hundredths of the
     line's tokens without a digit are constant, one at least. All counts are of rows
@@ -107,29 +134,30 @@ def template_lines(
     texts = docs.select(_text_key().alias("text_key"), "text").where("text IS NOT NULL")
     # Only leaves, and later only lines of recurring leaves, go through a shuffle.
     leaves = texts.mapInArrow(_parse(depth, False), "text_key long, leaf long")
-    leaves = leaves.distinct().groupBy("leaf").count()
+    leaves = _documents(leaves.distinct(), copies).groupBy("leaf")
+    leaves = leaves.agg(F.count_distinct("source").alias("count"))
     leaves = saved(leaves.where(F.col("count") >= min_docs).select("leaf"), "leaves")
     parsed = texts.mapInArrow(_parse(depth, True), _LINE_SCHEMA)
     lines = parsed.join(leaves, "leaf").dropDuplicates(["text_key", "line"])
-    lines = saved(lines, "lines")
+    lines = saved(_documents(lines, copies), "lines")
 
     field = F.lit(int(_FIELD))
     plain = F.size(F.filter("tokens", lambda t: t != field)).alias("plain")
     tokens = lines.select(
-        "text_key", "line", "words", "leaf", plain, F.posexplode("tokens").alias("position", "token")
+        "text_key", "source", "line", "words", "leaf", plain, F.posexplode("tokens").alias("position", "token")
     ).where(F.col("token") != field)
     place = ["leaf", "position", "token"]
-    constant = tokens.select("text_key", *place).distinct().groupBy(*place).count()
+    constant = tokens.select("source", *place).distinct().groupBy(*place).count()
     constant = constant.where(F.col("count") >= min_docs).select(*place)
     templates = (
         tokens.join(constant, place, "left_semi")
-        .groupBy("text_key", "line", "words", "leaf", "plain")
+        .groupBy("text_key", "source", "line", "words", "leaf", "plain")
         .agg(F.count("*").alias("held"), F.bit_xor(F.xxhash64("position", "token")).alias("code"))
         .where(F.col("held") * 100 >= F.col("plain") * min_constant)
     )
     template = ["leaf", "held", "code"]
     templates = saved(templates, "templates")
-    often = templates.select("text_key", *template).distinct().groupBy(*template).count()
+    often = templates.select("source", *template).distinct().groupBy(*template).count()
     often = often.where(F.col("count") >= min_docs).select(*template)
     return templates.join(often, template, "left_semi").select("text_key", "line", "words")
 
@@ -140,27 +168,37 @@ def drop_templates(
     min_docs: int = MIN_DOCS,
     min_constant: int = MIN_CONSTANT,
     most_dropped: int = MOST_DROPPED,
+    copies: DataFrame | None = None,
 ) -> DataFrame:
     """``docs`` (doc_id, text, ...) with ``n_lines``, ``n_dropped`` and the text that is left.
 
     Lines are cut at line feeds; lines without tokens are left alone. Null and empty texts
     stay as they are, with 0 lines of which 0 are dropped. A text of which more than
     ``most_dropped`` hundredths of the words would go keeps all its lines: it is a copy of
-    other documents, not a document with a repeated line in it. Every row comes back, as
-    often as it came, and further columns are handed on.
+    other documents, not a document with a repeated line in it. With ``copies``, from
+    ``near_copies``, that holds for texts in it only: they count as one document with their
+    copies, and any other text loses all lines that recur. Every row comes back, as often as
+    it came, and further columns are handed on.
     """
-    lines = template_lines(docs, depth, min_docs, min_constant)
+    lines = template_lines(docs, depth, min_docs, min_constant, copies)
     # The lines of one text at most.
     gone = lines.groupBy(F.col("text_key").alias("_key")).agg(
         F.collect_set("line").alias("_gone"), F.sum("words").alias("_words")
     )
+    if copies is None:
+        gone = gone.withColumn("_copied", F.lit(True))
+    else:
+        named = copies.select(F.col("text_key").alias("_key"), F.lit(True).alias("_copied"))
+        gone = gone.join(named, "_key", "left").withColumn("_copied", F.col("_copied").isNotNull())
     # Texts are shuffled once, whatever the size of the other side: how many lines go grows
     # with the documents, so there is no bound for a broadcast.
     gone = saved(gone, "gone").hint("merge")
     out = docs.withColumn("_text_key", _text_key())
     out = out.join(gone, F.col("_text_key") == F.col("_key"), "left")
     words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
-    drop = F.col("_gone").isNotNull() & (F.col("_words") * 100 <= words * most_dropped)
+    drop = F.col("_gone").isNotNull() & (
+        ~F.col("_copied") | (F.col("_words") * 100 <= words * most_dropped)
+    )
     split = F.split("text", "\n", -1)
     kept = F.expr("filter(_split, (x, i) -> NOT array_contains(_gone, i))")
     n_lines = F.when(F.coalesce(F.length("text"), F.lit(0)) == 0, 0).otherwise(F.size("_split"))

@@ -1,6 +1,6 @@
 """Line dedup on lines with variable fields; whole tables are compared with SQL."""
 
-from candlemill.llm.line_dedup import drop_templates
+from candlemill.llm.line_dedup import drop_templates, near_copies
 
 
 def plain(text):
@@ -53,3 +53,14 @@ def test_rows_repeat_and_columns_clash(spark, prose):
     found = drop_templates(spark.createDataFrame(rows, schema)).collect()
     assert len(found) == 8 and {r.n_dropped for r in found} == {1} and {r.line for r in found} == {1}
     assert drop_templates(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_short_documents_lose_their_boilerplate_and_near_copies_keep_their_lines(frame, prose):
+    licence = " ".join(["all rights are reserved and nobody may copy any of this work"] * 5)
+    rows = [(i, f"{licence}\n{plain(prose(30, i))}") for i in range(8)]
+    copied = "\n".join(plain(prose(30, 100 + j)) for j in range(6))
+    rows += [(100 + i, f"{copied}\n{plain(prose(5, 200 + i))}") for i in range(12)]
+    docs = frame(rows)
+    found = lines_of(docs, copies=near_copies(docs))
+    for i, text in rows:
+        assert found[i] == ((text.split("\n")[1], 2, 1) if i < 100 else (text, 7, 0))
