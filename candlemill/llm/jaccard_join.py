@@ -23,7 +23,7 @@ from candlemill.llm.words import U64, mix, shingle_sets
 
 # Members of a part that are compared with as many others at once.
 CHUNK = 256
-_TILE = ["part", "i", "j", "chunk", "doc_id", "component", "n", "bits"]
+_TILE = ["part", "i", "j", "chunk", "doc_id", "n", "bits"]
 _PAIR = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 _OUT_ROWS = 500
 
@@ -155,7 +155,7 @@ def _parts(docs: DataFrame, counts: DataFrame, width: int, tiles: Tiles) -> Data
 
 
 def _members(parts: DataFrame) -> DataFrame:
-    """Rows of the parts that two sets share at least, and the smallest id in each.
+    """Rows of the parts that two sets share at least.
 
     Rows are two integers; the sort behind the window spills where one part has very many.
     """
@@ -164,7 +164,7 @@ def _members(parts: DataFrame) -> DataFrame:
         parts.withColumn("low", F.min("doc_id").over(whole))
         .withColumn("high", F.max("doc_id").over(whole))
         .where("low < high")
-        .select("part", "doc_id", "low")
+        .select("part", "doc_id")
     )
 
 
@@ -214,17 +214,6 @@ def _with_sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
     return pairs
 
 
-def linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (u, v) whose sets reach the threshold: bitmaps first, then the sets."""
-
-    def may(a, b, n_a, n_b):
-        return overlap_bound(a, n_a, b, n_b) * (den + num) >= num * (n_a + n_b)
-
-    sized = F.least("n_u", "n_v") * den >= F.greatest("n_u", "n_v") * num
-    pairs = _with_sides(pairs, sets, "bits").where(sized)
-    return intersecting(pairs.mapInArrow(_keep("bits", may), "u long, v long"), sets, num, den)
-
-
 def intersecting(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (u, v) whose sets reach the threshold, by their sorted arrays."""
 
@@ -235,28 +224,23 @@ def intersecting(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataF
     return pairs.mapInArrow(_keep("shingles", does), "u long, v long")
 
 
-def _ordered(a: str, b: str):
-    return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
-
-
 def _within_tiles(num: int, den: int):
     """A mapInArrow function over members sorted by tile: pairs that their bitmaps allow.
 
-    Pairs of one component are passed over. A tile holds two chunks of a part's members at
-    most, so what is compared at once is bounded however many members a part has.
+    A tile holds two chunks of a part's members at most, so what is compared at once is
+    bounded however many members a part has.
     """
     empty = pa.RecordBatch.from_pydict({"u": [], "v": []}, schema=_PAIR)
 
     def compare(tile: list[tuple]) -> list[tuple[int, int]]:
-        _, i, j, chunk, node, component, n, bits = (list(c) for c in zip(*tile))
+        _, i, j, chunk, node, n, bits = (list(c) for c in zip(*tile))
         width = min(len(b) for b in bits)
         bits = np.array([folded(b, width) for b in bits])
-        chunk, node, component, n = (np.array(c) for c in (chunk, node, component, n))
+        chunk, node, n = (np.array(c) for c in (chunk, node, n))
         right = np.flatnonzero(chunk == j[0])
         out = []
         for x in np.flatnonzero(chunk == i[0]):
             y = right[right > x] if i[0] == j[0] else right
-            y = y[component[y] != component[x]]
             y = y[np.minimum(n[y], n[x]) * den >= np.maximum(n[y], n[x]) * num]
             bound = np.minimum(
                 n[x] - np.bitwise_count(bits[x] & ~bits[y]).sum(axis=1, dtype=np.int64),
@@ -287,11 +271,11 @@ def _within_tiles(num: int, den: int):
     return run
 
 
-def _tiled(open_: DataFrame, sets: DataFrame) -> DataFrame:
-    """Members of open parts dealt into tiles: pairs of chunks of about CHUNK members."""
-    chunks = open_.groupBy("part").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+def _tiled(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members of parts dealt into tiles: pairs of chunks of about CHUNK members."""
+    chunks = members.groupBy("part").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     bits = sets.select("doc_id", "n", "bits")
-    held = open_.join(chunks, "part").join(bits, "doc_id")
+    held = members.join(chunks, "part").join(bits, "doc_id")
     chunk = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
     held = held.withColumn("chunk", chunk).withColumn(
         "tile",
@@ -306,76 +290,76 @@ def _tiled(open_: DataFrame, sets: DataFrame) -> DataFrame:
     return held.select(*_TILE).repartition("part", "i", "j").sortWithinPartitions("part", "i", "j")
 
 
-def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of the parts that reach into two components at least."""
-    named = labels.withColumnRenamed("node", "doc_id")
-    all_ = members.join(named, "doc_id", "left").select(
-        "part", "doc_id", F.coalesce("component", "doc_id").alias("component")
+def _distinct_parts(members: DataFrame) -> DataFrame:
+    """Members of one part of those that hold the same documents: all of them give the same pairs."""
+    held = members.groupBy("part").agg(
+        F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("doc_id")).alias("x"),
+        F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y"),
     )
-    split = all_.groupBy("part").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-    return all_.join(split.where("a < b").select("part"), "part", "left_semi")
-
+    one = saved(held.groupBy("n", "x", "y").agg(F.min("part").alias("part")).select("part"), "parts")
+    return members.join(one, "part", "left_semi")
 
-def _components_of_members(
-    members: DataFrame, sets: DataFrame, num: int, den: int
-) -> DataFrame:
-    """(node, component) of the documents that link with any other.
-
-    First the members of a part are compared with its smallest id, then, where a part still
-    reaches into several components, with the one that lies in most such parts. Copies of
-    one text meet there. What is left are pairs of a part in different components; all of
-    those are compared, tile by tile.
-    """
-    pairs = members.where("doc_id <> low").select(*_ordered("doc_id", "low")).distinct()
-    links = saved(linked(pairs, sets, num, den), "linked")
-    labels = saved(connected_components(links), "labels")
-    open_ = saved(_labelled(members, labels), "open")
-    if open_.isEmpty():
-        return labels
-
-    spread = open_.groupBy("doc_id").agg(F.count("*").alias("parts"))
-    rank = F.struct("parts", (-F.col("doc_id")).alias("id"))
-    hub = open_.join(spread, "doc_id").groupBy("part").agg(
-        (-F.max(rank)["id"]).alias("hub"), F.max_by("component", rank).alias("c")
-    )
-    pairs = open_.join(hub, "part").where("component <> c").select(*_ordered("doc_id", "hub"))
-    links = links.union(saved(linked(pairs.distinct(), sets, num, den), "linked"))
-    labels = saved(connected_components(links), "labels")
-    open_ = saved(_labelled(open_.select("part", "doc_id"), labels), "open")
-    if open_.isEmpty():
-        return labels
 
-    pairs = _tiled(open_, sets).mapInArrow(_within_tiles(num, den), "u long, v long").distinct()
-    links = links.union(saved(intersecting(saved(pairs, "pairs"), sets, num, den), "linked"))
-    return saved(connected_components(links), "labels")
+def _links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """All pairs (u, v), u < v, that reach the threshold: every pair of a part is decided."""
+    members = saved(_distinct_parts(members), "open")
+    pairs = _tiled(members, sets).mapInArrow(_within_tiles(num, den), "u long, v long").distinct()
+    return saved(intersecting(saved(pairs, "pairs"), sets, num, den), "linked")
 
 
-def jaccard_components(
+def jaccard_join(
     docs: DataFrame, width: int = 5, num: int = 80, den: int = 100
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text, ...).
+) -> tuple[DataFrame, DataFrame]:
+    """The links of ``docs`` (doc_id, text, ...), and a row for each of its rows.
 
     Two documents link when the Jaccard similarity of their sets of ``width``-word shingles
-    is at least num / den; component_id is the smallest doc_id that links lead to, the
-    document's own included. Words are stretches without 0x20 and 0x09-0x0D, with A-Z read
-    as a-z. A text of fewer words has its whole sequence as its one shingle. Null and empty
-    texts, and texts without words, have no shingles and link with nothing. Documents of
-    equal sets are compared once, by their smallest id. Repeated rows come back as often as
-    they came; a null doc_id gives a null component. Further columns are not looked at.
+    is at least num / den. Words are stretches without 0x20 and 0x09-0x0D, with A-Z read as
+    a-z. A text of fewer words has its whole sequence as its one shingle. Null and empty
+    texts, and texts without words, have no shingles and link with nothing.
+
+    The first result is (u, v), u < v: all links between different sets, each set by its
+    smallest id. The second is (doc_id, n_shingles, component_id, n_links): component_id is
+    the smallest doc_id that links lead to, the document's own included, and n_links counts
+    the other rows with an id that the row links with, of an equal set or of another one.
+    Repeated rows come back as often as they came; a row without an id has no component and
+    no count, and is counted nowhere. Further columns are not looked at.
     """
     tiles = Tiles(num, den)
     counts = saved(shingle_counts(docs, width), "counts")
     members = saved(_members(_parts(docs, counts, width, tiles)), "members")
     wanted = saved(members.select("doc_id").distinct(), "candidates")
     sets = saved(_sets(semi_join(docs.select("doc_id", "text"), wanted, "doc_id"), width), "sets")
-    labels = _components_of_members(members, sets, num, den)
-
-    equal = counts.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2")
-    least = equal.agg(F.min("doc_id").alias("node"))
-    least = least.join(labels, "node", "left").select(
-        "n_shingles", "d1", "d2", F.coalesce("component", "node").alias("component")
+    links = _links(members, sets, num, den)
+    labels = connected_components(links)
+
+    equal = counts.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("n_shingles", "d1", "d2")
+    first = saved(equal.agg(F.min("doc_id").alias("node"), F.count("*").alias("rows")), "equal")
+    rows = first.select(F.col("node").alias("v"), "rows")
+    both = links.union(links.select("v", "u"))
+    reached = both.join(rows, "v").groupBy(F.col("u").alias("node")).agg(F.sum("rows").alias("others"))
+    first = first.join(labels, "node", "left").join(reached, "node", "left").select(
+        "n_shingles",
+        "d1",
+        "d2",
+        F.coalesce("component", "node").alias("component"),
+        (F.col("rows") - 1 + F.coalesce("others", F.lit(0))).alias("links"),
     )
-    out = counts.join(least, ["n_shingles", "d1", "d2"], "left")
+    out = counts.join(first, ["n_shingles", "d1", "d2"], "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
-    component = F.when(F.col("doc_id").isNotNull(), component)
-    return out.select("doc_id", "n_shingles", component.alias("component_id"))
+    n_links = F.when(F.col("n_shingles") == 0, 0).otherwise(F.col("links"))
+    has_id = F.col("doc_id").isNotNull()
+    out = out.select(
+        "doc_id",
+        "n_shingles",
+        F.when(has_id, component).alias("component_id"),
+        F.when(has_id, n_links).alias("n_links"),
+    )
+    return links, out
+
+
+def jaccard_components(
+    docs: DataFrame, width: int = 5, num: int = 80, den: int = 100
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row; see ``jaccard_join``."""
+    return jaccard_join(docs, width, num, den)[1].drop("n_links")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from candlemill.llm.common import table
 from candlemill.llm.fingerprints import fingerprints
-from candlemill.llm.jaccard_join import jaccard_components
+from candlemill.llm.jaccard_join import jaccard_join
 from candlemill.llm.language import language_id
 from candlemill.llm.line_dedup import drop_templates
 from candlemill.llm.mixing import mix
@@ -30,7 +30,7 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return jaccard_components(docs, width=3, num=90, den=100)
+    return jaccard_join(docs, width=3, num=90, den=100)[1]
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -68,6 +68,20 @@ def test_like_all_pairs(frame, prose, monkeypatch, width, num, den, chunk):
     assert sorted(tuple(r) for r in got) == plain_join(rows, width, num, den)
 
 
+def test_every_link_is_found_and_counted(frame, prose):
+    rows = [r for r in corpus(prose) if r[0] < 3000] + [(2000, prose(200, 1000))]
+    sets = [(d, plain_set(t, 3)) for d, t in rows]
+    links, out = J.jaccard_join(frame(rows).repartition(3), 3, 90, 100)
+    first = {}
+    for d, s in sets:
+        first[s] = min(d, first.get(s, d))
+    near = lambda s, t: bool(s and t) and len(s & t) * 100 >= len(s | t) * 90
+    want = sorted((a, b) for s, a in first.items() for t, b in first.items() if a < b and near(s, t))
+    assert len(want) > 100 and sorted(tuple(r) for r in links.collect()) == want
+    counts = sorted((d, sum(near(s, t) for _, t in sets) - bool(s)) for d, s in sets)
+    assert sorted((r.doc_id, r.n_links) for r in out.collect()) == counts
+
+
 def test_repeated_rows_null_ids_and_other_columns(spark, prose):
     text = prose(30, 5)
     rows = [(7, text, 1, 2), (7, text, 1, 2), (5, text, 1, 2), (None, text, 1, 2), (9, None, 1, 2)]
