@@ -21,11 +21,9 @@ from candlemill.llm.words import U64, mix, powers, utf8_runs
 
 # Documents of each language that a model is fitted on, at most, by seeded order.
 SAMPLE_DOCS = 20_000
-# Entries kept of each kind: words, and n-grams of each length.
-KEPT = 50_000
+# Times that a word or n-gram must occur in the sample, in all languages, to be known.
 LEAST = 3
 GRAMS = (5, 4, 3, 2, 1)
-SLOTS = 1 << 20
 UNKNOWN = "und"
 # Log-probability of what a language does not have, and the weight of a letter's n-gram.
 FLOOR = -14.0
@@ -79,36 +77,31 @@ def _letters_on(data: np.ndarray, at: np.ndarray, letters: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Languages, a table of known hashes, and the log-probabilities of each."""
+    """Languages, the sorted hashes of what is known, and the log-probabilities of each."""
 
     languages: list[str]
-    slots: np.ndarray
-    entry: np.ndarray
+    keys: np.ndarray
     logs: np.ndarray
 
     def find(self, hashes: np.ndarray, kind: int) -> np.ndarray:
         """Entry numbers of hashes, -1 where unknown."""
+        if not len(self.keys):
+            return np.full(len(hashes), -1, np.int64)
         hashes = mix(hashes + U64(kind))
-        at = (hashes >> U64(44)).astype(np.int64)
-        return np.where(self.slots[at] == hashes, self.entry[at], -1)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return np.where(self.keys[at] == hashes, at, -1)
 
 
 def build(languages: list[str], kinds: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> Model:
-    """A model from entries (kind, hash) with their counts in each language.
-
-    Of two entries that fall into one slot, the more frequent stays known.
-    """
-    order = np.argsort(counts.sum(axis=1), kind="stable")
-    kinds, hashes, counts = kinds[order], hashes[order], counts[order].astype(float)
-    slots, entry = np.zeros(SLOTS, U64), np.full(SLOTS, -1, np.int64)
+    """A model from distinct entries (kind, hash) with their counts in each language."""
     keys = mix(hashes + kinds.astype(U64))
-    at = (keys >> U64(44)).astype(np.int64)
-    slots[at], entry[at] = keys, np.arange(len(keys))
+    order = np.argsort(keys, kind="stable")
+    keys, kinds, counts = keys[order], kinds[order], counts[order].astype(float)
     totals = np.zeros((_KINDS, len(languages)))
     np.add.at(totals, kinds, counts)
     share = counts / np.maximum(totals[kinds], 1)
     logs = np.maximum(np.log(share + 1e-12), FLOOR)
-    return Model(languages, slots, entry, logs)
+    return Model(languages, keys, logs)
 
 
 def totals(model: Model, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -182,7 +175,7 @@ def fit(docs: DataFrame) -> Model:
     """A model from text and non-null lang of the documents outside the held-out fold.
 
     At most SAMPLE_DOCS documents of each language are read, in a seeded order of their
-    ids, and of words and of n-grams of each length the KEPT most frequent are known.
+    ids; of those every word and n-gram is known that occurs LEAST times.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out_fold())
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id")
@@ -193,12 +186,7 @@ def fit(docs: DataFrame) -> Model:
     counts = counts.groupBy("lang", "kind", "hash").agg(F.sum("n").alias("n"))
     by_entry = Window.partitionBy("kind", "hash")
     counts = counts.withColumn("all", F.sum("n").over(by_entry)).where(F.col("all") >= LEAST)
-    counts = saved(counts, "counts")
-    entries = counts.select("kind", "hash", "all").distinct()
-    best = Window.partitionBy("kind").orderBy(F.col("all").desc(), "hash")
-    entries = entries.withColumn("place", F.row_number().over(best)).where(F.col("place") <= KEPT)
-    kept = counts.join(entries.select("kind", "hash"), ["kind", "hash"], "left_semi")
-    table = kept.select("lang", "kind", "hash", "n").toPandas()
+    table = saved(counts.select("lang", "kind", "hash", "n"), "counts").toPandas()
     languages = sorted(table["lang"].unique())
     keys = table[["kind", "hash"]].drop_duplicates().reset_index(drop=True)
     index = table.merge(keys.reset_index(), on=["kind", "hash"])

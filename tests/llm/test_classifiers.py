@@ -130,3 +130,26 @@ def test_backoff_takes_the_longest_known_gram():
     assert words[0] == 2
     # The known word; of the unseen one "xy", nothing at y, then "z".
     assert sums[0] == pytest.approx([log(0.1) + 0.25 * (log(0.9) + log(0.1)), log(0.9) + 0.25 * (log(0.1) + log(0.9))])
+
+
+def test_every_entry_above_the_least_count_is_known(frame):
+    n = 300_000
+    hashes = np.random.default_rng(0).integers(0, 2**63, n, dtype=np.uint64)
+    model = L.build(["l"], np.arange(n) % 6, hashes, np.ones((n, 1)))
+    for kind in range(6):
+        assert (model.find(hashes[kind::6], kind) >= 0).all()
+    # The frequent language has as many words as a kind held at most before.
+    words = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(60_000)]
+    rows = [(3 * i, " ".join(words[k : k + 600] * 4), "xa") for i, k in enumerate(range(0, 60_000, 600))]
+    rows += [(10_000 + i, "schungein", "xb") for i in range(12)]
+    docs = frame(rows)
+    fitted = L.fit(docs)
+    learned = [r.lang for r in docs.where(~L.held_out_fold()).collect()]
+    kinds = fitted.find(L._words(*_run("schungein"))[2](np.array([0]), np.array([9])), 0)
+    assert learned.count("xb") >= 3 and kinds[0] >= 0
+
+
+def _run(text):
+    from candlemill.llm.words import utf8_runs
+
+    return next(utf8_runs(pa.array([text])))[2:]
