@@ -1,9 +1,8 @@
 """Document fingerprints by Order MinHash.
 
 A text is a sequence of k-mers of words; equal ones are numbered by occurrence, so repeats
-count. The k-mers with the smallest hashes are kept as a sample in the order of the text.
-Each component of the fingerprint picks the few of them that are minimal under a hash of
-its own, keeps their order in the text, and hashes that tuple. Edits change few k-mers and
+count. Each component of the fingerprint picks the two of all k-mers that are minimal under a
+hash of its own, keeps their order in the text, and hashes that pair. Edits change few k-mers and
 moved passages change the order, so likeness follows edit distance, not only overlap.
 
 Everything is built-in column expressions: no Python runs on the executors.
@@ -19,29 +18,27 @@ from pyspark.sql import functions as F
 # Words in a k-mer; a stretch without white space counts as words of so many characters.
 KMER = 2
 WORD_CHARS = 12
-SAMPLE = 64
 COMPONENTS = 32
-TUPLE = 2
 SEED = 9
 # Rows that lie between two cuts of the ids, and cuts at most: beyond, stretches get longer.
 STRETCH_ROWS = 1000
 MOST_CUTS = 1024
 _PLACE_BITS = 30
+_HASH_BITS = 64 - _PLACE_BITS
 
 
 def _seeds(count: int) -> list[int]:
-    """Numbers to exclusive-or with: they leave the lowest six bits alone."""
     rng = random.Random(SEED)
-    return [(rng.getrandbits(64) - (1 << 63)) & ~63 for _ in range(count)]
+    return [rng.getrandbits(62) for _ in range(count)]
 
 
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     """Adds ``name``: COMPONENTS hashes of the text column, none for a text without words.
 
-    The work grows with n log n of a text's words. Columns are cut into steps so that each
+    The work grows with n log n of a text's words, and every component reads all of them. Columns are cut into steps so that each
     array is made once.
     """
-    c = {k: f"_{name}_{k}" for k in ("words", "packed", "runs", "marked", "sample")}
+    c = {k: f"_{name}_{k}" for k in ("words", "packed", "runs", "marked", "kmers")}
     low, place = -(1 << _PLACE_BITS), (1 << _PLACE_BITS) - 1
     df = df.withColumn(
         c["words"], F.regexp_extract_all(text, F.lit(rf"[^\x20\x09-\x0D]{{1,{WORD_CHARS}}}"), 0)
@@ -65,23 +62,20 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
         f"flatten(zip_with({r}, concat(slice({r}, 2, size({r})), array(size({p}))),"
         " (a, b) -> sequence(0, b - a - 1)))"
     )
+    # Place above, hash of k-mer and occurrence below: sorted, they are in the order of the text.
     marked = (
         f"CASE WHEN size({p}) = 0 THEN cast(array() AS array<bigint>) ELSE"
-        f" slice(sort_array(zip_with({p}, {occurrence}, (x, o) ->"
-        f" (xxhash64(x & {low}L, o) & {low}L) | (x & {place}L))), 1, {SAMPLE}) END"
+        f" sort_array(zip_with({p}, {occurrence}, (x, o) -> shiftleft(x & {place}L, {_HASH_BITS})"
+        f" | shiftrightunsigned(xxhash64(x & {low}L, o), {_PLACE_BITS}))) END"
     )
     df = df.withColumn(c["marked"], F.expr(marked))
-    # Back to the order of the text; the place in the sample goes into the lowest bits.
-    sample = (
-        f"transform(sort_array(transform({c['marked']}, x -> named_struct('at', x & {place}L, 'h', x))),"
-        f" (s, j) -> (xxhash64(s.h & {low}L) & -64L) | j)"
-    )
-    df = df.withColumn(c["sample"], F.expr(sample))
-    s = c["sample"]
+    df = df.withColumn(c["kmers"], F.expr(f"transform({c['marked']}, x -> x & {(1 << _HASH_BITS) - 1}L)"))
+    s = c["kmers"]
     components = ", ".join(
-        f"transform(array(slice(sort_array(transform({s}, h -> h ^ {seed}L)), 1, {TUPLE})),"
-        f" t -> aggregate(sort_array(transform(t, v -> v & 63L)), 0L,"
-        f" (a, j) -> xxhash64(a, element_at({s}, cast(j AS int) + 1) & -64L)))[0]"
+        f"transform(array(transform({s}, (k, i) -> (xxhash64(k, {seed}L) & {low}L) | i)),"
+        " a -> transform(array(array_min(a)), m -> aggregate(sort_array(transform("
+        "filter(array(m, array_min(array_remove(a, m))), v -> v IS NOT NULL),"
+        f" v -> v & {place}L)), 0L, (h, j) -> xxhash64(h, element_at({s}, cast(j AS int) + 1))))[0])[0]"
         for seed in _seeds(COMPONENTS)
     )
     df = df.withColumn(
