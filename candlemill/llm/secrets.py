@@ -25,7 +25,8 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "random")
 LEAST_ASSIGNED = 8
-TOKEN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
+# Runs of each alphabet, and their pieces between separators.
+TOKENS = tuple(rf"[{symbols}]{{20,}}={{0,2}}" for symbols in ("A-Za-z0-9+/", "A-Za-z0-9_-", "A-Za-z0-9"))
 # A token that a test battery gives less than this is not random.
 LEAST_RANDOM = 0.001
 # False discoveries that a band may hold, as a share of its findings.
@@ -160,6 +161,17 @@ def _with_tests(df: DataFrame, tokens: str) -> DataFrame:
     return df
 
 
+def _merged(spans: str) -> str:
+    """SQL of random spans (start, kind, stop) where those that overlap are one."""
+    last = "element_at(a, -1)"
+    return (
+        f"aggregate(array_sort({spans}), cast(array() AS array<struct<start: bigint, kind: int, stop: bigint>>),"
+        f" (a, c) -> CASE WHEN size(a) = 0 THEN array(c) WHEN {last}.stop <= c.start THEN concat(a, array(c))"
+        f" ELSE concat(slice(a, 1, size(a) - 1), array(named_struct('start', {last}.start, 'kind', 3,"
+        f" 'stop', greatest({last}.stop, c.stop)))) END)"
+    )
+
+
 def _map(part: int) -> str:
     entries = ", ".join(
         f"'{k}', " + (f"'{v[part]}'" if part == 1 else f"{v[part]}D") for k, v in ENCODINGS.items()
@@ -196,7 +208,8 @@ def secrets(docs: DataFrame, false_share: float = FALSE_SHARE, least_random: flo
     Spans are kind:start:end in code points, end exclusive, by start and then by kind,
     joined by commas: ``assign`` is a key word with a value of LEAST_ASSIGNED characters or
     more, ``access`` an access key, ``hex`` 32 hexadecimal digits or more, and ``random`` a
-    token found by the tests that overlaps none of these. ``base_sha256`` is the hash of
+    token found by the tests that overlaps none of these; tokens are runs of the base64 and of
+    the url64 alphabet and their pieces between separators, and findings that overlap are one. ``base_sha256`` is the hash of
     the spans without the random ones. A null or empty text has none of them. Every row
     comes back, as often as it came. Further columns are not looked at.
     """
@@ -204,7 +217,9 @@ def secrets(docs: DataFrame, false_share: float = FALSE_SHARE, least_random: flo
     df = _with_places(df, "assign", ASSIGN, 2)
     df = _with_places(df, "access", ACCESS)
     df = _with_places(df, "hex", HEX)
-    df = _with_places(df, "tokens", TOKEN)
+    for i, pattern in enumerate(TOKENS):
+        df = _with_places(df, f"tokens{i}", pattern)
+    df = df.withColumn("tokens", F.array_distinct(F.concat(*[f"tokens{i}" for i in range(len(TOKENS))])))
     df = df.withColumn("assign", F.filter("assign", lambda m: F.length(m["t"]) >= LEAST_ASSIGNED))
     kinds = ", ".join(
         f"transform({k}, m -> named_struct('start', m.start, 'kind', {i}, 'stop', m.stop))"
@@ -231,7 +246,7 @@ def secrets(docs: DataFrame, false_share: float = FALSE_SHARE, least_random: flo
         found = f"filter(tokens, c -> c.random >= {least_random}D AND c.plain <= coalesce(CASE {cases} END, -1D))"
     else:
         found = "filter(tokens, c -> false)"
-    random = f"transform({found}, c -> named_struct('start', c.start, 'kind', 3, 'stop', c.stop))"
+    random = _merged(f"transform({found}, c -> named_struct('start', c.start, 'kind', 3, 'stop', c.stop))")
     names = "array(" + ", ".join(f"'{k}'" for k in KINDS) + ")"
 
     def joined(spans: str) -> Column:

@@ -63,6 +63,24 @@ def test_secrets(frame):
     assert secrets(frame([])).collect() == []
 
 
+def test_keys_in_paths_are_found(frame):
+    rng = random.Random(5)
+    rows, keys = [], {}
+    for i in range(90):
+        text = " ".join(rng.choice(PLAIN) for _ in range(rng.randrange(5, 60)))
+        if i % 3 == 0:
+            before = ["prod/api-key/", "https://host.example/app_v2/", "my_dir/some-where/"][i // 3 % 3]
+            keys[i] = "".join(rng.choice(B64[:62]) for _ in range(40))
+            text += f" {before}{keys[i]}/end_of-it x"
+        rows.append((i, text))
+    hit = 0
+    for r in secrets(frame(rows)).collect():
+        spans = [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("random")]
+        assert len(spans) == r.n_random <= (r.doc_id in keys)
+        hit += any(keys[r.doc_id] in rows[r.doc_id][1][a:b] for a, b in spans)
+    assert hit >= 26
+
+
 def test_no_python_in_the_plans(frame, prose):
     rows = frame([(i, prose(20, i)) for i in range(5)])
     for df in (secrets(rows), F.fingerprints(rows)):
