@@ -186,14 +186,17 @@ def fit(docs: DataFrame) -> Model:
     counts = counts.groupBy("lang", "kind", "hash").agg(F.sum("n").alias("n"))
     by_entry = Window.partitionBy("kind", "hash")
     counts = counts.withColumn("all", F.sum("n").over(by_entry)).where(F.col("all") >= LEAST)
-    table = saved(counts.select("lang", "kind", "hash", "n"), "counts").toPandas()
-    languages = sorted(table["lang"].unique())
-    keys = table[["kind", "hash"]].drop_duplicates().reset_index(drop=True)
-    index = table.merge(keys.reset_index(), on=["kind", "hash"])
-    matrix = np.zeros((len(keys), len(languages)))
-    matrix[index["index"], np.searchsorted(languages, index["lang"])] = index["n"]
-    hashes = keys["hash"].to_numpy(np.int64).view(U64)
-    return build(languages, keys["kind"].to_numpy(np.int64), hashes, matrix)
+    counts = saved(counts.select("lang", "kind", "hash", "n"), "counts")
+    languages = sorted(r.lang for r in counts.select("lang").distinct().collect())
+    # Numbers only, in Arrow: the driver holds 24 bytes for each count.
+    code = F.array_position(F.array(*[F.lit(x) for x in languages]), F.col("lang")) - 1 if languages else F.lit(0)
+    table = counts.select(code.cast("int").alias("code"), "kind", "hash", "n").toArrow()
+    code, kinds, hashes, n = (table.column(c).to_numpy() for c in ("code", "kind", "hash", "n"))
+    hashes = hashes.astype(np.int64).view(U64)
+    _, first, entry = np.unique(mix(hashes + kinds.astype(U64)), return_index=True, return_inverse=True)
+    matrix = np.zeros((len(first), len(languages)))
+    matrix[entry, code] = n
+    return build(languages, kinds[first].astype(np.int64), hashes[first], matrix)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
