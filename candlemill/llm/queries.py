@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from candlemill.llm.bpe import bpe
 from candlemill.llm.common import table
 from candlemill.llm.fingerprints import fingerprints
 from candlemill.llm.jaccard_join import jaccard_join
@@ -15,6 +16,8 @@ from candlemill.llm.mixing import mix
 from candlemill.llm.nearest import nearest
 from candlemill.llm.packing import pack
 from candlemill.llm.quality import quality
+from candlemill.llm.ranked import ranked_search
+from candlemill.llm.runs import periodic_runs, run_digests, with_planted_runs
 from candlemill.llm.secrets import secrets
 from candlemill.llm.toxicity import toxicity
 
@@ -69,6 +72,18 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(periodic_runs(with_planted_runs(table(spark, sf_dir, "documents"))))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def llm_queries() -> dict[str, Run]:
     operators = (
         op1_jaccard_join,
@@ -81,6 +96,9 @@ def llm_queries() -> dict[str, Run]:
         op8_language,
         op9_fingerprints,
         op10_nearest,
+        op11_bpe,
+        op12_runs,
+        op13_ranked_search,
     )
     return {f.__name__: f for f in operators}
 
