@@ -1,18 +1,20 @@
 """Ticks to bars: open, close and edge times of every month or day.
 
 A tick table has ``time``, ``open`` and ``close``; ``keys`` are further grouping
-columns (an instrument), ``tie`` the columns that order ticks of equal time.
-Where time is unique, as in a tick file, no ``tie`` is needed.
+columns (an instrument), ``tie`` the columns that order ticks of equal time. A ``tie``
+that maps whole numbers to their digits is packed with the time into one number, and bars
+take one scan and no sort. Where time is unique, as in a tick file, none is needed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlemill.functions.periods import DAY, MONTH, period_columns
+from candlemill.operators.order_key import order_key, price_key, tie_of_key
 from candlemill.session import fresh_dir
 
 BOUNDS = ("first_time", "last_time")
@@ -122,6 +124,60 @@ def _edges_by_one_tie(ticks: DataFrame, period: Sequence[str], tie: str) -> Data
     return _edges_by_time(times, period, ())
 
 
+def _edges_by_key(
+    ticks: DataFrame, period: Sequence[str], keys: Sequence[str], tie: Mapping[str, int]
+) -> DataFrame:
+    """Bars of ticks whose times repeat, ordered by one number: a hash aggregation."""
+    order = F.col("_order")
+    rows = with_period(ticks, period).withColumn("_order", order_key("time", period, tie))
+    return (
+        rows.groupBy(*keys, *period)
+        .agg(
+            F.min_by("open", F.when(F.col("open").isNotNull(), order)).alias("open"),
+            F.max_by("close", F.when(F.col("close").isNotNull(), order)).alias("close"),
+            F.min(_timed("open")).alias("open_time"),
+            F.max(_timed("close")).alias("close_time"),
+        )
+        .filter(_HAS_EDGE)
+    )
+
+
+def bars_by_price(
+    ticks: DataFrame,
+    period: Sequence[str] = MONTH,
+    keys: Sequence[str] = (),
+    more: Sequence[Column] = (),
+    untimed: bool = False,
+) -> DataFrame:
+    """Bars whose order is defined without a tie: by time, then by price.
+
+    Where the first time of a period comes with several opens, the lowest is taken; of
+    several closes at the last time, the highest. ``tied`` says whether there was such a
+    choice. The order of the rows changes nothing. ``more`` and ``untimed`` as in
+    :func:`bars`.
+    """
+    rows = with_period(ticks, period).withColumns(
+        {
+            "_open": price_key("time", period, "open"),
+            "_open_high": price_key("time", period, "open", descending=True),
+            "_close": price_key("time", period, "close"),
+            "_close_low": price_key("time", period, "close", descending=True),
+        }
+    )
+    found = rows.groupBy(*keys, *period).agg(
+        F.min_by("open", "_open").alias("open"),
+        F.max_by("close", "_close").alias("close"),
+        F.min(_timed("open")).alias("open_time"),
+        F.max(_timed("close")).alias("close_time"),
+        F.min_by("open", "_open_high").alias("_high"),
+        F.max_by("close", "_close_low").alias("_low"),
+        *more,
+    )
+    tied = (F.col("open") != F.col("_high")) | (F.col("close") != F.col("_low"))
+    found = found.withColumn("tied", F.coalesce(tied, F.lit(False))).drop("_high", "_low")
+    return found if untimed else found.filter(_HAS_EDGE)
+
+
 def _bars_at(
     ticks: DataFrame, period: Sequence[str], tie: Sequence[str], edges: Sequence[str]
 ) -> DataFrame:
@@ -138,7 +194,7 @@ def bars(
     ticks: DataFrame,
     period: Sequence[str] = MONTH,
     keys: Sequence[str] = (),
-    tie: Sequence[str] = (),
+    tie: Sequence[str] | Mapping[str, int] = (),
     more: Sequence[Column] = (),
     untimed: bool = False,
 ) -> DataFrame:
@@ -146,7 +202,8 @@ def bars(
 
     With unique times this is a single hash aggregation whose partial step leaves
     one row per period and task, so a period with most of the ticks is no burden.
-    With a ``tie`` the ticks are first cut to those at the period edges, by a second
+    So it is with a ``tie`` of whole numbers and their digits, whatever the keys.
+    With any other ``tie`` the ticks are first cut to those at the period edges, by a second
     scan, and only those are put in order. With ``keys`` as well the number of edges
     has no bound, and the join that cuts the ticks is left to Spark.
     ``more`` adds aggregates over all ticks and goes with unique times; ``untimed`` keeps
@@ -157,6 +214,8 @@ def bars(
         return _edges_by_time(with_period(ticks, period), period, keys, more, untimed)
     if more or untimed:
         raise ValueError("aggregates over all ticks need ticks of unique time")
+    if isinstance(tie, Mapping):
+        return _edges_by_key(ticks, period, keys, tie)
     if keys:
         rows = with_period(_at_keyed_bounds(ticks, period, keys), period)
         return _edges_by_tie(rows, period, keys, tie)
@@ -168,7 +227,7 @@ def _days_with_month(
 ) -> DataFrame:
     """Day bars with their month; of the days at a month's edge alone where times
     repeat, since the others cannot hold its open or close."""
-    if tie and not keys:
+    if tie and not keys and not isinstance(tie, Mapping):
         ticks = _at_bounds(ticks, MONTH, BOUNDS)
         days = _edges_by_tie(with_period(ticks, DAY), DAY, (), tie)
     else:
@@ -214,13 +273,28 @@ def month_bars_by_sql(ticks: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
 
 
 def last_ticks(
-    ticks: DataFrame, period: Sequence[str] = MONTH, tie: Sequence[str] = ()
+    ticks: DataFrame, period: Sequence[str] = MONTH, tie: Sequence[str] | Mapping[str, int] = ()
 ) -> DataFrame:
     """The last tick of each period, by ROW_NUMBER over descending time.
 
     Spark cuts every task to one row per period before the shuffle
-    (WindowGroupLimit), so no period gathers in one task.
+    (WindowGroupLimit), so no period gathers in one task. With a ``tie`` of whole numbers
+    and their digits the row is that of the greatest order instead, in a hash aggregation
+    over one scan.
     """
+    if isinstance(tie, Mapping):
+        rows = with_period(ticks, period).withColumn("_order", order_key("time", period, tie))
+        others = [c for c in ticks.columns if c != "time" and c not in tie]
+        last = rows.filter(F.col("time").isNotNull()).groupBy(*period).agg(
+            F.max("time").alias("time"),
+            F.max("_order").alias("_order"),
+            *[F.max_by(c, "_order").alias(c) for c in others],
+        )
+        kinds = dict(ticks.dtypes)
+        found = tie_of_key(F.col("_order"), period, tie)
+        return last.select(
+            *period, *[found[c].cast(kinds[c]).alias(c) if c in tie else c for c in ticks.columns]
+        )
     order = [F.desc(c) for c in ("time", *tie)]
     rank = F.row_number().over(Window.partitionBy(*period).orderBy(*order))
     return (

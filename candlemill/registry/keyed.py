@@ -13,7 +13,7 @@ from candlemill.plans.load import LoadSettings, Store, store_report
 from candlemill.plans.reports import growth_report
 from candlemill.registry.base import Query, rounded
 from candlemill.registry.reports import lineitem_bars, month_sql
-from candlemill.registry.tables import LINEITEM_TIE, bars_sql, lineitem_ticks, rates_sql, table
+from candlemill.registry.tables import LINEITEM_ORDER, LINEITEM_TIE, bars_sql, lineitem_ticks, rates_sql, table
 from candlemill.schemas import MONTHS_LONG, REPORT_CELLS
 from candlemill.session import fresh_dir
 from candlemill.sources.ticks import normalize_ticks
@@ -24,7 +24,7 @@ _N = range(1, 13)
 
 def keyed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Month bars of lineitem, a series for each return flag; many rows share a date."""
-    return bars(lineitem_ticks(spark, sf_dir, KEY), MONTH, [KEY], LINEITEM_TIE)
+    return bars(lineitem_ticks(spark, sf_dir, KEY), MONTH, [KEY], LINEITEM_ORDER)
 
 
 KEYED_BARS = bars_sql(

@@ -26,6 +26,7 @@ from candlemill.registry.base import Query, rounded
 from candlemill.registry.reports import lineitem_bars, month_sql, order_days
 from candlemill.registry.tables import (
     LINEITEM_MONTH_BARS,
+    LINEITEM_ORDER,
     LINEITEM_TICKS_SQL,
     LINEITEM_TIE,
     ORDERS_DAY_BARS,
@@ -67,7 +68,8 @@ OPEN_CLOSE_SQL = f"WITH {LINEITEM_MONTH_BARS} SELECT year, month, round(open, 4)
 
 
 def open_close_month(spark, sf_dir):
-    return rounded(lineitem_bars(spark, sf_dir).select(*M, "open", "close"))
+    found = B.bars(lineitem_ticks(spark, sf_dir), MONTH, tie=LINEITEM_ORDER)
+    return rounded(found.select(*M, "open", "close"))
 
 
 def open_close_month_window(spark, sf_dir):
@@ -88,7 +90,7 @@ def minmax_day(spark, sf_dir):
 
 def last_tick_rownum(spark, sf_dir):
     ticks = lineitem_ticks(spark, sf_dir)
-    return rounded(B.last_ticks(ticks, MONTH, LINEITEM_TIE).select(*M, "time", "close", *LINEITEM_TIE))
+    return rounded(B.last_ticks(ticks, MONTH, LINEITEM_ORDER).select(*M, "time", "close", *LINEITEM_TIE))
 
 
 LAST_TICK_SQL = f"""WITH ticks AS ({LINEITEM_TICKS_SQL}), ranked AS (

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 LINEITEM_TIE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 ORDERS_TIE = ("o_orderkey",)
+# The same with the digits they have at most: 25 beside the 13 of a time within a month.
+LINEITEM_ORDER = {"l_orderkey": 10, "l_linenumber": 1, "l_partkey": 8, "l_suppkey": 6}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -104,7 +104,60 @@ def test_ties_are_cut_to_the_edges_first(spark):
     ticks = ticks_frame(spark, [("2020-01-05", 1, 1, 1)])
     assert "BroadcastHashJoin [time" in plan_of(B.bars(ticks, tie=["key"]))
     assert "LeftSemi" in plan_of(B.bars(ticks, tie=["key"]))
-    assert "Join" not in plan_of(B.bars(ticks, keys=["open"], tie=["key"]))
+    assert "LeftSemi" in plan_of(B.bars(ticks, keys=["open"], tie=["key"]))
+
+
+def test_packed_ties_take_one_scan_and_no_sort(spark):
+    ticks = ticks_frame(spark, [("2020-01-05", 1, 1, 1)])
+    for found in (B.bars(ticks, tie={"key": 9}), B.bars(ticks, DAY, ["open"], {"key": 25}), B.last_ticks(ticks, tie={"key": 9})):
+        plan = plan_of(found)
+        assert "HashAggregate" in plan and "SortAggregate" not in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("digits", [5, 18, 25])
+def test_packed_ties_agree_with_plain_python(spark, digits):
+    rows = random_ticks(11, True)
+    rows += [(t + dt.timedelta(microseconds=n % 3), *p, k + 2000) for n, (t, *p, k) in enumerate(rows[:300])]
+    ticks = spark.createDataFrame(rows, TICK).withColumn("name", F.col("key") % 2).repartition(5)
+    tie = {"key": digits}
+    found = {(r.year, r.month): tuple(r)[2:] for r in B.bars(ticks, MONTH, tie=tie).collect()}
+    assert found == plain_bars(rows, month_of)
+    days = {r.day: tuple(r)[1:] for r in B.bars(ticks, DAY, tie=tie).collect()}
+    assert days == plain_bars(rows, lambda t: t.date())
+    for name in (0, 1):
+        mine = [r for r in rows if r[3] % 2 == name]
+        keyed = B.bars(ticks, MONTH, ["name"], tie).filter(F.col("name") == name).drop("name").collect()
+        assert {(r.year, r.month): tuple(r)[2:] for r in keyed} == plain_bars(mine, month_of)
+    last = {(r.year, r.month): (r.time, r.key, r.open, r.close) for r in B.last_ticks(ticks, MONTH, tie).collect()}
+    for month, (time, key, open_, close) in last.items():
+        best = max((r for r in rows if month_of(r[0]) == month), key=lambda r: (r[0], r[3]))
+        assert (time, open_, close, key) == best
+
+
+def test_packed_ties_that_do_not_fit_are_refused(spark):
+    with pytest.raises(ValueError):
+        B.bars(ticks_frame(spark, [("2020-01-05", 1, 1)]), tie={"key": 26})
+    with pytest.raises(ValueError):
+        B.bars(ticks_frame(spark, [("2020-01-05", 1, 1)]), period=("year",), tie={"key": 2})
+    for key in (100, -1, None):
+        with pytest.raises(Exception, match="does not fit 2 digits"):
+            B.bars(ticks_frame(spark, [("2020-01-05", 1, 1, key)]), tie={"key": 2}).collect()
+
+
+def test_order_by_time_then_price_does_not_depend_on_the_rows(spark):
+    rows = [
+        ("2020-01-05 00:00:00", 2.5, 1), ("2020-01-05 00:00:00", 1.25, 9), ("2020-01-06 01:02:03.000004", 7, 3),
+        ("2020-01-06 01:02:03.000004", 8, -4.5), ("2020-02-01", 5, 5), ("2020-02-01", 5, 5), ("2020-03-01", 1, 1),
+    ]
+    expected = {1: (1.25, 3.0, True), 2: (5.0, 5.0, False), 3: (1.0, 1.0, False)}
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        found = B.bars_by_price(ticks_frame(spark, order).repartition(3))
+        assert {r.month: (r.open, r.close, r.tied) for r in found.collect()} == expected
+        assert "SortAggregate" not in plan_of(found)
+    missing = spark.createDataFrame([(None, 1.0, 1.0, 0), (dt.datetime(2020, 1, 1), None, 2.0, 0)], TICK)
+    assert [tuple(r) for r in B.bars_by_price(missing).collect()] == [(2020, 1, None, 2.0, None, dt.datetime(2020, 1, 1), False)]
+    with pytest.raises(Exception, match="does not fit"):
+        B.bars_by_price(ticks_frame(spark, [("2020-01-05", 1e12, 1)])).collect()
 
 
 def test_row_number_is_limited_before_the_shuffle(spark):

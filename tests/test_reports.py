@@ -67,7 +67,7 @@ def plain_report(bars, flavour, mode):
         base = open_ if mode == "oc" else (open_ if before is None else before)
         before = close
         rate = (close / base - 1) * 100
-        if spec.price != "double":
+        if spec.price[-1] != "double":
             rate = half_up((Decimal(repr(close)) / Decimal(repr(base)) - 1) * 100, 9)
         if spec.rate_digits is not None:
             rate = half_up(Decimal(repr(rate)), spec.rate_digits)
