@@ -8,13 +8,14 @@ take one scan and no sort. Where time is unique, as in a tick file, none is need
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlemill.functions.periods import DAY, MONTH, period_columns
-from candlemill.operators.order_key import order_key, price_key, tie_of_key
+from candlemill.operators.order_key import MARKS, edge_marks, order_key, several_prices, tie_of_key
 from candlemill.session import fresh_dir
 
 BOUNDS = ("first_time", "last_time")
@@ -142,40 +143,70 @@ def _edges_by_key(
     )
 
 
-def bars_by_price(
+def bars_with_marks(
     ticks: DataFrame,
     period: Sequence[str] = MONTH,
     keys: Sequence[str] = (),
     more: Sequence[Column] = (),
     untimed: bool = False,
+) -> DataFrame:
+    """:func:`bars` of ticks that should have unique times, with ``tied`` where they have not.
+
+    One hash aggregation over one scan: extremes of time and price hash tell an edge with
+    several prices. Its bar is to be settled by :func:`settled`.
+    """
+    found = bars(ticks, period, keys, more=[*more, *edge_marks()], untimed=untimed)
+    return found.withColumn("tied", several_prices()).drop(*MARKS)
+
+
+def settled(found: DataFrame, ticks: DataFrame, keys: Sequence[str], period: Sequence[str] = MONTH) -> DataFrame:
+    """``found`` (of :func:`bars_with_marks`, stored) with its tied bars by time, then price.
+
+    ``ticks`` are read again, cut to the edge times of the tied bars.
+    """
+    on = [*keys, *period]
+    edges = found.filter("tied").select(*keys, F.explode(F.array("open_time", "close_time")).alias("time"))
+    exact = bars_by_price(ticks.join(edges.distinct(), [*keys, "time"], "left_semi"), period, keys)
+    exact = exact.select(*on, *[F.col(c).alias(f"_{c}") for c in ("open", "close", "tied")])
+    joined = found.join(exact, on, "left")
+    again = F.col("_tied").isNotNull()
+    mended = {c: F.when(again, F.col(f"_{c}")).otherwise(F.col(c)) for c in ("open", "close", "tied")}
+    return joined.withColumns(mended).select(*found.columns)
+
+
+def _back(time: str) -> Column:
+    """Falls as the time rises."""
+    return F.lit(dt.datetime(9999, 12, 31, 23, 59, 59)).cast("timestamp_ntz") - F.col(time)
+
+
+def bars_by_price(
+    ticks: DataFrame, period: Sequence[str] = MONTH, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Bars whose order is defined without a tie: by time, then by price.
 
     Where the first time of a period comes with several opens, the lowest is taken; of
     several closes at the last time, the highest. ``tied`` says whether there was such a
-    choice. The order of the rows changes nothing. ``more`` and ``untimed`` as in
-    :func:`bars`.
+    choice. The order of the rows changes nothing. A struct as order makes Spark sort its
+    input, so this is for a micro-batch or for ticks that are cut to the edges.
     """
-    rows = with_period(ticks, period).withColumns(
-        {
-            "_open": price_key("time", period, "open"),
-            "_open_high": price_key("time", period, "open", descending=True),
-            "_close": price_key("time", period, "close"),
-            "_close_low": price_key("time", period, "close", descending=True),
-        }
+    opens = F.when(_timed("open").isNotNull(), F.struct("time", "open"))
+    closes = F.when(_timed("close").isNotNull(), F.struct("time", "close"))
+    found = with_period(ticks, period).groupBy(*keys, *period).agg(
+        F.min(opens).alias("_open"),
+        F.max(closes).alias("_close"),
+        F.max_by("open", F.when(opens.isNotNull(), F.struct(_back("time"), "open"))).alias("_high"),
+        F.min_by("close", F.when(closes.isNotNull(), F.struct(_back("time"), "close"))).alias("_low"),
     )
-    found = rows.groupBy(*keys, *period).agg(
-        F.min_by("open", "_open").alias("open"),
-        F.max_by("close", "_close").alias("close"),
-        F.min(_timed("open")).alias("open_time"),
-        F.max(_timed("close")).alias("close_time"),
-        F.min_by("open", "_open_high").alias("_high"),
-        F.max_by("close", "_close_low").alias("_low"),
-        *more,
-    )
-    tied = (F.col("open") != F.col("_high")) | (F.col("close") != F.col("_low"))
-    found = found.withColumn("tied", F.coalesce(tied, F.lit(False))).drop("_high", "_low")
-    return found if untimed else found.filter(_HAS_EDGE)
+    tied = (F.col("_open.open") != F.col("_high")) | (F.col("_close.close") != F.col("_low"))
+    return found.select(
+        *keys,
+        *period,
+        F.col("_open.open").alias("open"),
+        F.col("_close.close").alias("close"),
+        F.col("_open.time").alias("open_time"),
+        F.col("_close.time").alias("close_time"),
+        F.coalesce(tied, F.lit(False)).alias("tied"),
+    ).filter(_HAS_EDGE)
 
 
 def _bars_at(

@@ -19,9 +19,9 @@ WIDTH = 38
 _LONG = 18
 # Microseconds of a day, and days of a month before them.
 _DAY_DIGITS, _MONTH_DIGITS = 11, 2
-# Prices in order are read to 8 decimals, up to 5 * 10 ** 10 either way.
-PRICE_DECIMALS, PRICE_DIGITS = 8, 19
-_PRICE_LIMIT = 5 * 10**10
+# Bits of a price's hash beside the 42 of a time within a month.
+_HASH_BITS = 21
+_HASH_MASK = (1 << _HASH_BITS) - 1
 
 
 def _fitting(value: Column, digits: int, what: str) -> Column:
@@ -86,17 +86,40 @@ def tie_of_key(key: Column, period: Sequence[str], tie: Mapping[str, int]) -> di
     return found
 
 
-def price_key(time: str, period: Sequence[str], price: str, descending: bool = False) -> Column:
-    """Order of ticks of one period by time, then by price, to 8 decimals.
+def _edge_marks(time: str, price: str, first: bool) -> list[Column]:
+    """Extremes of (time, hash of the price), and of (time, the hash turned round), twice.
 
-    ``descending`` puts the highest price of a time first. Without time or price there is no
-    order; a price beyond 50 billion fails the job.
+    Whole numbers of 63 bits: microseconds within the month above 21 bits of hash.
     """
-    value = F.col(price).cast(f"decimal({WIDTH},{PRICE_DECIMALS})")
-    value = -value if descending else value
-    whole = ((value + _PRICE_LIMIT) * 10**PRICE_DECIMALS).cast(f"decimal({WIDTH},0)")
-    fits = F.abs(F.col(price)) < _PRICE_LIMIT
-    text = F.concat(F.lit(f"{price} does not fit an order: "), F.col(price).cast("string"))
-    whole = F.when(fits, whole).otherwise(F.raise_error(text).cast(f"decimal({WIDTH},0)"))
-    key = (_joined(_time_parts(F.col(time), period)) * _power(PRICE_DIGITS) + whole).cast(f"decimal({WIDTH},0)")
-    return F.when(F.col(time).isNotNull() & F.col(price).isNotNull(), key)
+    moment = F.unix_micros(F.col(time).cast("timestamp"))
+    month = F.unix_micros(F.date_trunc("month", F.col(time).cast("timestamp")))
+    there = F.when(F.col(price).isNotNull(), F.shiftleft(moment - month, _HASH_BITS))
+    extreme = F.min if first else F.max
+    marks = []
+    for seed in (1, 2):
+        hashed = F.hash(F.lit(seed), F.col(price)).bitwiseAND(F.lit(_HASH_MASK)).cast("long")
+        marks += [extreme(there + hashed), extreme(there + (F.lit(_HASH_MASK) - hashed))]
+    return marks
+
+
+def edge_marks(time: str = "time", open: str = "open", close: str = "close") -> list[Column]:
+    """Aggregates from which :func:`several_prices` tells whether an edge has several prices."""
+    marks = [*_edge_marks(time, open, True), *_edge_marks(time, close, False)]
+    return [m.alias(f"_mark{i}") for i, m in enumerate(marks)]
+
+
+def several_prices() -> Column:
+    """Whether the first time comes with different opens, or the last with different closes.
+
+    The lowest and the highest hash at the time are then not the same; that two different
+    prices agree in both hashes is a matter of 1 in 4 * 10 ** 12. Clocks set back in the
+    session's zone may report an edge that has none.
+    """
+    same = F.lit(True)
+    for i in range(0, 8, 2):
+        low, high = (F.col(f"_mark{k}").bitwiseAND(F.lit(_HASH_MASK)) for k in (i, i + 1))
+        same = same & F.coalesce(low + high == F.lit(_HASH_MASK), F.lit(True))
+    return ~same
+
+
+MARKS = [f"_mark{i}" for i in range(8)]

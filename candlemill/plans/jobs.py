@@ -30,6 +30,7 @@ def parser() -> argparse.ArgumentParser:
     args.add_argument("--by-instrument", action="store_true", help="one series per instrument")
     args.add_argument("--glob", default="*.csv", help="which files")
     args.add_argument("--bad-rows", choices=["fail", "drop", "null"], default="fail")
+    args.add_argument("--ties", choices=["order", "fail"], default="order")
     args.add_argument("--upsert", choices=["merge", "replace"], default="merge")
     args.add_argument("--prev-close", choices=["merged", "batch"], default="merged")
     args.add_argument("--no-retry", action="store_true", help="leave files that never finished")
@@ -71,6 +72,7 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> DataFrame | None:
         retry=not args.no_retry,
         by_instrument=args.by_instrument,
         bad_rows=args.bad_rows,
+        ties=args.ties,
         glob=args.glob,
         name_pattern=args.name_pattern,
         rehash=args.rehash,

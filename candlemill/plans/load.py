@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,11 +23,11 @@ from candlemill.operators.audit import (
     known_rows,
     started_rows,
 )
-from candlemill.operators.bars import bars
+from candlemill.operators.bars import bars_with_marks, settled
 from candlemill.operators.upsert import BAR_VALUES, upsert_with_prev_close
 from candlemill.plans.flavours import FLAVOURS
 from candlemill.plans.reports import growth_report
-from candlemill.schemas import FILE_AUDIT, REPORT_AUDIT, REPORT_CELLS, TIMED_BAR
+from candlemill.schemas import FILE_AUDIT, LOAD_METRICS, REPORT_AUDIT, REPORT_CELLS, TIMED_BAR
 from candlemill.session import fresh_dir
 from candlemill.sinks.files import (
     VersionedTable,
@@ -65,6 +65,9 @@ class LoadSettings:
     task_name: str = "month_growth"
     glob: str = "*.csv"
     name_pattern: str | None = None
+    #: order: several prices at the first or last time of a month go by price, and are counted
+    #: in the load metrics; fail: such a batch is refused
+    ties: str = "order"
     #: hash files again whose path, length and modification time are in the log
     rehash: bool = False
     #: files hashed and loaded at a time
@@ -91,12 +94,16 @@ class Store:
         )
         self.file_audit_path = f"{self.root}/file_audit"
         self.bar_audit_path = f"{self.root}/bar_audit"
+        self.metrics_path = f"{self.root}/load_metrics"
         self.report_path = f"{self.root}/report"
         self.report_audit_path = f"{self.root}/report_audit"
 
     def file_audit(self) -> DataFrame:
         return read_log(self.spark, self.file_audit_path, FILE_AUDIT)
 
+    def load_metrics(self) -> DataFrame:
+        return read_log(self.spark, self.metrics_path, LOAD_METRICS)
+
     def report_audit(self) -> DataFrame:
         return read_log(self.spark, self.report_audit_path, REPORT_AUDIT)
 
@@ -107,8 +114,11 @@ class Store:
         the next load merge files again, which changes nothing.
         """
         self.bars.commit(other.bars.read())
-        for path in (self.file_audit_path, self.bar_audit_path, self.report_path, self.report_audit_path):
+        for path in (
+            self.file_audit_path, self.bar_audit_path, self.metrics_path, self.report_path, self.report_audit_path
+        ):
             remove(self.spark, path)
+        append_log(other.load_metrics(), self.metrics_path, few_files=True)
         append_log(other.file_audit(), self.file_audit_path, few_files=True)
         if exists(self.spark, other.bar_audit_path):
             append_log(self.spark.read.parquet(other.bar_audit_path), self.bar_audit_path, few_files=True)
@@ -169,23 +179,47 @@ def start_files(
 
 def bars_of_files(
     spark: SparkSession, batch: DataFrame, paths: list[str], settings: LoadSettings, work: str
-) -> DataFrame:
-    """Month bars of every file and its number of lines, from one scan of the files.
+) -> tuple[DataFrame, dict[str, int]]:
+    """Month bars of every file, its number of lines, and what the scan saw on the way.
 
-    Lines without a tick are counted as well: they are rows without a period.
+    Lines without a tick are counted as well: they are rows without a period. The metrics
+    are observed in the scan that makes the bars: lines, lines that are no whole tick, bars,
+    and bars with a choice of prices at their first or last time. Only where there are such,
+    their files are read again, cut to those times, and the price decides.
     """
-    raw = scan_ticks(spark, [literal_path(p) for p in paths])
-    raw = raw.withColumn("file_uri", F.col("_metadata.file_path"))
-    if settings.bad_rows == "drop":
-        ticks = without_time_where_incomplete(normalize_ticks(raw, bad_rows="null"))
-    else:
-        ticks = normalize_ticks(raw, bad_rows=settings.bad_rows)
+    scanned, made = Observation(), Observation()
+    ticks = _ticks_of(spark, paths, settings, scanned)
     lines = F.count(F.lit(1)).alias("lines")
-    per_file = bars(ticks, MONTH, ["file_uri"], more=[lines], untimed=True)
+    per_file = bars_with_marks(ticks, MONTH, ["file_uri"], [lines], untimed=True)
     about = batch.select("file_uri", "checksum", "market", "instrument")
-    joined = per_file.join(about, "file_uri")
+    timed = F.col("open_time").isNotNull() | F.col("close_time").isNotNull()
+    joined = per_file.join(about, "file_uri").observe(
+        made, F.count_if(timed).alias("bars"), F.count_if("tied").alias("tied_bars")
+    )
     joined.write.parquet(f"{work}/bars")
-    return spark.read.schema(joined.schema).parquet(f"{work}/bars")
+    found, seen = spark.read.schema(joined.schema).parquet(f"{work}/bars"), {**scanned.get, **made.get}
+    if seen["tied_bars"]:
+        again = [r.path for r in batch.join(found.filter("tied"), "file_uri", "left_semi").collect()]
+        mended = settled(found, _ticks_of(spark, again, settings), ["file_uri"]).observe(
+            exact := Observation(), F.count_if("tied").alias("tied_bars")
+        )
+        mended.write.parquet(f"{work}/settled")
+        found = spark.read.schema(mended.schema).parquet(f"{work}/settled")
+        seen |= exact.get
+    return found, seen
+
+
+def _ticks_of(
+    spark: SparkSession, paths: list[str], settings: LoadSettings, seen: Observation | None = None
+) -> DataFrame:
+    """Ticks of the files at ``paths`` with the file each is from."""
+    raw = scan_ticks(spark, [literal_path(p) for p in paths])
+    raw = raw.withColumn("file_uri", F.col("_metadata.file_path"))
+    ticks = normalize_ticks(raw, bad_rows="fail" if settings.bad_rows == "fail" else "null")
+    if seen is not None:
+        broken = F.col("time").isNull() | F.col("open").isNull() | F.col("close").isNull()
+        ticks = ticks.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(broken).alias("bad_lines"))
+    return without_time_where_incomplete(ticks) if settings.bad_rows == "drop" else ticks
 
 
 def load_files(
@@ -228,7 +262,9 @@ def _load_batch(
     paths = [row.path for row in batch.select("path").collect()]
     if not paths:
         return 0
-    per_file = bars_of_files(spark, batch, paths, settings, work)
+    per_file, seen = bars_of_files(spark, batch, paths, settings, work)
+    if settings.ties == "fail" and seen["tied_bars"]:
+        raise ValueError(f"{seen['tied_bars']} bars with several prices at their first or last time")
     timed = per_file.filter(F.col("open_time").isNotNull() | F.col("close_time").isNotNull())
     merged = upsert_with_prev_close(
         store.bars.read(), timed, MONTH, settings.keys, settings.upsert, settings.prev_close
@@ -239,6 +275,8 @@ def _load_batch(
     lines = per_file.groupBy("checksum").agg(F.sum("lines").alias("lines"))
     started = started_rows(batch, started_at, settings.task_name)
     append_log(finished_rows(started, lines, now()), store.file_audit_path, few_files=True)
+    row = (started_at, settings.task_name, len(paths), *[seen[c] for c in LOAD_METRICS.names[3:]])
+    append_log(spark.createDataFrame([row], LOAD_METRICS), store.metrics_path, few_files=True)
     return len(paths)
 
 
@@ -300,6 +338,8 @@ def run_load(
         raise ValueError(f"unknown flavour {flavour!r}, expected one of {sorted(FLAVOURS)}")
     base_column(mode)
     settings = settings or LoadSettings()
+    if settings.ties not in ("order", "fail"):
+        raise ValueError(f"ties must be order or fail, not {settings.ties!r}")
     store = Store(spark, root, settings.by_instrument)
     files = list_files(spark, source, settings.glob, settings.name_pattern)
     loaded_at = now()

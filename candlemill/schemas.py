@@ -42,6 +42,8 @@ TIMED_BAR = T.StructType(
     ]
 )
 
+DAY_BAR = T.StructType([T.StructField("day", T.DateType()), *TIMED_BAR.fields[2:]])
+
 FILE_AUDIT = T.StructType(
     [
         T.StructField("checksum", T.StringType()),
@@ -59,6 +61,19 @@ FILE_AUDIT = T.StructType(
     ]
 )
 
+# What a load saw in the files of one batch.
+LOAD_METRICS = T.StructType(
+    [
+        T.StructField("started_at", T.TimestampNTZType()),
+        T.StructField("task_name", T.StringType()),
+        T.StructField("files", T.LongType()),
+        T.StructField("lines", T.LongType()),
+        T.StructField("bad_lines", T.LongType()),
+        T.StructField("bars", T.LongType()),
+        T.StructField("tied_bars", T.LongType()),
+    ]
+)
+
 # Rows of every flavour and mode in one layout; the flavours' own headings are not kept.
 REPORT_CELLS = [f"m{m:02d}" for m in range(1, 13)] + ["total"]
 REPORT_AUDIT = T.StructType(

@@ -153,11 +153,24 @@ def test_order_by_time_then_price_does_not_depend_on_the_rows(spark):
     for order in (rows, rows[::-1], rows[3:] + rows[:3]):
         found = B.bars_by_price(ticks_frame(spark, order).repartition(3))
         assert {r.month: (r.open, r.close, r.tied) for r in found.collect()} == expected
-        assert "SortAggregate" not in plan_of(found)
     missing = spark.createDataFrame([(None, 1.0, 1.0, 0), (dt.datetime(2020, 1, 1), None, 2.0, 0)], TICK)
     assert [tuple(r) for r in B.bars_by_price(missing).collect()] == [(2020, 1, None, 2.0, None, dt.datetime(2020, 1, 1), False)]
-    with pytest.raises(Exception, match="does not fit"):
-        B.bars_by_price(ticks_frame(spark, [("2020-01-05", 1e12, 1)])).collect()
+
+
+@pytest.mark.parametrize("period", [MONTH, DAY])
+def test_marks_tell_edges_with_several_prices(spark, period):
+    rows = random_ticks(5, True) + random_ticks(6, False)
+    ticks = spark.createDataFrame(rows, TICK).withColumn("name", F.col("key") % 4).repartition(5)
+    exact = B.bars_by_price(ticks, period, ["name"])
+    found = B.bars_with_marks(ticks, period, ["name"])
+    plan = plan_of(found)
+    assert "SortAggregate" not in plan and plan.count("Exchange") <= 2
+    on = ["name", *period]
+    tied = {tuple(r) for r in found.filter("tied").select(*on).collect()}
+    assert tied == {tuple(r) for r in exact.filter("tied").select(*on).collect()} and tied
+    columns = [*on, "open", "close", "open_time", "close_time", "tied"]
+    mended = B.settled(found, ticks, ["name"], period).select(*columns)
+    assert sorted(mended.collect()) == sorted(exact.select(*columns).collect())
 
 
 def test_row_number_is_limited_before_the_shuffle(spark):
