@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -197,7 +198,8 @@ def bars_of_files(
         made, F.count_if(timed).alias("bars"), F.count_if("tied").alias("tied_bars")
     )
     joined.write.parquet(f"{work}/bars")
-    found, seen = spark.read.schema(joined.schema).parquet(f"{work}/bars"), {**scanned.get, **made.get}
+    found = spark.read.schema(joined.schema).parquet(f"{work}/bars")
+    seen = {**_observed(scanned, "lines", "bad_lines"), **_observed(made, "bars", "tied_bars")}
     if seen["tied_bars"]:
         again = [r.path for r in batch.join(found.filter("tied"), "file_uri", "left_semi").collect()]
         mended = settled(found, _ticks_of(spark, again, settings), ["file_uri"]).observe(
@@ -205,10 +207,19 @@ def bars_of_files(
         )
         mended.write.parquet(f"{work}/settled")
         found = spark.read.schema(mended.schema).parquet(f"{work}/settled")
-        seen |= exact.get
+        seen |= _observed(exact, "tied_bars")
     return found, seen
 
 
+def _observed(observation: Observation, *names: str) -> dict[str, int]:
+    """Observed counts; zero where Spark left out the step because it had no rows."""
+    try:
+        found = observation.get
+    except Py4JJavaError:
+        found = {}
+    return {name: found.get(name) or 0 for name in names}
+
+
 def _ticks_of(
     spark: SparkSession, paths: list[str], settings: LoadSettings, seen: Observation | None = None
 ) -> DataFrame:

@@ -7,6 +7,7 @@ from candlemill.registry.files import file_queries
 from candlemill.registry.keyed import keyed_queries
 from candlemill.registry.loads import load_queries
 from candlemill.registry.operators import operator_queries
+from candlemill.registry.programs import program_queries
 from candlemill.registry.reports import report_queries
 from candlemill.registry.scalars import scalar_queries
 
@@ -19,4 +20,5 @@ def all_queries() -> list[Query]:
         *file_queries(),
         *keyed_queries(),
         *load_queries(),
+        *program_queries(),
     ]
