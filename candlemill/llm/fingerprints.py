@@ -20,6 +20,7 @@ KMER = 2
 WORD_CHARS = 12
 COMPONENTS = 32
 SEED = 9
+_WORD = rf"[^\x20\x09-\x0D]{{1,{WORD_CHARS}}}"
 # Rows that lie between two cuts of the ids, and cuts at most: beyond, stretches get longer.
 STRETCH_ROWS = 1000
 MOST_CUTS = 1024
@@ -32,17 +33,19 @@ def _seeds(count: int) -> list[int]:
     return [rng.getrandbits(62) for _ in range(count)]
 
 
-def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Adds ``name``: COMPONENTS hashes of the text column, none for a text without words.
+def n_words(text: str) -> Column:
+    return F.size(F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)))
+
+
+def with_kmers(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Adds ``{name}_kmers``: hashes of k-mer and occurrence in the order of the text.
 
-    The work grows with n log n of a text's words, and every component reads all of them. Columns are cut into steps so that each
-    array is made once.
+    The work grows with n log n of a text's words. Columns are cut into steps so that each
+    array is made once. Texts with the same beginning have the same k-mers there.
     """
     c = {k: f"_{name}_{k}" for k in ("words", "packed", "runs", "marked", "kmers")}
     low, place = -(1 << _PLACE_BITS), (1 << _PLACE_BITS) - 1
-    df = df.withColumn(
-        c["words"], F.regexp_extract_all(text, F.lit(rf"[^\x20\x09-\x0D]{{1,{WORD_CHARS}}}"), 0)
-    )
+    df = df.withColumn(c["words"], F.regexp_extract_all(text, F.lit(_WORD), 0))
     # The first k-mers take in the edge of the text, so every word ends one.
     hashed = "transform({w}, w -> xxhash64(w))"
     for j in range(1, KMER):
@@ -70,18 +73,57 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     )
     df = df.withColumn(c["marked"], F.expr(marked))
     df = df.withColumn(c["kmers"], F.expr(f"transform({c['marked']}, x -> x & {(1 << _HASH_BITS) - 1}L)"))
-    s = c["kmers"]
-    components = ", ".join(
-        f"transform(array(transform({s}, (k, i) -> (xxhash64(k, {seed}L) & {low}L) | i)),"
-        " a -> transform(array(array_min(a)), m -> aggregate(sort_array(transform("
-        "filter(array(m, array_min(array_remove(a, m))), v -> v IS NOT NULL),"
-        f" v -> v & {place}L)), 0L, (h, j) -> xxhash64(h, element_at({s}, cast(j AS int) + 1))))[0])[0]"
+    return df.withColumnRenamed(c["kmers"], f"{name}_kmers").drop(*(v for k, v in c.items() if k != "kmers"))
+
+
+def with_minima(df: DataFrame, kmers: str, name: str, begin: str | None = None, end: str | None = None) -> DataFrame:
+    """Adds ``name``: the two minima of each component over a part of the k-mers.
+
+    The part goes from ``begin`` up to ``end``, columns that count k-mers; all where there
+    are none. A minimum is its hash, its place in the text and its k-mer.
+    """
+    part = kmers
+    if begin is not None:
+        part = f"slice({kmers}, {begin} + 1, greatest(0, size({kmers}) - {begin}))"
+    elif end is not None:
+        part = f"slice({kmers}, 1, {end})"
+    df = df.withColumn(f"_{name}_part", F.expr(part))
+    s, before = f"_{name}_part", begin or "0"
+    found = ", ".join(
+        f"transform(array(transform({s}, k -> xxhash64(k, {seed}L))), a ->"
+        f" transform(transform(filter(transform(array(array_min(a)), m -> array(m, array_min(array_remove(a, m))))[0],"
+        " h -> h IS NOT NULL), h -> named_struct('h', h, 'p', array_position(a, h))),"
+        f" x -> named_struct('h', x.h, 'p', shiftleft(x.p + {before}, {_HASH_BITS}) | element_at({s}, int(x.p)))))[0]"
         for seed in _seeds(COMPONENTS)
     )
-    df = df.withColumn(
-        name, F.expr(f"CASE WHEN size({s}) = 0 THEN cast(array() AS array<bigint>) ELSE array({components}) END")
+    empty = "cast(array() AS array<array<struct<h: bigint, p: bigint>>>)"
+    df = df.withColumn(name, F.expr(f"CASE WHEN size({s}) = 0 THEN {empty} ELSE array({found}) END"))
+    return df.drop(f"_{name}_part")
+
+
+def joined_minima(*parts: str) -> Column:
+    """The fingerprint of a text from the minima of its parts, in the order of the text.
+
+    The two smallest of all are among the two smallest of each part. Their k-mers, in the
+    order of the text, are hashed together.
+    """
+    both = parts[0]
+    for other in parts[1:]:
+        both = (
+            f"CASE WHEN size({both}) = 0 THEN {other} WHEN size({other}) = 0 THEN {both}"
+            f" ELSE zip_with({both}, {other}, (x, y) -> slice(sort_array(concat(x, y)), 1, 2)) END"
+        )
+    return F.expr(
+        f"transform({both}, m -> aggregate(sort_array(transform(m, x -> x.p)),"
+        f" 0L, (h, p) -> xxhash64(h, p & {(1 << _HASH_BITS) - 1}L)))"
     )
-    return df.drop(*c.values())
+
+
+def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Adds ``name``: COMPONENTS hashes of the text column, none for a text without words."""
+    df = with_kmers(df, text, name)
+    df = with_minima(df, f"{name}_kmers", f"{name}_minima")
+    return df.withColumn(name, joined_minima(f"{name}_minima")).drop(f"{name}_kmers", f"{name}_minima")
 
 
 def likeness(a: str, b: str) -> Column:
@@ -149,16 +191,24 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     row is its own next. Every row comes back; repeated rows follow one another.
     """
     df = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    df = with_fingerprint(df, "text", "print")
-    df = with_next(df, ["text", "print"])
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
+    # What the text and its edited form have in common: all words of the head but the last,
+    # which the cut may have shortened. Its k-mers and minima are made once.
+    df = df.withColumn("head", F.substring(F.col("text"), F.lit(1), n - quarter))
+    df = df.withColumn("common", F.greatest(n_words("head") - 1, F.lit(0)))
+    df = with_kmers(df, "text", "print")
+    df = with_minima(df, "print_kmers", "head_minima", end="common")
+    df = with_minima(df, "print_kmers", "tail_minima", begin="common").drop("print_kmers")
+    df = df.withColumn("print", joined_minima("head_minima", "tail_minima")).drop("tail_minima")
+    df = with_next(df, ["text", "print"])
     df = df.withColumn("n_chars", n.cast("long")).withColumn("next_print", F.col("next.print"))
-    head = F.substring(F.col("text"), F.lit(1), n - quarter)
     df = df.withColumn(
-        "edited", F.concat(head, F.substring(F.col("next.text"), F.lit(1), quarter))
-    ).drop("next", "text")
-    df = with_fingerprint(df, "edited", "edited_print")
+        "edited", F.concat("head", F.substring(F.col("next.text"), F.lit(1), quarter))
+    ).drop("next", "text", "head")
+    df = with_kmers(df, "edited", "edited_print")
+    df = with_minima(df, "edited_print_kmers", "new_minima", begin="common")
+    df = df.withColumn("edited_print", joined_minima("head_minima", "new_minima"))
     return df.select(
         "doc_id",
         "n_chars",
