@@ -33,7 +33,7 @@ def _seeds(count: int) -> list[int]:
     return [rng.getrandbits(62) for _ in range(count)]
 
 
-def n_words(text: str) -> Column:
+def n_words(text: Column) -> Column:
     return F.size(F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)))
 
 
@@ -195,8 +195,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     quarter = F.floor(n / 4).cast("int")
     # What the text and its edited form have in common: all words of the head but the last,
     # which the cut may have shortened. Its k-mers and minima are made once.
-    df = df.withColumn("head", F.substring(F.col("text"), F.lit(1), n - quarter))
-    df = df.withColumn("common", F.greatest(n_words("head") - 1, F.lit(0)))
+    head = F.substring(F.col("text"), F.lit(1), n - quarter)
+    df = df.withColumn("common", F.greatest(n_words(head) - 1, F.lit(0)))
     df = with_kmers(df, "text", "print")
     df = with_minima(df, "print_kmers", "head_minima", end="common")
     df = with_minima(df, "print_kmers", "tail_minima", begin="common").drop("print_kmers")
@@ -204,8 +204,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     df = with_next(df, ["text", "print"])
     df = df.withColumn("n_chars", n.cast("long")).withColumn("next_print", F.col("next.print"))
     df = df.withColumn(
-        "edited", F.concat("head", F.substring(F.col("next.text"), F.lit(1), quarter))
-    ).drop("next", "text", "head")
+        "edited", F.concat(head, F.substring(F.col("next.text"), F.lit(1), quarter))
+    ).drop("next", "text")
     df = with_kmers(df, "edited", "edited_print")
     df = with_minima(df, "edited_print_kmers", "new_minima", begin="common")
     df = df.withColumn("edited_print", joined_minima("head_minima", "new_minima"))
