@@ -146,3 +146,19 @@ def test_each_component_draws_from_all_kmers(spark, prose):
     assert all(len(set(r.p)) >= 31 for r in found)
     # 5 % of the k-mers are replaced: both minima stay with about 0.905 ** 2.
     assert 0.76 < sum(r.near for r in found) / len(found) < 0.88
+
+
+def test_minima_of_parts_give_the_fingerprints_of_whole_texts(spark, frame, prose):
+    rng = random.Random(8)
+    texts = [prose(rng.randrange(1, 120), i, 40) for i in range(60)]
+    texts += ["", " ", "one", "a" * 50, "a b " * 300, "x" * 13 + " y", prose(20_000, 1, 300)]
+    rows = list(enumerate(texts))
+    docs = frame([*rows, (100, None)]).withColumnRenamed("lang", "print").withColumnRenamed("source", "common")
+    found = {r.doc_id: r for r in F.fingerprints(docs).collect()}
+    texts = [*texts, ""]
+    edited = [t[: len(t) - len(t) // 4] + texts[(i + 1) % len(texts)][: len(t) // 4] for i, t in enumerate(texts)]
+    whole = spark.createDataFrame([(i, t, e) for i, (t, e) in enumerate(zip(texts, edited))], "n int, t string, e string")
+    whole = F.with_fingerprint(F.with_fingerprint(whole, "t", "p"), "e", "q")
+    for r in whole.select("n", F.in_hex("p").alias("p"), F.in_hex("q").alias("q")).collect():
+        doc_id = r.n if r.n < len(rows) else 100
+        assert (found[doc_id].fingerprint, found[doc_id].edited_fingerprint) == (r.p, r.q)
