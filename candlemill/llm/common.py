@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +37,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
+# Paths written within each open ``work_tables``, the innermost last.
+_open: list[list[str]] = []
+
+
+@contextmanager
+def work_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end, also after an error, what ``saved`` wrote within it.
+
+    What is still read later is written with ``outlives``; it then belongs to the next
+    ``work_tables`` around, or stays.
+    """
+    _open.append([])
+    try:
+        yield
+    finally:
+        context = spark.sparkContext
+        for path in _open.pop():
+            at = context._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def saved(df: DataFrame, label: str, outlives: bool = False) -> DataFrame:
     """``df`` written once below ``spark.checkpoint.dir`` and read back.
 
     Later steps read files that every executor can reach instead of repeating the work,
@@ -43,6 +66,9 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_dir(spark, label)
+    scopes = _open[:-1] if outlives else _open
+    if scopes:
+        scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

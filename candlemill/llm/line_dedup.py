@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlemill.llm.common import saved
+from candlemill.llm.common import saved, work_tables
 from candlemill.llm.jaccard_join import jaccard_components
 from candlemill.llm.words import U64, mix, utf8_runs, word_hashes
 
@@ -100,11 +100,14 @@ def near_copies(docs: DataFrame) -> DataFrame:
     Near copies are linked by sets of five-word shingles with a similarity of 0.8 or more.
     """
     texts = docs.select(_text_key().alias("doc_id"), "text").where("text IS NOT NULL")
-    groups = jaccard_components(texts, width=5, num=80, den=100)
-    groups = groups.select(F.col("doc_id").alias("text_key"), F.col("component_id").alias("source"))
-    groups = saved(groups.distinct(), "groups")
-    several = groups.where("text_key <> source").select("source").distinct()
-    return saved(groups.join(several, "source", "left_semi").select("text_key", "source"), "copies")
+    # The tables of the join are gone before the templates are made.
+    with work_tables(docs.sparkSession):
+        groups = jaccard_components(texts, width=5, num=80, den=100)
+        groups = groups.select(F.col("doc_id").alias("text_key"), F.col("component_id").alias("source"))
+        groups = saved(groups.distinct(), "groups")
+        several = groups.where("text_key <> source").select("source").distinct()
+        named = groups.join(several, "source", "left_semi").select("text_key", "source")
+        return saved(named, "copies", outlives=True)
 
 
 def _documents(df: DataFrame, copies: DataFrame | None) -> DataFrame:

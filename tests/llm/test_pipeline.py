@@ -37,7 +37,7 @@ def test_stages(spark, frame, prose, tmp_path):
         assert lines[doc_id].text == (text.split("\n")[1] if cut else text)
         assert lines[doc_id].n_chars == (len(lines[doc_id].text) if text is not None else None)
 
-    kept = sorted(r.doc_id for r in C.keep_one_of_each_group(spark, docs, sf_dir).where("doc_id IS NOT NULL").collect())
+    kept = sorted({r.doc_id for r in C.keep_one_of_each_group(spark, docs, sf_dir).where("doc_id IS NOT NULL").collect()})
     groups = {r.doc_id: r.component_id for r in jaccard_components(docs).where("doc_id IS NOT NULL").collect()}
     assert kept == sorted({d for d, c in groups.items() if d == c}) and not set(range(100, 110)) & set(kept)
 
@@ -55,6 +55,30 @@ def test_stages(spark, frame, prose, tmp_path):
             assert sum(len(t.split()) for t in got) == n
 
 
+def test_an_id_with_several_texts_keeps_one_of_each_group(spark, frame, prose):
+    a, b, c = prose(60, 1), prose(60, 2), prose(60, 3)
+    rows = [(1, a), (1, b), (1, c), (1, c), (5, b + " end"), (0, c), (7, None), (7, ""), (None, a), (8, "x y")]
+    docs = frame(rows).selectExpr("*", "1 AS row", "2 AS component", "3 AS given", "4 AS place", "5 AS t1")
+    kept = C.keep_one_of_each_group(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([(1, a), (1, b), (0, c), (7, None), (7, ""), (None, a), (8, "x y")], key=str)
+
+
+def test_work_tables_are_deleted_but_for_what_outlives_them(spark):
+    from pathlib import Path
+
+    from candlemill.llm.common import saved, work_tables
+
+    with work_tables(spark):
+        with work_tables(spark):
+            inner, outer = saved(spark.range(3), "a"), saved(spark.range(4), "b", outlives=True)
+            files = [Path(d.inputFiles()[0].removeprefix("file://")) for d in (inner, outer)]
+            assert all(f.exists() for f in files)
+        assert [f.exists() for f in files] == [False, True] and outer.count() == 4
+    assert not files[1].exists()
+
+
 def test_whole_run(spark, frame, prose, tmp_path):
     _, sf_dir = saved_tables(spark, frame, prose, tmp_path)
     found = C.run(spark, sf_dir).collect()
