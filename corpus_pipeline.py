@@ -11,14 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candlemill.llm.common import saved, table
-from candlemill.llm.jaccard_join import jaccard_components
+from candlemill.llm.common import saved, table, work_tables
+from candlemill.llm.jaccard_join import jaccard_rows, text_row
 from candlemill.llm.line_dedup import drop_templates, near_copies
 from candlemill.llm.mixing import mix
 from candlemill.llm.packing import pack
 from candlemill.llm.queries import tokenizer_path
 from candlemill.llm.toxicity import THRESHOLD, below, fit
 
+_WORD = r"[^\x20\x09-\x0D]"
 # A word with the white space before it.
 _STEP = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
 
@@ -42,17 +43,21 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near duplicates, once.
+    """One document of each group of near duplicates, once: that of the smallest id.
 
-    Groups are linked by sets of five-word shingles with a similarity of 0.8 or more.
-    Documents without words are in no group. Rows without an id stay.
+    Groups are linked by sets of five-word shingles with a similarity of 0.8 or more. An id
+    that comes with several texts has each of them in a group of its own; of equal ids in a
+    group the text of the smaller hash stays, of equal rows one. Rows without an id, and
+    texts without words, null or empty, are in no group and stay.
     """
-    groups = jaccard_components(docs, width=5, num=80, den=100)
-    kept = saved(groups.where("doc_id = component_id").select("doc_id").distinct(), "kept")
-    same = Window.partitionBy("doc_id").orderBy("text")
-    first = docs.join(kept, "doc_id", "left_semi").withColumn("_place", F.row_number().over(same))
-    unnamed = docs.where("doc_id IS NULL")
-    return first.where("_place = 1").select(*docs.columns).union(unnamed.select(*docs.columns))
+    rows = jaccard_rows(docs, width=5, num=80, den=100)[1]
+    kept = rows.where("component IS NOT NULL").groupBy("component").agg(F.min("row").alias("row"))
+    kept = saved(kept.select("row.*"), "kept").select(F.struct("doc_id", "t1", "t2").alias("row"))
+    given = docs.select(F.struct(*docs.columns).alias("given"), text_row(docs).alias("row"), "text")
+    in_group = F.col("row.doc_id").isNotNull() & F.coalesce(F.col("text").rlike(_WORD), F.lit(False))
+    equal = Window.partitionBy("row").orderBy(F.to_json("given"))
+    first = given.where(in_group).join(kept, "row", "left_semi").withColumn("place", F.row_number().over(equal))
+    return first.where("place = 1").select("given.*").union(given.where(~in_group).select("given.*"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -107,5 +112,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in turn over the whole table of documents."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), f"stage-{name}")
+        with work_tables(spark):
+            docs = saved(stage(spark, docs, sf_dir), f"stage-{name}", outlives=True)
     return docs
