@@ -1,4 +1,4 @@
-"""What a load sees in its files, and bars that a stream keeps as state."""
+"""What a load sees in its files, their hashes by pieces, and bars that a stream keeps as state."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from candlemill.registry.files import _BAR_COLUMNS, _LOADED, SPLIT_DAY
 from candlemill.registry.tables import event_ticks
 from candlemill.schemas import TICK_HEADER
 from candlemill.session import fresh_dir
-from candlemill.sources.files import list_files
+from candlemill.sources.files import list_files, with_tree_checksum
 from candlemill.streaming.state import day_table, month_bars_of_days, stream_days
 
 
@@ -74,8 +74,42 @@ def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(months.select(*_BAR_COLUMNS))
 
 
+_TREE_PIECE = 100
+
+
+def file_tree_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as one text file a day, in the order of their ids, and the hash of each."""
+    cells = ["event_id", "user_id", "event_type", "props"]
+    lines = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        F.concat_ws(";", *[F.col(c).cast("string") for c in cells]).alias("value"),
+        F.date_format("ts", "yyyy.MM.dd").alias("day"),
+        "event_id",
+    )
+    path = fresh_dir(spark, "days")
+    lines = lines.repartition("day").sortWithinPartitions("day", "event_id").drop("event_id")
+    lines.write.partitionBy("day").text(path)
+    found = with_tree_checksum(spark, path, "*.txt", _TREE_PIECE)
+    day = F.regexp_extract("path", r"day=([^/]+)", 1)
+    return found.select(day.alias("day"), "length", "lines", "tree_checksum")
+
+
+TREE_SQL = f"""WITH numbered AS (
+    SELECT strftime(ts, '%Y.%m.%d') AS day, concat_ws(';', event_id, user_id, event_type, props) AS line,
+        row_number() OVER (PARTITION BY strftime(ts, '%Y.%m.%d') ORDER BY event_id) - 1 AS n FROM events),
+pieces AS (
+    SELECT day, n // {_TREE_PIECE} AS piece, count(*) AS lines, sum(strlen(line) + 1) AS length,
+        sha256(unhex(string_agg(sha256(line), '' ORDER BY n))) AS digest
+    FROM numbered GROUP BY ALL),
+files AS (
+    SELECT day, CAST(sum(lines) AS BIGINT) AS lines, CAST(sum(length) AS BIGINT) AS length,
+        string_agg(digest, '' ORDER BY piece) AS digests FROM pieces GROUP BY day)
+SELECT day, length, lines, sha256('tree:{_TREE_PIECE}:' || length || ':' || lines || ':' || digests) AS tree_checksum
+FROM files"""
+
+
 def load_queries() -> list[Query]:
     return [
+        Query("file_tree_hash", file_tree_hash, TREE_SQL),
         Query("load_metrics", load_metrics, METRICS_SQL),
         Query("stream_state", stream_state, _LOADED),
     ]

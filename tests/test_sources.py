@@ -5,7 +5,14 @@ from pyspark.sql import functions as F
 
 from candlemill.functions.parsing import comma_text, market_of
 from candlemill.schemas import TICK_RAW
-from candlemill.sources.files import line_counts, list_files, literal_path, manifest, with_checksum
+from candlemill.sources.files import (
+    line_counts,
+    list_files,
+    literal_path,
+    manifest,
+    with_checksum,
+    with_tree_checksum,
+)
 from candlemill.sources.tables import jdbc_options
 from candlemill.sources.ticks import load_ticks, normalize_ticks, scan_landing, scan_ticks
 from tests.helpers import at, tick_line, write_ticks
@@ -98,6 +105,62 @@ def test_files_are_hashed_by_one_scan(spark, tmp_path):
     assert plan.count("content:binary") == 1 and "Union" not in plan
 
 
+def plain_tree(content, piece):
+    body = content.removeprefix(b"\xef\xbb\xbf")
+    lines = body.split(b"\n")
+    if not lines[-1]:
+        lines.pop()
+    digests = [hashlib.sha256(x).digest() for x in lines]
+    pieces = [hashlib.sha256(b"".join(digests[i : i + piece])).hexdigest() for i in range(0, len(lines), piece)]
+    return hashlib.sha256(f"tree:{piece}:{len(content)}:{len(lines)}:{''.join(pieces)}".encode()).hexdigest()
+
+
+TREE_FILES = {
+    "a.csv": b"".join(b"line %d;%d\n" % (i, i * i) for i in range(3000)),
+    "no end.csv": b"one\ntwo",
+    "end.csv": b"one\ntwo\n",
+    "mark.csv": b"\xef\xbb\xbfone\ntwo",
+    "return.csv": b"one\r\ntwo\r\n\r\n",
+    "bytes.csv": bytes(range(256)) * 3,
+    "long.csv": b"x" * 300_000 + b"\n" + b"y" * 70_000,
+    "blank.csv": b"\n" * 500,
+}
+
+
+@pytest.mark.parametrize("split,piece", [(1000, 7), (1 << 27, 7), (1 << 27, 1 << 16)])
+def test_tree_checksum_in_any_splits(spark, tmp_path, split, piece):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "empty.csv").write_bytes(b"")
+    for name, content in TREE_FILES.items():
+        (tmp_path / name).write_bytes(content)
+        (tmp_path / "sub" / f"copy of {name}").write_bytes(content)
+    settings = {"spark.sql.files.maxPartitionBytes": split, "spark.sql.files.openCostInBytes": 0}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = with_tree_checksum(spark, str(tmp_path), piece_lines=piece).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    found = {r.path.split("/")[-1]: r for r in rows}
+    assert len(rows) == len(found) == 2 * len(TREE_FILES)
+    for name, content in TREE_FILES.items():
+        want = plain_tree(content, piece)
+        assert (found[name].tree_checksum, found[f"copy of {name}"].tree_checksum) == (want, want), name
+        assert found[name].length == len(content)
+    assert found["a.csv"].lines == 3000 and found["blank.csv"].lines == 500
+    assert len({found[n].tree_checksum for n in TREE_FILES}) == len(TREE_FILES)
+
+
+def test_tree_checksum_reads_no_file_as_a_value(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b"x\n")
+    plan = with_tree_checksum(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
+    with pytest.raises(ValueError):
+        with_tree_checksum(spark, str(tmp_path), piece_lines=0)
+
+
 def test_paths_with_glob_characters(spark, tmp_path):
     for name in ("d[1].csv", "e{x}.csv", "p%20q.csv", "a b.csv"):
         write_ticks(tmp_path / name, [tick_line("2012-01-16 00:00:00", 1.5)])
