@@ -3,7 +3,8 @@
 Lines are parsed to a fixed depth: by their number of tokens, then by their leading tokens,
 where a token with a digit stands for any value. Within such a leaf a token that enough
 documents have at the same position belongs to the template, and any other is a variable
-field. Lines whose template recurs across documents are dropped.
+field. Lines whose template recurs across documents are dropped, in every document; only
+near copies, found by a Jaccard join, count as one document and may keep their text.
 """
 
 from __future__ import annotations
@@ -15,26 +16,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlemill.llm.common import saved, work_tables
-from candlemill.llm.jaccard_join import jaccard_components
+from candlemill.llm.common import BROADCAST_IDS, saved, semi_join, work_tables
+from candlemill.llm.jaccard_join import jaccard_rows
 from candlemill.llm.words import U64, mix, utf8_runs, word_hashes
 
 # Leading tokens that a leaf is chosen by.
 DEPTH = 3
 # Different documents that a template must occur in to be dropped.
 MIN_DOCS = 5
-# Part of a line's tokens without a digit that must be constant, by hundredths.
+# Lines of more words than LONG_WORDS are passages: they recur from LONG_DOCS documents on.
+LONG_WORDS = 50
+LONG_DOCS = 2
+# Part of a line's tokens that must be constant or hold a digit, by hundredths.
 MIN_CONSTANT = 70
-# A document of which more than this part of the words (by hundredths) would go is a copy of
-# others as a whole; it keeps its lines.
+# A near copy of which more than this part of the words (by hundredths) would go keeps its lines.
 MOST_DROPPED = 50
 
 _NEWLINE = 0x0A
 _DIGIT = np.zeros(256, bool)
 _DIGIT[0x30:0x3A] = True
 _FIELD = U64(0xF1E1D)
-_LINE = ["text_key", "line", "words", "leaf", "tokens"]
-_LINE_SCHEMA = "text_key long, line int, words int, leaf long, tokens array<long>"
+_KEY = "text_key struct<t1: long, t2: long>"
+_LEAF = ["text_key", "leaf", "words"]
+_LINE = [*_LEAF, "line", "text_words", "tokens"]
+_LEAF_SCHEMA = f"{_KEY}, leaf long, words int"
+_LINE_SCHEMA = f"{_LEAF_SCHEMA}, line int, text_words int, tokens array<long>"
 
 
 def _lines_of(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray, ...]:
@@ -75,142 +81,168 @@ def _parse(depth: int, with_tokens: bool):
         for batch in batches:
             for at, _, data, offsets in utf8_runs(batch.column(1)):
                 text, line, leaf, tokens, cuts = _lines_of(data, offsets, depth)
+                words = np.diff(cuts)
                 key = batch.column(0).take(pa.array(text + at))
-                leaf = pa.array(leaf.view(np.int64))
+                columns = [key, pa.array(leaf.view(np.int64)), pa.array(words.astype(np.int32))]
                 if not with_tokens:
-                    yield pa.RecordBatch.from_arrays([key, leaf], names=["text_key", "leaf"])
+                    yield pa.RecordBatch.from_arrays(columns, names=_LEAF)
                     continue
+                in_text = np.zeros(len(offsets) - 1, np.int32)
+                np.add.at(in_text, text, words.astype(np.int32))
                 lists = pa.ListArray.from_arrays(
                     pa.array(cuts.astype(np.int32)), pa.array(tokens.view(np.int64))
                 )
-                line = pa.array(line.astype(np.int32))
-                words = pa.array(np.diff(cuts).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([key, line, words, leaf, lists], names=_LINE)
+                columns += [pa.array(line.astype(np.int32)), pa.array(in_text[text]), lists]
+                yield pa.RecordBatch.from_arrays(columns, names=_LINE)
 
     return run
 
 
-def _text_key():
-    return F.xxhash64("text", F.length("text"))
+def _text_key(docs: DataFrame):
+    """Two hashes of the text: with one, some texts of a very large table would be confused."""
+    return F.struct(
+        F.xxhash64(docs["text"]).alias("t1"), F.xxhash64(F.lit(1), docs["text"]).alias("t2")
+    ).alias("text_key")
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
-    """(text_key, source) of each text that has near copies: the one text they all count as.
+    """(text_key, source) of each text of ``docs`` (text, ...) that has near copies there.
 
-    Near copies are linked by sets of five-word shingles with a similarity of 0.8 or more.
+    ``source`` is the same for all texts of a group. Near copies are linked by sets of
+    five-word shingles with a similarity of 0.8 or more. Null texts and texts without words
+    are in no group; equal texts alone are no group, since they have one key.
     """
-    texts = docs.select(_text_key().alias("doc_id"), "text").where("text IS NOT NULL")
+    texts = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("doc_id"), "text")
     # The tables of the join are gone before the templates are made.
     with work_tables(docs.sparkSession):
-        groups = jaccard_components(texts, width=5, num=80, den=100)
-        groups = groups.select(F.col("doc_id").alias("text_key"), F.col("component_id").alias("source"))
+        rows = jaccard_rows(texts, width=5, num=80, den=100)[1].where("n_shingles > 0")
+        groups = rows.select(
+            F.struct("row.t1", "row.t2").alias("text_key"),
+            F.struct(F.col("component.d1").alias("t1"), F.col("component.d2").alias("t2")).alias("source"),
+        )
         groups = saved(groups.distinct(), "groups")
-        several = groups.where("text_key <> source").select("source").distinct()
+        several = groups.groupBy("source").count().where("count > 1").select("source")
         named = groups.join(several, "source", "left_semi").select("text_key", "source")
         return saved(named, "copies", outlives=True)
 
 
-def _documents(df: DataFrame, copies: DataFrame | None) -> DataFrame:
-    """Adds ``source``: what the text of a row counts as."""
-    if copies is None:
-        return df.withColumn("source", F.col("text_key"))
-    df = df.join(copies, "text_key", "left")
-    return df.withColumn("source", F.coalesce("source", "text_key"))
+def recurring_leaves(
+    docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, long_docs: int = LONG_DOCS
+) -> DataFrame:
+    """The lines of different texts in leaves that enough texts have.
+
+    (text_key, leaf, words, line, text_words, tokens): words of the line and of its text.
+    """
+    texts = docs.where("text IS NOT NULL").select(_text_key(docs), "text")
+    # Only leaves, and later only lines of recurring leaves, go through a shuffle.
+    leaves = texts.mapInArrow(_parse(depth, False), _LEAF_SCHEMA).distinct()
+    leaves = leaves.groupBy("leaf", "words").count()
+    leaves = leaves.where(F.col("count") >= _needed(min_docs, long_docs)).select("leaf")
+    parsed = texts.mapInArrow(_parse(depth, True), _LINE_SCHEMA)
+    lines = parsed.join(saved(leaves, "leaves"), "leaf").dropDuplicates(["text_key", "line"])
+    return saved(lines.select(*_LINE), "lines")
+
+
+def _needed(min_docs: int, long_docs: int):
+    """Documents that a line of so many words must occur in."""
+    return F.when(F.col("words") > LONG_WORDS, long_docs).otherwise(min_docs)
 
 
 def template_lines(
-    docs: DataFrame,
-    depth: int = DEPTH,
+    lines: DataFrame,
     min_docs: int = MIN_DOCS,
+    long_docs: int = LONG_DOCS,
     min_constant: int = MIN_CONSTANT,
     copies: DataFrame | None = None,
 ) -> DataFrame:
-    """(text_key, line, words) of the lines whose template recurs, by a hash of their text.
-
-    Equal texts count as one document, and so do those that ``copies`` (see ``near_copies``)
-    gives the same source. A template is a leaf with the constant tokens:
-    those without a digit that at least ``min_docs`` documents have at their position. It
-    recurs if as many documents have it and at least ``min_constant`` hundredths of the
-    line's tokens without a digit are constant, one at least. All counts are of rows
-    made distinct first, so a line in very many documents is reduced in each task.
+    """(text_key, leaf, words, line, text_words) of those ``lines`` whose template recurs.
+
+    ``lines`` come from ``recurring_leaves``. Texts that ``copies`` (see ``near_copies``)
+    gives the same source count as one document. A template is a leaf with the constant
+    tokens: those without a digit that enough documents have at their position, which is
+    ``long_docs`` for a line of more than LONG_WORDS words and ``min_docs`` for others. It
+    recurs if as many documents have it, and at least ``min_constant`` hundredths of the
+    line's tokens are constant or, with a digit, general; one at least is constant. All
+    counts are of rows made distinct first, so a line in very many documents is reduced in
+    each task.
     """
-    texts = docs.select(_text_key().alias("text_key"), "text").where("text IS NOT NULL")
-    # Only leaves, and later only lines of recurring leaves, go through a shuffle.
-    leaves = texts.mapInArrow(_parse(depth, False), "text_key long, leaf long")
-    leaves = _documents(leaves.distinct(), copies).groupBy("leaf")
-    leaves = leaves.agg(F.count_distinct("source").alias("count"))
-    leaves = saved(leaves.where(F.col("count") >= min_docs).select("leaf"), "leaves")
-    parsed = texts.mapInArrow(_parse(depth, True), _LINE_SCHEMA)
-    lines = parsed.join(leaves, "leaf").dropDuplicates(["text_key", "line"])
-    lines = saved(_documents(lines, copies), "lines")
+    needed = _needed(min_docs, long_docs)
+    if copies is None:
+        lines = lines.withColumn("source", F.col("text_key"))
+    else:
+        known = F.broadcast(copies) if copies.count() <= BROADCAST_IDS else copies
+        lines = lines.join(known, "text_key", "left")
+        lines = lines.withColumn("source", F.coalesce("source", "text_key"))
 
     field = F.lit(int(_FIELD))
+    kept = ["text_key", "source", "leaf", "words", "line", "text_words"]
     plain = F.size(F.filter("tokens", lambda t: t != field)).alias("plain")
-    tokens = lines.select(
-        "text_key", "source", "line", "words", "leaf", plain, F.posexplode("tokens").alias("position", "token")
-    ).where(F.col("token") != field)
+    tokens = lines.select(*kept, plain, F.posexplode("tokens").alias("position", "token"))
+    tokens = tokens.where(F.col("token") != field)
     place = ["leaf", "position", "token"]
-    constant = tokens.select("source", *place).distinct().groupBy(*place).count()
-    constant = constant.where(F.col("count") >= min_docs).select(*place)
+    constant = tokens.select("source", "words", *place).distinct().groupBy("words", *place).count()
+    constant = constant.where(F.col("count") >= needed).select(*place)
     templates = (
         tokens.join(constant, place, "left_semi")
-        .groupBy("text_key", "source", "line", "words", "leaf", "plain")
+        .groupBy(*kept, "plain")
         .agg(F.count("*").alias("held"), F.bit_xor(F.xxhash64("position", "token")).alias("code"))
-        .where(F.col("held") * 100 >= F.col("plain") * min_constant)
+        .where((F.col("held") + F.col("words") - F.col("plain")) * 100 >= F.col("words") * min_constant)
     )
     template = ["leaf", "held", "code"]
     templates = saved(templates, "templates")
-    often = templates.select("source", *template).distinct().groupBy(*template).count()
-    often = often.where(F.col("count") >= min_docs).select(*template)
-    return templates.join(often, template, "left_semi").select("text_key", "line", "words")
+    often = templates.select("source", "words", *template).distinct().groupBy("words", *template).count()
+    often = saved(often.where(F.col("count") >= needed).select(*template), "often")
+    return semi_join(templates, often, template).select("text_key", "leaf", "words", "line", "text_words")
 
 
 def drop_templates(
     docs: DataFrame,
     depth: int = DEPTH,
     min_docs: int = MIN_DOCS,
+    long_docs: int = LONG_DOCS,
     min_constant: int = MIN_CONSTANT,
     most_dropped: int = MOST_DROPPED,
-    copies: DataFrame | None = None,
 ) -> DataFrame:
     """``docs`` (doc_id, text, ...) with ``n_lines``, ``n_dropped`` and the text that is left.
 
     Lines are cut at line feeds; lines without tokens are left alone. Null and empty texts
-    stay as they are, with 0 lines of which 0 are dropped. A text of which more than
-    ``most_dropped`` hundredths of the words would go keeps all its lines: it is a copy of
-    other documents, not a document with a repeated line in it. With ``copies``, from
-    ``near_copies``, that holds for texts in it only: they count as one document with their
-    copies, and any other text loses all lines that recur. Every row comes back, as often as
-    it came, and further columns are handed on.
+    stay as they are, with 0 lines of which 0 are dropped. Lines whose template recurs (see
+    ``template_lines``) go from every text, equal texts counting as one document.
+
+    So that copies do not wipe each other out, the texts that would lose a line of more than
+    LONG_WORDS words, or more than ``most_dropped`` hundredths of their words, are joined
+    among each other by ``near_copies``. A group of near copies counts as one document in a
+    second count, and a text in a group keeps all its lines if it would still lose more than
+    ``most_dropped`` hundredths of its words. Every row comes back, as often as it came, and
+    further columns of any name but ``n_lines`` and ``n_dropped`` are handed on.
     """
-    lines = template_lines(docs, depth, min_docs, min_constant, copies)
+    lines = recurring_leaves(docs, depth, min_docs, long_docs)
+    found = saved(template_lines(lines, min_docs, long_docs, min_constant), "found")
+    heavy = F.sum("words") * 100 > F.first("text_words") * most_dropped
+    losing = found.groupBy("text_key").agg(((F.max("words") > LONG_WORDS) | heavy).alias("much"))
+    losing = saved(losing.where("much").select("text_key"), "losing")
+    texts = docs.where("text IS NOT NULL").select(_text_key(docs), "text")
+    copies = near_copies(semi_join(texts, losing, "text_key"))
+    # Another count is due only in leaves with a line of a near copy.
+    touched = lines.join(copies, "text_key", "left_semi").select("leaf").distinct()
+    touched = saved(touched, "touched")
+    again = template_lines(semi_join(lines, touched, "leaf"), min_docs, long_docs, min_constant, copies)
+    found = found.join(touched, "leaf", "left_anti").unionByName(again)
     # The lines of one text at most.
-    gone = lines.groupBy(F.col("text_key").alias("_key")).agg(
-        F.collect_set("line").alias("_gone"), F.sum("words").alias("_words")
-    )
-    if copies is None:
-        gone = gone.withColumn("_copied", F.lit(True))
-    else:
-        named = copies.select(F.col("text_key").alias("_key"), F.lit(True).alias("_copied"))
-        gone = gone.join(named, "_key", "left").withColumn("_copied", F.col("_copied").isNotNull())
+    gone = found.groupBy("text_key").agg(F.collect_set("line").alias("gone"), heavy.alias("heavy"))
+    gone = gone.join(copies.withColumn("copied", F.lit(True)), "text_key", "left")
+    gone = gone.where("NOT (heavy AND copied IS NOT NULL)").select("text_key", "gone")
     # Texts are shuffled once, whatever the size of the other side: how many lines go grows
     # with the documents, so there is no bound for a broadcast.
     gone = saved(gone, "gone").hint("merge")
-    out = docs.withColumn("_text_key", _text_key())
-    out = out.join(gone, F.col("_text_key") == F.col("_key"), "left")
-    words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
-    drop = F.col("_gone").isNotNull() & (
-        ~F.col("_copied") | (F.col("_words") * 100 <= words * most_dropped)
-    )
-    split = F.split("text", "\n", -1)
-    kept = F.expr("filter(_split, (x, i) -> NOT array_contains(_gone, i))")
-    n_lines = F.when(F.coalesce(F.length("text"), F.lit(0)) == 0, 0).otherwise(F.size("_split"))
-    out = (
-        out.withColumn("_drop", drop)
-        .withColumn("_split", split)
-        .withColumn("n_lines", n_lines)
-        .withColumn("n_dropped", F.when(F.col("_drop"), F.size("_gone")).otherwise(0))
-        .withColumn("_kept", F.when(F.col("_drop"), F.array_join(kept, "\n")).otherwise(F.col("text")))
+    out = docs.select(F.struct(*docs.columns).alias("given"), _text_key(docs))
+    out = out.join(gone, "text_key", "left").withColumn("split", F.split("given.text", "\n", -1))
+    left = F.expr("array_join(filter(split, (x, i) -> NOT array_contains(gone, i)), '\\n')")
+    n_lines = F.when(F.coalesce(F.length("given.text"), F.lit(0)) == 0, 0).otherwise(F.size("split"))
+    others = [F.col(f"given.`{c}`") for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
+    return out.select(
+        *others,
+        F.when(F.col("gone").isNull(), F.col("given.text")).otherwise(left).alias("text"),
+        n_lines.alias("n_lines"),
+        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).alias("n_dropped"),
     )
-    others = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
-    return out.select(*others, F.col("_kept").alias("text"), "n_lines", "n_dropped")

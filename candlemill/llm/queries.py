@@ -103,46 +103,80 @@ def llm_queries() -> dict[str, Run]:
     return {f.__name__: f for f in operators}
 
 
-# The same rules with tokens and lines themselves in place of their hashes.
-OP2_SQL = r"""
-WITH texts AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
+# The same rules with tokens, lines and shingles themselves in place of their hashes. Templates
+# are counted twice: by different texts, then with near copies as one.
+_OP2_COUNT = r"""
+leaves{n} AS (
+  SELECT words, head FROM parsed JOIN source{n} USING (text)
+  GROUP BY words, head, needed HAVING count(DISTINCT source) >= needed),
+tokens{n} AS (
+  SELECT text, source, line, words, head, needed, fields,
+         unnest(tok) AS token, generate_subscripts(tok, 1) AS position
+  FROM parsed JOIN leaves{n} USING (words, head) JOIN source{n} USING (text)),
+constant{n} AS (
+  SELECT words, head, position, token FROM tokens{n} WHERE token <> '<*>'
+  GROUP BY words, head, position, token, needed HAVING count(DISTINCT source) >= needed),
+templates{n} AS (
+  SELECT text, source, line, words, head, needed,
+         list((position, token) ORDER BY position) AS template
+  FROM tokens{n} JOIN constant{n} USING (words, head, position, token)
+  GROUP BY text, source, line, words, head, needed, fields
+  HAVING (count(*) + fields) * 100 >= words * 70),
+often{n} AS (
+  SELECT words, head, template FROM templates{n}
+  GROUP BY words, head, template, needed HAVING count(DISTINCT source) >= needed),
+gone{n} AS (
+  SELECT text, list(line) AS gone, max(words) AS longest,
+         sum(words) * 100 > len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) * 50 AS heavy
+  FROM templates{n} JOIN often{n} USING (words, head, template) GROUP BY text)"""
+
+OP2_SQL = (
+    r"""
+WITH RECURSIVE texts AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
 split AS (
   SELECT text, unnest(string_split(text, chr(10))) AS l,
          generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line
   FROM texts),
 parsed AS (
-  SELECT text, line, tok, len(tok) AS words, tok[1:3] AS head
+  SELECT text, line, tok, len(tok) AS words, tok[1:3] AS head,
+         len([x FOR x IN tok IF x = '<*>']) AS fields,
+         CASE WHEN len(tok) > 50 THEN 2 ELSE 5 END AS needed
   FROM (SELECT text, line,
                [CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END
                 FOR x IN regexp_extract_all(l, '[^\x20\x09-\x0D]+')] AS tok
         FROM split)
   WHERE len(tok) > 0),
-leaves AS (
-  SELECT words, head FROM parsed GROUP BY words, head HAVING count(DISTINCT text) >= 5),
-tokens AS (
-  SELECT text, line, words, head, unnest(tok) AS token, generate_subscripts(tok, 1) AS position
-  FROM parsed JOIN leaves USING (words, head)),
-plain AS (
-  SELECT text, line, count(*) AS plain FROM tokens WHERE token <> '<*>' GROUP BY text, line),
-constant AS (
-  SELECT words, head, position, token FROM tokens WHERE token <> '<*>'
-  GROUP BY words, head, position, token HAVING count(DISTINCT text) >= 5),
-templates AS (
-  SELECT text, line, words, head, list((position, token) ORDER BY position) AS template
-  FROM tokens JOIN constant USING (words, head, position, token) JOIN plain USING (text, line)
-  GROUP BY text, line, words, head, plain
-  HAVING count(*) * 100 >= plain * 70),
-often AS (
-  SELECT words, head, template FROM templates
-  GROUP BY words, head, template HAVING count(DISTINCT text) >= 5),
-gone AS (
-  SELECT text, list(line) AS gone, sum(words) AS gone_words
-  FROM templates JOIN often USING (words, head, template) GROUP BY text),
+source1 AS (SELECT text, text AS source FROM texts),"""
+    + _OP2_COUNT.format(n=1)
+    + r""",
+losing AS (
+  SELECT row_number() OVER (ORDER BY text) AS id, text,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS w
+  FROM gone1 WHERE longest > 50 OR heavy),
+sets AS (
+  SELECT id, CASE WHEN len(w) < 5 THEN [w]
+                  ELSE list_distinct([w[i:i + 4] FOR i IN range(1, len(w) - 3)]) END AS s
+  FROM losing),
+shingles AS (SELECT id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.id AS a, b.id AS b FROM shingles a JOIN shingles b USING (shingle)
+  GROUP BY a.id, b.id, a.n, b.n HAVING count(*) * 100 >= (a.n + b.n - count(*)) * 80),
+reach AS (
+  SELECT id, id AS other FROM losing
+  UNION SELECT reach.id, links.b FROM reach JOIN links ON reach.other = links.a),
+groups AS (
+  SELECT id, min(other) AS first, count(*) > 1 AS copied FROM reach GROUP BY id),
+near AS (
+  SELECT l.text, f.text AS source FROM groups g JOIN losing l USING (id) JOIN losing f ON f.id = g.first
+  WHERE copied),
+source2 AS (SELECT text, coalesce(near.source, text) AS source FROM texts LEFT JOIN near USING (text)),"""
+    + _OP2_COUNT.format(n=2)
+    + r""",
 judged AS (
   SELECT d.*, string_split(d.text, chr(10)) AS parts, g.gone,
-         coalesce(g.gone_words * 100
-                  <= len(regexp_extract_all(d.text, '[^\x20\x09-\x0D]+')) * 50, false) AS cut
-  FROM documents d LEFT JOIN gone g ON d.text = g.text)
+         g.gone IS NOT NULL AND NOT (g.heavy AND near.source IS NOT NULL) AS cut
+  FROM documents d LEFT JOIN gone2 g ON d.text = g.text LEFT JOIN near ON d.text = near.text)
 SELECT doc_id, lang, source, n_chars,
        CASE WHEN cut THEN array_to_string(
          list_filter(parts, lambda x, i: NOT list_contains(gone, i - 1)), chr(10)) ELSE text END AS text,
@@ -150,6 +184,7 @@ SELECT doc_id, lang, source, n_chars,
        CASE WHEN cut THEN len(gone) ELSE 0 END::INT AS n_dropped
 FROM judged
 """
+)
 
 
 def llm_sql() -> dict[str, str]:

@@ -1,6 +1,6 @@
 """Line dedup on lines with variable fields; whole tables are compared with SQL."""
 
-from candlemill.llm.line_dedup import drop_templates, near_copies
+from candlemill.llm.line_dedup import drop_templates, near_copies, recurring_leaves
 
 
 def plain(text):
@@ -47,11 +47,13 @@ def test_copies_keep_their_lines_and_count_once(frame, prose):
 
 
 def test_rows_repeat_and_columns_clash(spark, prose):
-    schema = "doc_id long, text string, line int, n_lines string, words long, _x int"
-    rows = [(i, f"All rights reserved by us.\n{plain(prose(30, i))}", 1, "x", 2, 3) for i in range(6)]
-    rows += [rows[0], (None, rows[1][1], 1, "x", 2, 3)]
+    names = "line words text_key given gone split _key _gone _words heavy copied source leaf".split()
+    schema = "doc_id long, text string, n_lines string, " + ", ".join(f"{c} int" for c in names)
+    rows = [(i, f"All rights reserved by us.\n{plain(prose(30, i))}", "x", *range(13)) for i in range(6)]
+    rows += [rows[0], (None, *rows[1][1:])]
     found = drop_templates(spark.createDataFrame(rows, schema)).collect()
-    assert len(found) == 8 and {r.n_dropped for r in found} == {1} and {r.line for r in found} == {1}
+    assert len(found) == 8 and {r.n_dropped for r in found} == {1}
+    assert {tuple(r[c] for c in names) for r in found} == {tuple(range(13))}
     assert drop_templates(spark.createDataFrame([], schema)).collect() == []
 
 
@@ -60,7 +62,49 @@ def test_short_documents_lose_their_boilerplate_and_near_copies_keep_their_lines
     rows = [(i, f"{licence}\n{plain(prose(30, i))}") for i in range(8)]
     copied = "\n".join(plain(prose(30, 100 + j)) for j in range(6))
     rows += [(100 + i, f"{copied}\n{plain(prose(5, 200 + i))}") for i in range(12)]
-    docs = frame(rows)
-    found = lines_of(docs, copies=near_copies(docs))
+    found = lines_of(frame(rows))
     for i, text in rows:
         assert found[i] == ((text.split("\n")[1], 2, 1) if i < 100 else (text, 7, 0))
+
+
+def test_long_lines_recur_from_two_documents_on(frame, prose):
+    long, short = plain(prose(51, 1)), plain(prose(50, 2))
+    rows = [(i, f"{short}\n{plain(prose(200, 10 + i))}\n{long}") for i in range(2)]
+    found = lines_of(frame(rows))
+    for i, text in rows:
+        assert found[i] == (text.rsplit("\n", 1)[0], 3, 1)
+
+
+def test_a_pair_of_near_copies_keeps_its_long_lines_but_not_those_of_others(frame, prose):
+    shared, own = plain(prose(60, 1)), "\n".join(plain(prose(60, 2 + j)) for j in range(9))
+    rows = [(1, f"{shared}\n{own}\nfirst edition"), (2, f"{shared}\n{own}\nsecond edition of it")]
+    assert all(found[2] == 0 for found in lines_of(frame(rows)).values())
+    rows.append((3, f"{shared}\n{plain(prose(100, 50))}"))
+    found = lines_of(frame(rows))
+    assert [found[i][2] for i in (1, 2, 3)] == [1, 1, 1]
+    assert all(shared not in text for text, *_ in found.values())
+
+
+def test_digits_count_as_general_and_two_words_may_vary(frame, prose):
+    def line(i):
+        return f"{i} {i + 3} paid to the account of {'abcdefgh'[i]}x {'abcdefgh'[i]}y {7 * i} {i}"
+
+    rows = [(i, f"{line(i)}\n{plain(prose(30, i))}") for i in range(8)]
+    assert {v[2] for v in lines_of(frame(rows)).values()} == {1}
+
+
+def test_very_long_texts(frame, prose):
+    own = [[plain(prose(12, 10_000 * i + j, 3000)) for j in range(3000)] for i in range(2)]
+    shared = plain(prose(55, 9))
+    rows = [(i, "\n".join([*own[i], shared])) for i in range(2)] + [(2, plain(prose(40_000, 5, 3000)))]
+    found = lines_of(frame(rows))
+    assert [found[i] for i in range(2)] == [("\n".join(own[i]), 3001, 1) for i in range(2)]
+    assert found[2] == (rows[2][1], 1, 0)
+
+
+def test_near_copies_and_lines_of_texts(frame, prose):
+    a, b = prose(60, 1), prose(60, 2)
+    docs = frame([(1, a), (2, a + " end"), (3, a), (4, b), (5, b), (6, None), (7, ""), (8, " \n")])
+    assert len({r.source for r in near_copies(docs).collect()}) == 1 and near_copies(docs).count() == 2
+    lines = recurring_leaves(frame([(1, "a b\nc"), (2, "c\n\nd e f"), (3, "c")]), min_docs=2).collect()
+    assert sorted((r.line, r.words, r.text_words) for r in lines) == [(0, 1, 1), (0, 1, 4), (1, 1, 3)]
