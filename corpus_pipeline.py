@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from candlemill.llm.common import saved, table, work_tables
 from candlemill.llm.jaccard_join import jaccard_rows, text_row
-from candlemill.llm.line_dedup import drop_templates, near_copies
+from candlemill.llm.line_dedup import drop_templates
 from candlemill.llm.mixing import mix
 from candlemill.llm.packing import pack
 from candlemill.llm.queries import tokenizer_path
@@ -37,9 +37,10 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """All documents, without the lines whose template recurs across documents.
 
     Near copies count as one document, so what only they share stays. Only a near copy may
-    keep lines that recur elsewhere: if they are more than half of its words.
+    keep lines that recur elsewhere: if they are more than half of its words. Null and empty
+    texts and repeated rows stay as they are.
     """
-    return _counted(drop_templates(docs, copies=near_copies(docs)).select(*docs.columns))
+    return _counted(drop_templates(docs).select(*docs.columns))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
