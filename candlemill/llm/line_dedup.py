@@ -29,6 +29,9 @@ LONG_WORDS = 50
 LONG_DOCS = 2
 # Part of a line's tokens that must be constant or hold a digit, by hundredths.
 MIN_CONSTANT = 70
+# Part of a line's tokens that must be constant alone, by hundredths: rows of numbers that
+# share a word or two are no template.
+MIN_HELD = 25
 # A near copy of which more than this part of the words (by hundredths) would go keeps its lines.
 MOST_DROPPED = 50
 
@@ -153,6 +156,7 @@ def template_lines(
     min_docs: int = MIN_DOCS,
     long_docs: int = LONG_DOCS,
     min_constant: int = MIN_CONSTANT,
+    min_held: int = MIN_HELD,
     copies: DataFrame | None = None,
 ) -> DataFrame:
     """(text_key, leaf, words, line, text_words) of those ``lines`` whose template recurs.
@@ -162,9 +166,9 @@ def template_lines(
     tokens: those without a digit that enough documents have at their position, which is
     ``long_docs`` for a line of more than LONG_WORDS words and ``min_docs`` for others. It
     recurs if as many documents have it, and at least ``min_constant`` hundredths of the
-    line's tokens are constant or, with a digit, general; one at least is constant. All
-    counts are of rows made distinct first, so a line in very many documents is reduced in
-    each task.
+    line's tokens are constant or, with a digit, general, and ``min_held`` hundredths, one at
+    least, are constant. All counts are of rows made distinct first, so a line in very many
+    documents is reduced in each task.
     """
     needed = _needed(min_docs, long_docs)
     if copies is None:
@@ -187,6 +191,7 @@ def template_lines(
         .groupBy(*kept, "plain")
         .agg(F.count("*").alias("held"), F.bit_xor(F.xxhash64("position", "token")).alias("code"))
         .where((F.col("held") + F.col("words") - F.col("plain")) * 100 >= F.col("words") * min_constant)
+        .where(F.col("held") * 100 >= F.col("words") * min_held)
     )
     template = ["leaf", "held", "code"]
     templates = saved(templates, "templates")
@@ -201,6 +206,7 @@ def drop_templates(
     min_docs: int = MIN_DOCS,
     long_docs: int = LONG_DOCS,
     min_constant: int = MIN_CONSTANT,
+    min_held: int = MIN_HELD,
     most_dropped: int = MOST_DROPPED,
 ) -> DataFrame:
     """``docs`` (doc_id, text, ...) with ``n_lines``, ``n_dropped`` and the text that is left.
@@ -217,7 +223,7 @@ def drop_templates(
     further columns of any name but ``n_lines`` and ``n_dropped`` are handed on.
     """
     lines = recurring_leaves(docs, depth, min_docs, long_docs)
-    found = saved(template_lines(lines, min_docs, long_docs, min_constant), "found")
+    found = saved(template_lines(lines, min_docs, long_docs, min_constant, min_held), "found")
     heavy = F.sum("words") * 100 > F.first("text_words") * most_dropped
     losing = found.groupBy("text_key").agg(((F.max("words") > LONG_WORDS) | heavy).alias("much"))
     losing = saved(losing.where("much").select("text_key"), "losing")
@@ -226,7 +232,8 @@ def drop_templates(
     # Another count is due only in leaves with a line of a near copy.
     touched = lines.join(copies, "text_key", "left_semi").select("leaf").distinct()
     touched = saved(touched, "touched")
-    again = template_lines(semi_join(lines, touched, "leaf"), min_docs, long_docs, min_constant, copies)
+    again = semi_join(lines, touched, "leaf")
+    again = template_lines(again, min_docs, long_docs, min_constant, min_held, copies)
     found = found.join(touched, "leaf", "left_anti").unionByName(again)
     # The lines of one text at most.
     gone = found.groupBy("text_key").agg(F.collect_set("line").alias("gone"), heavy.alias("heavy"))

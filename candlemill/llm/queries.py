@@ -121,7 +121,7 @@ templates{n} AS (
          list((position, token) ORDER BY position) AS template
   FROM tokens{n} JOIN constant{n} USING (words, head, position, token)
   GROUP BY text, source, line, words, head, needed, fields
-  HAVING (count(*) + fields) * 100 >= words * 70),
+  HAVING (count(*) + fields) * 100 >= words * 70 AND count(*) * 100 >= words * 25),
 often{n} AS (
   SELECT words, head, template FROM templates{n}
   GROUP BY words, head, template, needed HAVING count(DISTINCT source) >= needed),

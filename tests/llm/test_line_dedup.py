@@ -93,6 +93,11 @@ def test_digits_count_as_general_and_two_words_may_vary(frame, prose):
     assert {v[2] for v in lines_of(frame(rows)).values()} == {1}
 
 
+def test_rows_of_numbers_with_a_common_word_stay(frame, prose):
+    rows = [(i, f"{prose(12, i)} total\n{prose(60, 90 + i)} end") for i in range(8)]
+    assert {v[2] for v in lines_of(frame(rows)).values()} == {0}
+
+
 def test_very_long_texts(frame, prose):
     own = [[plain(prose(12, 10_000 * i + j, 3000)) for j in range(3000)] for i in range(2)]
     shared = plain(prose(55, 9))
