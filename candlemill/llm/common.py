@@ -16,7 +16,7 @@ from candlemill.session import fresh_dir
 
 # A list of ids is broadcast up to this many; a shuffle join does the same work beyond it.
 BROADCAST_IDS = 1_000_000
-
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _shipped: set[str] = set()
 
@@ -62,14 +62,21 @@ def saved(df: DataFrame, label: str, outlives: bool = False) -> DataFrame:
     """``df`` written once below ``spark.checkpoint.dir`` and read back.
 
     Later steps read files that every executor can reach instead of repeating the work,
-    and a lost executor loses nothing of them.
+    and a lost executor loses nothing of them. The query's shuffle files go when it ends,
+    not when the driver next collects its garbage.
     """
     spark = df.sparkSession
     path = fresh_dir(spark, label)
     scopes = _open[:-1] if outlives else _open
     if scopes:
         scopes[-1].append(path)
-    df.write.parquet(path)
+    # What the query shuffled is of no use once its result is written.
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

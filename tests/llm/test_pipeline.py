@@ -79,6 +79,24 @@ def test_work_tables_are_deleted_but_for_what_outlives_them(spark):
     assert not files[1].exists()
 
 
+def test_shuffle_files_of_a_saved_table_are_deleted(spark):
+    import time
+
+    from candlemill.llm.common import SHUFFLE_CLEANUP, saved
+
+    def shuffled():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        files = manager.getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.endswith(".data")}
+
+    before, setting = shuffled(), spark.conf.get(SHUFFLE_CLEANUP)
+    assert len(saved(spark.range(1000).repartition(3, "id"), "a").collect()) == 1000
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before and spark.conf.get(SHUFFLE_CLEANUP) == setting
+
+
 def test_whole_run(spark, frame, prose, tmp_path):
     _, sf_dir = saved_tables(spark, frame, prose, tmp_path)
     found = C.run(spark, sf_dir).collect()
