@@ -34,6 +34,9 @@ MIN_CONSTANT = 70
 MIN_HELD = 25
 # A near copy of which more than this part of the words (by hundredths) would go keeps its lines.
 MOST_DROPPED = 50
+# Tokens in all lines of a leaf up to which one task counts it, and of leaves counted at once.
+LEAF_TOKENS = 1 << 20
+TASK_TOKENS = 1 << 19
 
 _NEWLINE = 0x0A
 _DIGIT = np.zeros(256, bool)
@@ -42,6 +45,9 @@ _FIELD = U64(0xF1E1D)
 _KEY = "text_key struct<t1: long, t2: long>"
 _LEAF = ["text_key", "leaf", "words"]
 _LINE = [*_LEAF, "line", "text_words", "tokens"]
+_FOUND = [*_LEAF, "line", "text_words"]
+_SOURCED = [*_FOUND, "source", "tokens"]
+_FOUND_SCHEMA = f"{_KEY}, leaf long, words int, line int, text_words int"
 _LEAF_SCHEMA = f"{_KEY}, leaf long, words int"
 _LINE_SCHEMA = f"{_LEAF_SCHEMA}, line int, text_words int, tokens array<long>"
 
@@ -142,7 +148,7 @@ def recurring_leaves(
     leaves = leaves.groupBy("leaf", "words").count()
     leaves = leaves.where(F.col("count") >= _needed(min_docs, long_docs)).select("leaf")
     parsed = texts.mapInArrow(_parse(depth, True), _LINE_SCHEMA)
-    lines = parsed.join(saved(leaves, "leaves"), "leaf").dropDuplicates(["text_key", "line"])
+    lines = semi_join(parsed, saved(leaves.distinct(), "leaves"), "leaf").dropDuplicates(["text_key", "line"])
     return saved(lines.select(*_LINE), "lines")
 
 
@@ -167,17 +173,33 @@ def template_lines(
     ``long_docs`` for a line of more than LONG_WORDS words and ``min_docs`` for others. It
     recurs if as many documents have it, and at least ``min_constant`` hundredths of the
     line's tokens are constant or, with a digit, general, and ``min_held`` hundredths, one at
-    least, are constant. All counts are of rows made distinct first, so a line in very many
-    documents is reduced in each task.
+    least, are constant. Lines are shuffled by leaf and counted there; in a leaf of very many
+    tokens they are counted by joins, of rows made distinct first, so that no task has all
+    of a line in very many documents.
     """
-    needed = _needed(min_docs, long_docs)
     if copies is None:
         lines = lines.withColumn("source", F.col("text_key"))
     else:
         known = F.broadcast(copies) if copies.count() <= BROADCAST_IDS else copies
         lines = lines.join(known, "text_key", "left")
         lines = lines.withColumn("source", F.coalesce("source", "text_key"))
-
+    # A leaf within the bound is counted by one task; the tokens of a larger one are spread.
+    of_leaf = lines.groupBy("leaf").agg(F.sum("words").alias("tokens"))
+    large = saved(of_leaf.where(F.col("tokens") > LEAF_TOKENS).select("leaf"), "large")
+    within = lines.join(large, "leaf", "left_anti").select(*_SOURCED)
+    within = within.repartition("leaf").sortWithinPartitions("leaf", "words")
+    within = within.mapInArrow(_within_leaves(min_docs, long_docs, min_constant, min_held), _FOUND_SCHEMA)
+    if large.isEmpty():
+        return within
+    spread = _spread_leaves(semi_join(lines, large, "leaf"), min_docs, long_docs, min_constant, min_held)
+    return within.unionByName(spread)
+
+
+def _spread_leaves(
+    lines: DataFrame, min_docs: int, long_docs: int, min_constant: int, min_held: int
+) -> DataFrame:
+    """``template_lines`` by joins over single tokens: for leaves of any size."""
+    needed = _needed(min_docs, long_docs)
     field = F.lit(int(_FIELD))
     kept = ["text_key", "source", "leaf", "words", "line", "text_words"]
     plain = F.size(F.filter("tokens", lambda t: t != field)).alias("plain")
@@ -197,7 +219,78 @@ def template_lines(
     templates = saved(templates, "templates")
     often = templates.select("source", "words", *template).distinct().groupBy("words", *template).count()
     often = saved(often.where(F.col("count") >= needed).select(*template), "often")
-    return semi_join(templates, often, template).select("text_key", "leaf", "words", "line", "text_words")
+    return semi_join(templates, often, template).select(*_FOUND)
+
+
+def _within_leaves(min_docs: int, long_docs: int, min_constant: int, min_held: int):
+    """A mapInArrow function over lines sorted by leaf: ``template_lines`` of whole leaves."""
+
+    def found(lines: pa.Table) -> Iterator[pa.RecordBatch]:
+        kept = _recurring(lines, min_docs, long_docs, min_constant, min_held)
+        yield from lines.select(_FOUND).take(pa.array(kept)).combine_chunks().to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # Up to the beginning of the batch's last leaf everything is there.
+            leaf = batch.column(_SOURCED.index("leaf")).to_numpy()
+            last = held[-1].column(_SOURCED.index("leaf"))[-1].as_py() if held else leaf[0]
+            cut = int(np.flatnonzero(leaf != leaf[-1])[-1] + 1) if leaf[0] != leaf[-1] else 0
+            tokens = int(batch.column(_SOURCED.index("words")).to_numpy().sum(dtype=np.int64))
+            if size + tokens > TASK_TOKENS and held and (cut or last != leaf[-1]):
+                yield from found(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held, size, batch = [], 0, batch.slice(cut)
+                tokens = int(batch.column(_SOURCED.index("words")).to_numpy().sum(dtype=np.int64))
+            held.append(batch)
+            size += tokens
+        if held:
+            yield from found(pa.Table.from_batches(held))
+
+    return run
+
+
+def _recurring(
+    lines: pa.Table, min_docs: int, long_docs: int, min_constant: int, min_held: int
+) -> np.ndarray:
+    """Places of those of some leaves' lines whose template recurs."""
+    lines = lines.combine_chunks()
+    leaf, words = (lines.column(c).to_numpy() for c in ("leaf", "words"))
+    source = lines.column("source").combine_chunks()
+    t1, t2 = (np.asarray(source.field(c)).view(U64) for c in ("t1", "t2"))
+    source = mix(t1 + mix(t2))
+    tokens = lines.column("tokens").combine_chunks().flatten().to_numpy().view(U64)
+    needed = np.where(words > LONG_WORDS, long_docs, min_docs)
+    cuts = np.cumsum(words, dtype=np.int64) - words
+    line = np.repeat(np.arange(len(words)), words)
+    position = np.arange(len(tokens)) - cuts[line]
+    place = mix(leaf.view(U64) + words.astype(U64))[line] + position.astype(U64) * U64(3)
+    key = mix(tokens + mix(place))
+    plain = np.flatnonzero(tokens != _FIELD)
+    constant = np.zeros(len(tokens), bool)
+    constant[plain] = _sources(key[plain], source[line[plain]]) >= needed[line[plain]]
+    held = np.add.reduceat(constant.astype(np.int64), cuts)
+    code = np.add.reduceat(np.where(constant, key, U64(0)), cuts)
+    fields = words - np.bincount(line[plain], minlength=len(words))
+    kept = (held + fields) * 100 >= words.astype(np.int64) * min_constant
+    kept = np.flatnonzero(kept & (held * 100 >= words.astype(np.int64) * min_held) & (held > 0))
+    template = mix(code[kept] + mix(leaf[kept].view(U64) + held[kept].astype(U64)))
+    return kept[_sources(template, source[kept]) >= needed[kept]]
+
+
+def _sources(key: np.ndarray, source: np.ndarray) -> np.ndarray:
+    """For each place the number of different sources that its key has in all."""
+    order = np.lexsort((source, key))
+    key, source = key[order], source[order]
+    fresh = np.ones(len(key), bool)
+    fresh[1:] = key[1:] != key[:-1]
+    number = np.cumsum(fresh) - 1
+    fresh[1:] |= source[1:] != source[:-1]
+    out = np.empty(len(key), np.int64)
+    out[order] = np.bincount(number, fresh)[number] if len(key) else 0
+    return out
 
 
 def drop_templates(

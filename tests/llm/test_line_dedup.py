@@ -1,5 +1,6 @@
 """Line dedup on lines with variable fields; whole tables are compared with SQL."""
 
+from candlemill.llm import line_dedup as L
 from candlemill.llm.line_dedup import drop_templates, near_copies, recurring_leaves
 
 
@@ -113,3 +114,29 @@ def test_near_copies_and_lines_of_texts(frame, prose):
     assert len({r.source for r in near_copies(docs).collect()}) == 1 and near_copies(docs).count() == 2
     lines = recurring_leaves(frame([(1, "a b\nc"), (2, "c\n\nd e f"), (3, "c")]), min_docs=2).collect()
     assert sorted((r.line, r.words, r.text_words) for r in lines) == [(0, 1, 1), (0, 1, 4), (1, 1, 3)]
+
+
+def test_leaves_counted_by_one_task_and_by_joins_agree(frame, prose, monkeypatch):
+    def line(i):
+        return f"{i} {i + 3} paid to the account of {'abcdefgh'[i % 8]}x {'abcdefgh'[i // 8]}y {7 * i} {i}"
+
+    rows = [(i, f"{line(i)}\nsame {'ab'[i % 2]} words\n{plain(prose(30, i, 9))}\n{plain(prose(8, i // 3, 4))}") for i in range(40)]
+    lines = L.saved(recurring_leaves(frame(rows)), "lines")
+    copies = L.saved(lines.selectExpr("text_key").distinct().orderBy("text_key").limit(9).selectExpr("text_key", "min(text_key) OVER () AS source"), "copies")
+    for known in (None, copies):
+        found = []
+        for leaf, task in ((1 << 20, 1 << 19), (1 << 20, 60), (100, 1 << 19), (0, 0)):
+            monkeypatch.setattr(L, "LEAF_TOKENS", leaf)
+            monkeypatch.setattr(L, "TASK_TOKENS", task)
+            found.append(sorted(map(str, L.template_lines(lines, copies=known).collect())))
+        assert len(found[0]) > 30 and all(f == found[0] for f in found)
+
+
+def test_only_leaves_of_very_many_tokens_are_counted_by_joins(frame, prose, monkeypatch):
+    lines = L.saved(recurring_leaves(frame([(i, f"one line of all\n{plain(prose(9, i))}") for i in range(9)])), "lines")
+    given = []
+    spread = L._spread_leaves
+    monkeypatch.setattr(L, "_spread_leaves", lambda rows, *most: given.append(rows.count()) or spread(rows, *most))
+    for most, spread_lines in ((36, []), (35, [9])):
+        monkeypatch.setattr(L, "LEAF_TOKENS", most)
+        assert L.template_lines(lines).count() == 9 and given == spread_lines
