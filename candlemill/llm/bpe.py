@@ -26,8 +26,9 @@ from candlemill.llm.words import utf8_runs
 
 # Texts are cut into blocks of about this many bytes; a longer text is a block of its own.
 BLOCK_BYTES = 16 << 20
-# The rows that a block gives back are handed on in parts of about this many ids.
-_PART_IDS = 1 << 20
+# The rows that a block gives back are handed on in parts of about this many ids: both Python
+# processes of a task hold several arrays of that length at once.
+_PART_IDS = 1 << 18
 
 # Kinds of characters: white space, letters, numbers, others; special tokens come after.
 _WHITE, _LETTER, _NUMBER, _OTHER, _SPECIAL = range(5)

@@ -96,3 +96,11 @@ def test_blocks_read_differently_are_refused():
 def test_other_kinds_of_tokenizers_are_refused(frame):
     with pytest.raises(ValueError):
         B.encode(frame([]), tokenizer_path("word_bpe_49k.json"))
+
+
+def test_ids_are_decoded_in_small_parts():
+    ids = pa.array([[i % 7 for i in range(1000)]] * 600, pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(600), pa.int64()), ids], ["doc_id", "ids"])
+    parts = list(B._join_pieces(pa.array([b"ab"] * 7, pa.large_binary()))(iter([batch])))
+    assert max(len(p.column(1).flatten()) for p in parts) <= 300_000
+    assert [t for p in parts for t in p.column(2).to_pylist()] == ["ab" * 1000] * 600
