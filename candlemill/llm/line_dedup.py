@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from candlemill.llm.common import BROADCAST_IDS, saved, semi_join, work_tables
 from candlemill.llm.jaccard_join import jaccard_rows
-from candlemill.llm.words import U64, mix, utf8_runs, word_hashes
+from candlemill.llm.words import U64, mix, some_hashes, utf8_runs, word_starts
 
 # Leading tokens that a leaf is chosen by.
 DEPTH = 3
@@ -37,10 +37,10 @@ MOST_DROPPED = 50
 # Tokens in all lines of a leaf up to which one task counts it, and of leaves counted at once.
 LEAF_TOKENS = 1 << 20
 TASK_TOKENS = 1 << 19
+# Bits, a power of two from 32,768 on, that tell tasks which leaves recur: 512 KB.
+LEAF_BITS = 1 << 22
 
 _NEWLINE = 0x0A
-_DIGIT = np.zeros(256, bool)
-_DIGIT[0x30:0x3A] = True
 _FIELD = U64(0xF1E1D)
 _KEY = "text_key struct<t1: long, t2: long>"
 _LEAF = ["text_key", "leaf", "words"]
@@ -52,61 +52,81 @@ _LEAF_SCHEMA = f"{_KEY}, leaf long, words int"
 _LINE_SCHEMA = f"{_LEAF_SCHEMA}, line int, text_words int, tokens array<long>"
 
 
-def _lines_of(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray, ...]:
-    """Lines with a token in a run of texts: (text, line number, leaf, tokens, cuts).
+def _tokens_of(data: np.ndarray, starts: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Hashes of these words, and of any with a digit the same one."""
+    hashes, digits = some_hashes(data, starts, some)
+    return np.where(digits, _FIELD, hashes)
 
-    ``tokens`` holds those of all lines one after the other, ``cuts`` where each begins.
+
+def _leaves_of(data: np.ndarray, starts: np.ndarray, cut: np.ndarray, depth: int) -> np.ndarray:
+    """The leaf of each line, whose first words are at ``cut`` in ``starts``."""
+    count = np.diff(cut, append=len(starts))
+    place = np.arange(depth)
+    there = place < count[:, None]
+    parts = np.zeros(there.shape, U64)
+    parts[there] = mix(_tokens_of(data, starts, (cut[:, None] + place)[there]))
+    parts *= U64(3) + U64(2) * place.astype(U64)
+    return mix(count.astype(U64) + parts.sum(axis=1, dtype=U64))
+
+
+def _parse(depth: int, among: np.ndarray | None = None):
+    """A mapInArrow function from (text_key, text) to the leaves of each text.
+
+    With ``among``, bits of leaves (see ``_leaf_bits``), it gives whole lines instead, those
+    of its leaves: only their words are hashed beyond the leading ones.
     """
-    hashes, first = word_hashes(data, offsets, lower=False)
-    if not len(hashes):
-        none = np.zeros(0, np.int64)
-        return none, none, none.astype(U64), none.astype(U64), np.zeros(1, np.int64)
-    space = np.isin(data, [0x20, *range(0x09, 0x0E)])
-    begins = ~space
-    begins[1:] &= space[:-1]
-    edges = offsets[:-1][offsets[:-1] < len(data)]
-    begins[edges] = ~space[edges]
-    starts = np.flatnonzero(begins)
-    digits = np.add.reduceat(_DIGIT[data].astype(np.int64), starts) > 0
-    tokens = np.where(digits, _FIELD, hashes)
-    newlines = np.concatenate([[0], np.cumsum(data == _NEWLINE)])
-    line = newlines[starts]
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    cut = np.flatnonzero((np.diff(line, prepend=-1) != 0) | (np.diff(text, prepend=-1) != 0))
-    cuts = np.append(cut, len(tokens))
-    count = np.diff(cuts)
-    leaf = count.astype(U64)
-    for place in range(depth):
-        at = np.minimum(cut + place, len(tokens) - 1)
-        leaf += np.where(count > place, mix(tokens[at]) * U64(3 + 2 * place), U64(0))
-    text = text[cut]
-    return text, line[cut] - newlines[offsets[text]], mix(leaf), tokens, cuts
-
-
-def _parse(depth: int, with_tokens: bool):
-    """A mapInArrow function from (text_key, text) to the leaves or the lines of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, _, data, offsets in utf8_runs(batch.column(1)):
-                text, line, leaf, tokens, cuts = _lines_of(data, offsets, depth)
-                words = np.diff(cuts)
-                key = batch.column(0).take(pa.array(text + at))
-                columns = [key, pa.array(leaf.view(np.int64)), pa.array(words.astype(np.int32))]
-                if not with_tokens:
+                starts = word_starts(data, offsets)
+                if not len(starts):
+                    continue
+                # A line with a token begins at a text's or a line's first word.
+                newlines = np.flatnonzero(data == _NEWLINE)
+                edges = np.searchsorted(starts, np.concatenate([offsets[:-1], newlines]))
+                cut = np.unique(edges[edges < len(starts)])
+                leaf = _leaves_of(data, starts, cut, depth)
+                words = np.diff(cut, append=len(starts))
+                text = np.searchsorted(offsets, starts[cut], "right") - 1
+                kept = np.arange(len(cut))
+                if among is not None:
+                    place = (leaf & U64(LEAF_BITS - 1)).astype(np.int64)
+                    kept = np.flatnonzero(among[place >> 3] >> (place & 7) & 1)
+                key = batch.column(0).take(pa.array(text[kept] + at))
+                columns = [key, pa.array(leaf[kept].view(np.int64)), pa.array(words[kept].astype(np.int32))]
+                if among is None:
                     yield pa.RecordBatch.from_arrays(columns, names=_LEAF)
                     continue
-                in_text = np.zeros(len(offsets) - 1, np.int32)
-                np.add.at(in_text, text, words.astype(np.int32))
+                in_text = np.diff(np.searchsorted(starts, offsets)).astype(np.int32)
+                line = np.searchsorted(newlines, starts[cut[kept]])
+                line -= np.searchsorted(newlines, offsets[text[kept]])
+                cuts = np.concatenate([[0], np.cumsum(words[kept])])
+                some = np.repeat(cut[kept] - cuts[:-1], words[kept]) + np.arange(cuts[-1])
+                tokens = _tokens_of(data, starts, some)
                 lists = pa.ListArray.from_arrays(
                     pa.array(cuts.astype(np.int32)), pa.array(tokens.view(np.int64))
                 )
-                columns += [pa.array(line.astype(np.int32)), pa.array(in_text[text]), lists]
+                columns += [pa.array(line.astype(np.int32)), pa.array(in_text[text[kept]]), lists]
                 yield pa.RecordBatch.from_arrays(columns, names=_LINE)
 
     return run
 
 
+def _leaf_bits(leaves: DataFrame) -> np.ndarray:
+    """LEAF_BITS bits, set at the low ones of each of these leaves.
+
+    Other leaves may share a bit, so lines found by it are joined with the leaves themselves.
+    """
+    place = F.col("leaf").bitwiseAND(LEAF_BITS - 1) + 1
+    parts = leaves.groupBy(F.bitmap_bucket_number(place).alias("part"))
+    parts = parts.agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    out = np.zeros(LEAF_BITS // 8, np.uint8)
+    for part, bits in parts:
+        out[(part - 1) * len(bits) : part * len(bits)] = np.frombuffer(bits, np.uint8)
+    return out
+
+
 def _text_key(docs: DataFrame):
     """Two hashes of the text: with one, some texts of a very large table would be confused."""
     return F.struct(
@@ -144,11 +164,12 @@ def recurring_leaves(
     """
     texts = docs.where("text IS NOT NULL").select(_text_key(docs), "text")
     # Only leaves, and later only lines of recurring leaves, go through a shuffle.
-    leaves = texts.mapInArrow(_parse(depth, False), _LEAF_SCHEMA).distinct()
+    leaves = texts.mapInArrow(_parse(depth), _LEAF_SCHEMA).distinct()
     leaves = leaves.groupBy("leaf", "words").count()
     leaves = leaves.where(F.col("count") >= _needed(min_docs, long_docs)).select("leaf")
-    parsed = texts.mapInArrow(_parse(depth, True), _LINE_SCHEMA)
-    lines = semi_join(parsed, saved(leaves.distinct(), "leaves"), "leaf").dropDuplicates(["text_key", "line"])
+    leaves = saved(leaves.distinct(), "leaves")
+    parsed = texts.mapInArrow(_parse(depth, _leaf_bits(leaves)), _LINE_SCHEMA)
+    lines = semi_join(parsed, leaves, "leaf").dropDuplicates(["text_key", "line"])
     return saved(lines.select(*_LINE), "lines")
 
 

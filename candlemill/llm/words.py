@@ -15,6 +15,8 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_DIGIT = np.zeros(256, bool)
+_DIGIT[0x30:0x3A] = True
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -64,6 +66,16 @@ def utf8_runs(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
         at = to
 
 
+def word_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the words of a run begin, those of all its texts in order."""
+    space = _SPACE[data]
+    begins = ~space
+    begins[1:] &= space[:-1]
+    edges = offsets[:-1][offsets[:-1] < len(data)]
+    begins[edges] = ~space[edges]
+    return np.flatnonzero(begins)
+
+
 def word_hashes(
     data: np.ndarray, offsets: np.ndarray, lower: bool = True
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -73,12 +85,7 @@ def word_hashes(
     """
     if not len(data):
         return np.zeros(0, U64), np.zeros(len(offsets), np.int64)
-    space = _SPACE[data]
-    begins = ~space
-    begins[1:] &= space[:-1]
-    edges = offsets[:-1][offsets[:-1] < len(data)]
-    begins[edges] = ~space[edges]
-    starts = np.flatnonzero(begins)
+    starts = word_starts(data, offsets)
     if not len(starts):
         return np.zeros(0, U64), np.zeros(len(offsets), np.int64)
     values = (_LOWER if lower else _BYTE)[data] * powers(_BASE, len(data))
@@ -87,6 +94,22 @@ def word_hashes(
     return mix(hashes), np.searchsorted(starts, offsets).astype(np.int64)
 
 
+def some_hashes(data: np.ndarray, starts: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``word_hashes`` of some of a run's words, as they are written, and which hold a digit.
+
+    ``some`` are places in ``starts``. Only these words' bytes are looked at.
+    """
+    if not len(some):
+        return np.zeros(0, U64), np.zeros(0, bool)
+    begin = starts[some]
+    length = np.append(starts, len(data))[some + 1] - begin
+    first = np.cumsum(length) - length
+    within = np.arange(int(length.sum())) - np.repeat(first, length)
+    taken = data[np.repeat(begin, length) + within]
+    values = _BYTE[taken] * powers(_BASE, int(length.max()))[within]
+    return mix(np.add.reduceat(values, first)), np.logical_or.reduceat(_DIGIT[taken], first)
+
+
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
     """For each text the sorted distinct hashes of its ``width``-word shingles.
 

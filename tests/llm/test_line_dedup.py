@@ -1,7 +1,11 @@
 """Line dedup on lines with variable fields; whole tables are compared with SQL."""
 
+import numpy as np
+import pyarrow as pa
+
 from candlemill.llm import line_dedup as L
 from candlemill.llm.line_dedup import drop_templates, near_copies, recurring_leaves
+from candlemill.llm.words import some_hashes, word_hashes, word_starts
 
 
 def plain(text):
@@ -140,3 +144,35 @@ def test_only_leaves_of_very_many_tokens_are_counted_by_joins(frame, prose, monk
     for most, spread_lines in ((36, []), (35, [9])):
         monkeypatch.setattr(L, "LEAF_TOKENS", most)
         assert L.template_lines(lines).count() == 9 and given == spread_lines
+
+
+def test_some_words_have_the_hashes_of_all_words():
+    texts = ["one 2two  thrée\n\tfour5", "", " \n", "five", "six seven"]
+    joined = [t.encode() for t in texts]
+    data = np.frombuffer(b"".join(joined), np.uint8)
+    offsets = np.cumsum([0, *map(len, joined)])
+    starts = word_starts(data, offsets)
+    hashes, digits = some_hashes(data, starts, np.arange(len(starts)))
+    assert hashes.tolist() == word_hashes(data, offsets, lower=False)[0].tolist()
+    assert digits.tolist() == [False, True, False, True, False, False, False]
+    for some in ([], [0], [6], [1, 4, 5]):
+        assert some_hashes(data, starts, np.array(some, int))[0].tolist() == hashes[some].tolist()
+
+
+def test_only_leading_words_and_lines_of_recurring_leaves_are_hashed(spark, prose, monkeypatch):
+    lines = [f"{plain(prose(20, i))}" for i in range(30)]
+    texts = ["\n\n".join(lines[:10]), None, "\n".join(lines[10:]), ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4)), pa.array(texts)], names=["text_key", "text"])
+    leaves = pa.Table.from_batches(L._parse(3)([batch])).to_pydict()
+    wanted = leaves["leaf"][4:6] + leaves["leaf"][20:21]
+    among = L._leaf_bits(spark.createDataFrame([(leaf,) for leaf in wanted], "leaf long"))
+    assert np.unpackbits(among).sum() == 3 and not L._leaf_bits(spark.createDataFrame([], "leaf long")).any()
+    hashed = []
+    monkeypatch.setattr(L, "some_hashes", lambda data, starts, some: hashed.append(len(some)) or some_hashes(data, starts, some))
+    found = pa.Table.from_batches(L._parse(3, among)([batch])).to_pydict()
+    assert sum(hashed) == 30 * 3 + 3 * 20
+    assert (found["leaf"], found["line"], found["text_key"]) == (wanted, [8, 10, 10], [0, 0, 2])
+    assert found["text_words"] == [200, 200, 400] and [len(t) for t in found["tokens"]] == [20] * 3
+    data = np.frombuffer(lines[20].encode(), np.uint8)
+    every = word_hashes(data, np.array([0, len(data)]), lower=False)[0]
+    assert found["tokens"][2] == every.view(np.int64).tolist()
