@@ -33,10 +33,6 @@ def _seeds(count: int) -> list[int]:
     return [rng.getrandbits(62) for _ in range(count)]
 
 
-def n_words(text: Column) -> Column:
-    return F.size(F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)))
-
-
 def with_kmers(df: DataFrame, text: str, name: str) -> DataFrame:
     """Adds ``{name}_kmers``: hashes of k-mer and occurrence in the order of the text.
 
@@ -47,12 +43,12 @@ def with_kmers(df: DataFrame, text: str, name: str) -> DataFrame:
     low, place = -(1 << _PLACE_BITS), (1 << _PLACE_BITS) - 1
     df = df.withColumn(c["words"], F.regexp_extract_all(text, F.lit(_WORD), 0))
     # The first k-mers take in the edge of the text, so every word ends one.
-    hashed = "transform({w}, w -> xxhash64(w))"
+    hashed, h = "{w}", "xxhash64(h)"
     for j in range(1, KMER):
         earlier = f"concat(array_repeat('', least({j}, size({{w}}))), slice({{w}}, 1, greatest(0, size({{w}}) - {j})))"
-        hashed = f"zip_with({hashed}, {earlier}, (h, w) -> xxhash64(h, w))"
+        hashed, h = f"zip_with({hashed}, {earlier}, (h, w) -> xxhash64({h}, w))", "h"
     # Hash above, place in the text below: sorted, equal k-mers lie side by side in order.
-    packed = f"sort_array(transform({hashed}, (h, i) -> (h & {low}L) | i))"
+    packed = f"sort_array(transform({hashed}, (h, i) -> ({h} & {low}L) | i))"
     df = df.withColumn(c["packed"], F.expr(packed.replace("{w}", c["words"])))
     p = c["packed"]
     starts = (
@@ -63,7 +59,7 @@ def with_kmers(df: DataFrame, text: str, name: str) -> DataFrame:
     r = c["runs"]
     occurrence = (
         f"flatten(zip_with({r}, concat(slice({r}, 2, size({r})), array(size({p}))),"
-        " (a, b) -> sequence(0, b - a - 1)))"
+        " (a, b) -> if(b - a = 1, array(0), sequence(0, b - a - 1))))"
     )
     # Place above, hash of k-mer and occurrence below: sorted, they are in the order of the text.
     marked = (
@@ -76,54 +72,77 @@ def with_kmers(df: DataFrame, text: str, name: str) -> DataFrame:
     return df.withColumnRenamed(c["kmers"], f"{name}_kmers").drop(*(v for k, v in c.items() if k != "kmers"))
 
 
-def with_minima(df: DataFrame, kmers: str, name: str, begin: str | None = None, end: str | None = None) -> DataFrame:
-    """Adds ``name``: the two minima of each component over a part of the k-mers.
+def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Adds ``name``: COMPONENTS hashes of the text column, none for a text without words.
 
-    The part goes from ``begin`` up to ``end``, columns that count k-mers; all where there
-    are none. A minimum is its hash, its place in the text and its k-mer.
+    Each row by itself, in interpreted lambdas. ``with_prints`` is the form for large tables.
     """
-    part = kmers
-    if begin is not None:
-        part = f"slice({kmers}, {begin} + 1, greatest(0, size({kmers}) - {begin}))"
-    elif end is not None:
-        part = f"slice({kmers}, 1, {end})"
-    df = df.withColumn(f"_{name}_part", F.expr(part))
-    s, before = f"_{name}_part", begin or "0"
+    df = with_kmers(df, text, name)
+    s = f"{name}_kmers"
     found = ", ".join(
         f"transform(array(transform({s}, k -> xxhash64(k, {seed}L))), a ->"
-        f" transform(transform(filter(transform(array(array_min(a)), m -> array(m, array_min(array_remove(a, m))))[0],"
-        " h -> h IS NOT NULL), h -> named_struct('h', h, 'p', array_position(a, h))),"
-        f" x -> named_struct('h', x.h, 'p', shiftleft(x.p + {before}, {_HASH_BITS}) | element_at({s}, int(x.p)))))[0]"
+        f" transform(filter(transform(array(array_min(a)), m -> array(m, array_min(array_remove(a, m))))[0],"
+        f" h -> h IS NOT NULL), h -> shiftleft(array_position(a, h), {_HASH_BITS})"
+        f" | element_at({s}, int(array_position(a, h)))))[0]"
         for seed in _seeds(COMPONENTS)
     )
-    empty = "cast(array() AS array<array<struct<h: bigint, p: bigint>>>)"
-    df = df.withColumn(name, F.expr(f"CASE WHEN size({s}) = 0 THEN {empty} ELSE array({found}) END"))
-    return df.drop(f"_{name}_part")
+    empty = "cast(array() AS array<array<bigint>>)"
+    df = df.withColumn(f"{name}_minima", F.expr(f"CASE WHEN size({s}) = 0 THEN {empty} ELSE array({found}) END"))
+    joined = (
+        f"transform({name}_minima, m -> aggregate(sort_array(m),"
+        f" 0L, (h, p) -> xxhash64(h, p & {(1 << _HASH_BITS) - 1}L)))"
+    )
+    return df.withColumn(name, F.expr(joined)).drop(s, f"{name}_minima")
 
 
-def joined_minima(*parts: str) -> Column:
-    """The fingerprint of a text from the minima of its parts, in the order of the text.
+def with_least(df: DataFrame, keys: list[str], kmers: str, name: str, above: str | None = None) -> DataFrame:
+    """Adds ``{name}_0`` and so on: the smallest hash of each component, with its k-mer's place.
 
-    The two smallest of all are among the two smallest of each part. Their k-mers, in the
-    order of the text, are hashed together.
+    ``keys`` are never null and differ from row to row. Where rows are dealt by some of them,
+    nothing is shuffled. The low bits of a hash, as many as the k-mers' number has, give way
+    to the place, counted from 1. With ``above`` only what is larger than the columns of that
+    name counts. The k-mers become rows, so that hashes and minima run compiled; the row
+    itself passes the aggregation as a group of its own and stands beside its minima in the
+    window.
     """
-    both = parts[0]
-    for other in parts[1:]:
-        both = (
-            f"CASE WHEN size({both}) = 0 THEN {other} WHEN size({other}) = 0 THEN {both}"
-            f" ELSE zip_with({both}, {other}, (x, y) -> slice(sort_array(concat(x, y)), 1, 2)) END"
-        )
-    return F.expr(
-        f"transform({both}, m -> aggregate(sort_array(transform(m, x -> x.p)),"
-        f" 0L, (h, p) -> xxhash64(h, p & {(1 << _HASH_BITS) - 1}L)))"
+    seeds = list(enumerate(_seeds(COMPONENTS)))
+    bounds = [f"{above}_{c}" for c, _ in seeds] if above else []
+    row = F.struct(*[c for c in df.columns if c not in keys])
+    rows = F.posexplode(F.expr(f"concat(array(cast(null AS bigint)), {kmers})")).alias("_at", "_k")
+    high = F.expr(f"shiftleft(-1L, length(bin(size({kmers}))))")
+    df = df.select(*keys, *bounds, row.alias("_row"), high.alias("_high"), rows)
+    df = df.withColumn("_row", F.expr("CASE WHEN _at = 0 THEN _row END"))
+    df = df.withColumn("_at", F.expr("CASE WHEN _at > 0 THEN cast(_at AS bigint) END"))
+    found = []
+    for c, seed in seeds:
+        h = f"(xxhash64(_k, {seed}L) & _high | _at)"
+        found.append(F.expr(f"min(if({h} > {above}_{c}, {h}, null))" if above else f"min({h})").alias(f"{name}_{c}"))
+    df = df.groupBy(*keys, "_row").agg(*found)
+    both = Window.partitionBy(*keys)
+    df = df.select(*keys, "_row", *[F.min(f"{name}_{c}").over(both).alias(f"{name}_{c}") for c, _ in seeds])
+    return df.where("_row IS NOT NULL").select(*keys, "_row.*", *[f"{name}_{c}" for c, _ in seeds])
+
+
+def with_prints(df: DataFrame, keys: list[str], kmers: str, name: str) -> DataFrame:
+    """``df`` with ``name``, the fingerprints of ``with_fingerprint``, in place of its k-mers.
+
+    ``keys`` as in ``with_least``. K-mers of one hash count once. The pair of a component
+    differs only where the second and third hash agree in all bits but the last few, as many
+    as the number of k-mers has: with 1,000 k-mers once in some 10^13.
+    """
+    rest = [c for c in df.columns if c not in (*keys, kmers)]
+    df = df.withColumn(kmers, F.array_distinct(kmers))
+    df = with_least(df, keys, kmers, "_first")
+    df = with_least(df, keys, kmers, "_second", above="_first")
+    low = f"~shiftleft(-1L, length(bin(size({kmers}))))"
+    pairs = ", ".join(f"array(_first_{c} & {low}, _second_{c} & {low})" for c in range(COMPONENTS))
+    # In the order of the text; the second place is null where there is one k-mer.
+    pair = (
+        f"transform(array({pairs}), m -> aggregate(sort_array(filter(m, p -> p IS NOT NULL)),"
+        f" 0L, (h, p) -> xxhash64(h, element_at({kmers}, int(p)))))"
     )
-
-
-def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Adds ``name``: COMPONENTS hashes of the text column, none for a text without words."""
-    df = with_kmers(df, text, name)
-    df = with_minima(df, f"{name}_kmers", f"{name}_minima")
-    return df.withColumn(name, joined_minima(f"{name}_minima")).drop(f"{name}_kmers", f"{name}_minima")
+    pair = F.expr(f"CASE WHEN size({kmers}) = 0 THEN cast(array() AS array<bigint>) ELSE {pair} END")
+    return df.select(*keys, *rest, pair.alias(name))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -139,14 +158,14 @@ def in_hex(fingerprint: str) -> Column:
     return F.expr(f"array_join(transform({fingerprint}, h -> lpad(lower(hex(h)), 16, '0')), '')")
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """Adds ``next``: a struct of these columns of the row that follows by ascending doc_id.
+def in_stretches(docs: DataFrame) -> DataFrame:
+    """Adds ``stretch``, ``place`` in it by ascending doc_id, ``follows`` and ``next_text``.
 
     After the last row comes the first. Ids are cut into stretches at some of their own
     values, by approximate quantiles, and each stretch is ordered by itself. The row at a
-    cut also goes to the stretch before it, as the one that follows its last row: one
-    shuffle of the rows, no task with all of them. Null ids come first; rows of one id
-    follow each other by their text.
+    cut also goes to the end of the stretch before it, marked by ``follows``, as the one
+    that follows its last row: one shuffle of the rows, no task with all of them. Null ids
+    come first; rows of one id follow each other by their text.
     """
     rows = docs.select("doc_id").agg(F.count("*").alias("n"), F.min("doc_id").alias("low")).first()
     cuts = max(1, min(MOST_CUTS, rows.n // STRETCH_ROWS))
@@ -174,10 +193,18 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
         F.struct(before.cast("int").alias("s"), F.lit(1).alias("follows")),
     )
     df = df.withColumn("_at", F.explode(F.filter(places, lambda p: p["s"].isNotNull())))
-    df = df.withColumn("_s", F.col("_at.s")).withColumn("_follows", F.col("_at.follows"))
-    order = Window.partitionBy("_s").orderBy("_follows", F.col("doc_id").asc_nulls_first(), "text")
-    df = df.withColumn("next", F.lead(F.struct(*columns)).over(order)).where("_follows = 0")
-    return df.select(*docs.columns, "next")
+    df = df.withColumn("stretch", F.col("_at.s")).withColumn("_follows", F.col("_at.follows"))
+    order = Window.partitionBy("stretch").orderBy("_follows", F.col("doc_id").asc_nulls_first(), "text")
+    df = df.select(
+        *docs.columns,
+        "stretch",
+        F.row_number().over(order).alias("place"),
+        F.col("_follows").alias("follows"),
+        F.lead("text", 1, "").over(order).alias("next_text"),
+        F.lag("_follows", 1, 0).over(order).alias("_before"),
+    )
+    # Of the rows that follow a stretch the first is enough.
+    return df.where("_before = 0").drop("_before")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -190,29 +217,28 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     likeness to the edited text's and to the next document's fingerprint, 0 to 1. A single
     row is its own next. Every row comes back; repeated rows follow one another.
     """
-    df = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    df = in_stretches(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
-    # What the text and its edited form have in common: all words of the head but the last,
-    # which the cut may have shortened. Its k-mers and minima are made once.
     head = F.substring(F.col("text"), F.lit(1), n - quarter)
-    df = df.withColumn("common", F.greatest(n_words(head) - 1, F.lit(0)))
-    df = with_kmers(df, "text", "print")
-    df = with_minima(df, "print_kmers", "head_minima", end="common")
-    df = with_minima(df, "print_kmers", "tail_minima", begin="common").drop("print_kmers")
-    df = df.withColumn("print", joined_minima("head_minima", "tail_minima")).drop("tail_minima")
-    df = with_next(df, ["text", "print"])
-    df = df.withColumn("n_chars", n.cast("long")).withColumn("next_print", F.col("next.print"))
-    df = df.withColumn(
-        "edited", F.concat(head, F.substring(F.col("next.text"), F.lit(1), quarter))
-    ).drop("next", "text")
-    df = with_kmers(df, "edited", "edited_print")
-    df = with_minima(df, "edited_print_kmers", "new_minima", begin="common")
-    df = df.withColumn("edited_print", joined_minima("head_minima", "new_minima"))
+    df = df.withColumn("edited", F.concat(head, F.substring(F.col("next_text"), F.lit(1), quarter)))
+    df = df.withColumn("n_chars", n.cast("long")).withColumn("edited_sha256", F.sha2(F.col("edited"), 256))
+    df = with_kmers(with_kmers(df, "text", "text"), "edited", "edited")
+    # A row for each of the two texts; of a row that only follows its own text is asked.
+    carried = ["doc_id", "n_chars", "edited_sha256"]
+    text = F.struct(F.lit(0).alias("form"), *carried, F.col("text_kmers").alias("kmers"))
+    none = [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in carried]
+    edited = F.struct(F.lit(1).alias("form"), *none, F.col("edited_kmers").alias("kmers"))
+    forms = F.when(F.col("follows") == 0, F.array(text, edited)).otherwise(F.array(text))
+    df = df.select("stretch", "place", "follows", F.inline(forms))
+    df = with_prints(df, ["stretch", "place", "form"], "kmers", "print")
+    order = Window.partitionBy("stretch").orderBy("place", "form")
+    df = df.withColumn("edited_print", F.lead("print", 1).over(order))
+    df = df.withColumn("next_print", F.lead("print", 2).over(order)).where("form = 0 AND follows = 0")
     return df.select(
         "doc_id",
         "n_chars",
-        F.sha2(F.col("edited"), 256).alias("edited_sha256"),
+        "edited_sha256",
         in_hex("print").alias("fingerprint"),
         in_hex("edited_print").alias("edited_fingerprint"),
         likeness("print", "edited_print").alias("near_edited"),

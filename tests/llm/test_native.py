@@ -162,3 +162,81 @@ def test_minima_of_parts_give_the_fingerprints_of_whole_texts(spark, frame, pros
     for r in whole.select("n", F.in_hex("p").alias("p"), F.in_hex("q").alias("q")).collect():
         doc_id = r.n if r.n < len(rows) else 100
         assert (found[doc_id].fingerprint, found[doc_id].edited_fingerprint) == (r.p, r.q)
+
+
+M64 = 2**64 - 1
+
+
+def xx(value, seed):
+    """xxhash64 of a long by its definition; signed as in Spark."""
+    p1, p2, p3 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
+    p4, p5 = 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
+
+    def turn(x, n):
+        return (x << n | x >> (64 - n)) & M64
+
+    h = (seed + p5 + 8) & M64
+    h ^= turn((value & M64) * p2 & M64, 31) * p1 & M64
+    h = (turn(h, 27) * p1 + p4) & M64
+    h = (h ^ h >> 33) * p2 & M64
+    h = (h ^ h >> 29) * p3 & M64
+    h ^= h >> 32
+    return h - 2**64 if h >> 63 else h
+
+
+def pair_prints(kmers):
+    """The fingerprint of a list of k-mer hashes; equal ones count once, at the first place."""
+    kmers = list(dict.fromkeys(kmers))
+    found = []
+    for seed in F._seeds(F.COMPONENTS) if kmers else []:
+        least = sorted(kmers, key=lambda k: xx(seed, xx(k, 42)))[:2]
+        h = 0
+        for k in sorted(least, key=kmers.index):
+            h = xx(k, xx(h, 42))
+        found.append(h)
+    return found
+
+
+def test_prints_of_given_kmers(spark):
+    rng = random.Random(6)
+    lists = [[rng.randrange(1 << 34) for _ in range(n)] for n in (0, 1, 2, 3, 40, 257)]
+    lists += [[5], [5, 5, 5], [0, 9, 0, 9, 7], [rng.randrange(30) for _ in range(200)], list(range(64))]
+    rows = [(i // 4, i % 4, f"note {i}", kmers) for i, kmers in enumerate(lists)]
+    df = spark.createDataFrame(rows, "part int, place int, note string, kmers array<long>").repartition(3, "part")
+    df = F.with_prints(df, ["part", "place"], "kmers", "p")
+    assert df.columns == ["part", "place", "note", "p"]
+    # Dealt by one of the keys: no shuffle besides.
+    assert df._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert {r.note: r.p for r in df.collect()} == {f"note {i}": pair_prints(k) for i, k in enumerate(lists)}
+
+
+def test_minima_are_not_made_in_lambdas(spark, frame, prose):
+    """Lambdas over arrays are interpreted, which took most of the time of large tables."""
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        df = F.fingerprints(frame([(i, prose(20, i)) for i in range(5)]))
+        plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    seeded = [line for line in plan if any(str(s) in line for s in F._seeds(F.COMPONENTS))]
+    assert seeded and all("HashAggregate" in line and "transform" not in line for line in seeded)
+
+
+@pytest.mark.parametrize("stretch", [1000, 3])
+def test_fingerprints_of_repeated_and_null_ids(spark, frame, prose, monkeypatch, stretch):
+    monkeypatch.setattr(F, "STRETCH_ROWS", stretch)
+    rng = random.Random(2)
+    rows = [(rng.choice([None, *range(6)]), prose(rng.randrange(12), i % 9, 5)) for i in range(40)]
+    rows += [(3, None), (None, None), *rows[:10]]
+    ordered = sorted(((d is not None, d or 0, t or "") for d, t in rows))
+    after = [*ordered[1:], ordered[0]]
+    want = [(*a, a[2][: len(a[2]) - len(a[2]) // 4] + b[2][: len(a[2]) // 4], b[2]) for a, b in zip(ordered, after)]
+    df = spark.createDataFrame(want, "known boolean, doc_id long, text string, edited string, after string")
+    for column in ("text", "edited", "after"):
+        df = F.with_fingerprint(df, column, f"p_{column}")
+    df = df.selectExpr("if(known, doc_id, null)", "length(text)", "sha2(edited, 256)", "p_text", "p_edited", "p_after")
+    df = df.toDF("doc_id", "n_chars", "sha", "p", "e", "a").select(
+        "doc_id", "n_chars", "sha", F.in_hex("p"), F.in_hex("e"), F.likeness("p", "e"), F.likeness("p", "a")
+    )
+    found = F.fingerprints(frame(rows).repartition(5)).collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, map(tuple, df.collect())))
